@@ -357,8 +357,8 @@ def _services(t: StarTables) -> DataFrame:
         f"event_id * 7 % {t.size('orders')} * 8 + 1 + event_id % 7 AS BookingPassengerID",
         "int(1 + user_id % 6) AS ServiceID",
         "CASE event_type WHEN 'signup' THEN 'Requested' WHEN 'view' THEN 'Approved' WHEN 'click' THEN 'Completed' "
-        "ELSE 'Cancelled' END AS RequestStatus",
-        "CAST(0 AS DECIMAL(10,2)) AS Fee",
+        "WHEN 'purchase' THEN 'Cancelled' END AS RequestStatus",
+        "CASE WHEN event_type <> 'signup' THEN CAST(0 AS DECIMAL(10,2)) END AS Fee",
     )
 
 
