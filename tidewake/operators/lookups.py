@@ -30,12 +30,22 @@ def route_endpoints(
     )
 
 
-def _best_rule(
-    probes: DataFrame, rules: DataFrame, keys: Sequence[str], fits: Column, picks: Sequence[Column]
+def dated_candidates(
+    probes: DataFrame,
+    rules: DataFrame,
+    keys: Sequence[str],
+    date_col: str,
+    take: Sequence[str],
+    start: str = "EffectiveFrom",
+    end: str = "EffectiveTo",
 ) -> DataFrame:
-    probe_cols = probes.columns
-    candidates = probes.join(rules, list(keys)).filter(fits)
-    return candidates.groupBy(*probe_cols).agg(*picks)
+    """All rules in force per distinct (keys, date) of the probes, with their start."""
+    wanted = probes.select(*keys, date_col).distinct()
+    return (
+        wanted.join(rules.select(*keys, start, end, *take), list(keys))
+        .filter((F.col(start) <= F.col(date_col)) & (F.col(end).isNull() | (F.col(end) >= F.col(date_col))))
+        .drop(end)
+    )
 
 
 def effective_prices(
@@ -53,11 +63,7 @@ def effective_prices(
     ``extra_keys`` are rule columns that multiply the answer (one rule per value) without being part
     of the probe. A rule's start is unique within its keys, so the picks are deterministic.
     """
-    wanted = probes.select(*keys, date_col).distinct()
-    narrow = rules.select(*keys, *extra_keys, start, end, *take)
-    candidates = wanted.join(narrow, list(keys)).filter(
-        (F.col(start) <= F.col(date_col)) & (F.col(end).isNull() | (F.col(end) >= F.col(date_col)))
-    )
+    candidates = dated_candidates(probes, rules, keys, date_col, [*extra_keys, *take], start, end)
     return candidates.groupBy(*keys, *extra_keys, date_col).agg(
         *[F.max_by(c, start).alias(c) for c in take]
     )
@@ -122,16 +128,13 @@ def threshold_policy(
     Without such a policy the penalty is ('Percentage', 0). Equal thresholds fall to the lower policy id.
     """
     probes = facts.select(key, hours_col).distinct()
-    best = _best_rule(
-        probes,
-        policies.select(key, "PolicyID", "HoursBeforeDeparture", "PenaltyType", "PenaltyValue"),
-        [key],
-        F.col("HoursBeforeDeparture") >= F.col(hours_col),
-        [
-            F.min_by(
-                F.struct("PenaltyType", "PenaltyValue"), F.struct("HoursBeforeDeparture", "PolicyID")
-            ).alias("_policy")
-        ],
+    narrow = policies.select(key, "PolicyID", "HoursBeforeDeparture", "PenaltyType", "PenaltyValue")
+    nearest = F.min_by(F.struct("PenaltyType", "PenaltyValue"), F.struct("HoursBeforeDeparture", "PolicyID"))
+    best = (
+        probes.join(narrow, key)
+        .filter(F.col("HoursBeforeDeparture") >= F.col(hours_col))
+        .groupBy(key, hours_col)
+        .agg(nearest.alias("_policy"))
     )
     out = facts.join(best, [key, hours_col], "left")
     return out.select(

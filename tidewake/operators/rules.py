@@ -7,19 +7,22 @@ A job takes candidate rows and reference tables and returns the rows with comput
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions import age_on, any_of, as_date, hours_until, money
 from tidewake.operators.common import first_violation, violation_list
-from tidewake.operators.lookups import effective_prices, guardian_nearby, threshold_policy
+from tidewake.operators.lookups import dated_candidates, effective_prices, guardian_nearby, threshold_policy
 from tidewake.schema import HOLDING
 from tidewake.session import stage
 from tidewake.sources.tables import Tables
 
 MAX_IN_CABIN = 5
 FORFEIT_HOURS = 48
+MAX_BAND_COLUMNS = 32
 
 # Violation texts of the rules.
 WRONG_SHIP = "Cabin must belong to the ship assigned to the booked voyage."
@@ -109,28 +112,61 @@ def supervision_fee(t: Tables) -> Column:
     return fee.scalar()
 
 
-def fares_by_band(t: Tables, cabins: DataFrame) -> DataFrame:
-    """Fares in force per (voyage, cabin category, booking day) as a map from band name to fare and id.
+class _Fares(NamedTuple):
+    """Fares per (VoyageID, CabinCategoryID, BookingDay), and how to read the one of a band."""
 
-    ``cabins`` needs VoyageID, CabinCategoryID and BookingDay. A map has one entry per age band, so it
-    stays small however many rules a voyage has.
+    rows: DataFrame
+    of_band: Callable[[str], Column]
+    of_own_band: Column
+    own_rule: Column
+
+
+def _fares_by_band(t: Tables, cabins: DataFrame) -> _Fares:
+    """Fares in force per voyage, cabin category and booking day, all age bands side by side.
+
+    The handful of bands become columns of one hash aggregate. A band table too long for that is
+    kept as a map per group instead.
     """
-    prices = effective_prices(
-        cabins,
-        t["FareRule"],
-        ["VoyageID", "CabinCategoryID"],
-        "BookingDay",
-        ["BaseFare", "FareRuleID"],
-        extra_keys=["AgeCategoryID"],
-    )
-    named = prices.join(t["AgeCategory"].select("AgeCategoryID", "CategoryName"), "AgeCategoryID")
-    entry = F.struct("CategoryName", F.struct("BaseFare", "FareRuleID"))
-    return named.groupBy("VoyageID", "CabinCategoryID", "BookingDay").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("_fares")
-    )
+    keys = ["VoyageID", "CabinCategoryID", "BookingDay"]
+    bands = t["AgeCategory"].select("AgeCategoryID", "CategoryName").limit(MAX_BAND_COLUMNS + 1).collect()
+    if len(bands) > MAX_BAND_COLUMNS:
+        prices = effective_prices(
+            cabins, t["FareRule"], keys[:2], "BookingDay", ["BaseFare", "FareRuleID"], extra_keys=["AgeCategoryID"]
+        )
+        named = prices.join(t["AgeCategory"].select("AgeCategoryID", "CategoryName"), "AgeCategoryID")
+        entry = F.struct("CategoryName", F.struct("BaseFare", "FareRuleID"))
+        rows = named.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_fares"))
+        own = F.try_element_at("_fares", F.col("CategoryName"))
+        return _Fares(
+            rows, lambda band: F.try_element_at("_fares", F.lit(band))["BaseFare"], own["BaseFare"], own["FareRuleID"]
+        )
+
+    def latest(column: str, band: int) -> Column:
+        mine = F.col("AgeCategoryID") == band
+        return F.max_by(F.when(mine, F.col(column)), F.when(mine, F.col("EffectiveFrom")))
+
+    picks = [
+        latest(column, row.AgeCategoryID).alias(f"_{column}_{row.AgeCategoryID}")
+        for row in bands
+        for column in ("BaseFare", "FareRuleID")
+    ]
+    rows = dated_candidates(
+        cabins, t["FareRule"], keys[:2], "BookingDay", ["AgeCategoryID", "BaseFare", "FareRuleID"]
+    ).groupBy(*keys).agg(*picks)
+
+    def own_of(column: str) -> Column:
+        return F.coalesce(
+            *[F.when(F.col("AgeCategoryID") == r.AgeCategoryID, F.col(f"_{column}_{r.AgeCategoryID}")) for r in bands]
+        )
+
+    def of_band(name: str) -> Column:
+        ids = [r.AgeCategoryID for r in bands if r.CategoryName == name]
+        return F.col(f"_BaseFare_{ids[0]}") if ids else F.lit(None).cast("decimal(12,2)")
+
+    return _Fares(rows, of_band, own_of("BaseFare"), own_of("FareRuleID"))
 
 
-def _booked_cabins(t: Tables) -> DataFrame:
+def _booked_cabins(t: Tables) -> tuple[DataFrame, _Fares]:
     """Booked cabins with voyage, operator flag, limits and fares; the context of their passengers."""
     sailings = (
         t["CruiseVoyage"]
@@ -151,18 +187,18 @@ def _booked_cabins(t: Tables) -> DataFrame:
         .join(t["Cabin"].select("CabinID", "MaxOccupancy", "CabinCategoryID"), "CabinID", "left")
         .join(bookings, "_cabin_booking", "left")
     )
-    fares = fares_by_band(t, cabins)
-    return cabins.join(fares, ["VoyageID", "CabinCategoryID", "BookingDay"], "left").join(
-        sailings, "VoyageID", "left"
-    )
+    fares = _fares_by_band(t, cabins)
+    booked = cabins.join(fares.rows, ["VoyageID", "CabinCategoryID", "BookingDay"], "left")
+    return booked.join(sailings, "VoyageID", "left"), fares
 
 
 def _passenger_context(t: Tables, rows: DataFrame) -> DataFrame:
     """Rows with everything the row-local checks need, already reduced to flags and amounts."""
     people = t["Passenger"].select("PassengerID", "DateOfBirth")
     bands = t["AgeCategory"].select("AgeCategoryID", "CategoryName", "MinAge", "MaxAge")
+    booked, fares = _booked_cabins(t)
     df = (
-        rows.join(_booked_cabins(t), "BookingCabinID", "left")
+        rows.join(booked, "BookingCabinID", "left")
         .join(people, "PassengerID", "left")
         .join(bands, "AgeCategoryID", "left")
         .withColumn("_age", age_on("DateOfBirth", "DepartureDateTime"))
@@ -171,16 +207,11 @@ def _passenger_context(t: Tables, rows: DataFrame) -> DataFrame:
     bed = F.col("InfantBedOption")
     chaperoned = F.col("IsChaperonedYouth")
 
-    def fare(band: str | Column) -> Column:
-        return F.try_element_at("_fares", F.lit(band) if isinstance(band, str) else band)
-
-    adult, child, own = fare("Adult"), fare("Child"), fare(F.col("CategoryName"))
-    infant_fare = F.when(bed == "SharedBed", adult["BaseFare"] * F.expr("0.15BD")).otherwise(
-        child["BaseFare"] * F.expr("0.50BD")
-    )
-    no_adult = infant & adult["BaseFare"].isNull()
-    no_child = infant & child["BaseFare"].isNull()
-    no_own = ~infant & own["BaseFare"].isNull()
+    adult, child, own = fares.of_band("Adult"), fares.of_band("Child"), fares.of_own_band
+    infant_fare = F.when(bed == "SharedBed", adult * F.expr("0.15BD")).otherwise(child * F.expr("0.50BD"))
+    no_adult = infant & adult.isNull()
+    no_child = infant & child.isNull()
+    no_own = ~infant & own.isNull()
     priced = ~(no_adult | no_child | no_own)
     return df.select(
         "BookingPassengerID",
@@ -209,8 +240,8 @@ def _passenger_context(t: Tables, rows: DataFrame) -> DataFrame:
         no_adult.alias("_no_adult_fare"),
         no_child.alias("_no_child_fare"),
         no_own.alias("_no_fare"),
-        F.when(~infant, own["FareRuleID"]).alias("FareRuleID"),
-        F.when(priced, money(F.when(infant, infant_fare).otherwise(own["BaseFare"]))).alias("FinalFare"),
+        F.when(~infant, fares.own_rule).alias("FareRuleID"),
+        F.when(priced, money(F.when(infant, infant_fare).otherwise(own))).alias("FinalFare"),
         F.when(chaperoned, supervision_fee(t)).otherwise(F.lit(0).cast("decimal(10,2)")).alias("DailySupervisionFee"),
     )
 
@@ -253,7 +284,7 @@ def _cabin_state(t: Tables, context: DataFrame) -> DataFrame:
     cabins = context.groupBy("BookingCabinID").agg(
         F.max("VoyageID").alias("VoyageID"), F.max("CabinID").alias("CabinID"), F.max("_holding").alias("_holding")
     )
-    state = cabins.join(stored, "BookingCabinID", "left")
+    state = stage(cabins.join(stored, "BookingCabinID", "left"), "cabin-state")
     near = guardian_nearby(
         state.filter(F.col("_has_adult") & F.col("_holding")), t["CabinAdjacency"]
     ).withColumn("_near", F.lit(True))
@@ -275,7 +306,7 @@ def check_booking_passengers(t: Tables, batch: DataFrame | None = None) -> DataF
     place. With ``batch`` the table's rows are stored already: they occupy and guard, and only the
     batch is returned.
 
-    The context is staged once; capacity and guardian passes read narrow columns of it.
+    The context is staged once, and so is the state per cabin; the later passes read narrow columns.
     """
     rows = (t["BookingPassenger"] if batch is None else batch).withColumn("_stored", F.lit(False))
     computed = ("FareRuleID", "DailySupervisionFee", "FinalFare")
