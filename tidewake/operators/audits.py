@@ -72,11 +72,16 @@ def audit_references(t: Tables, references: Iterable[Reference]) -> DataFrame:
 
 
 def _flagged(df: DataFrame, table: str, key: str, checks: Sequence[tuple[str, Column, str]]) -> DataFrame:
-    """All row conditions of a table in one scan: failed ones are collected per row and spread out."""
+    """All row conditions of a table in one scan: failed ones are collected per row and spread out.
+
+    The filter keeps only rows with a failure, and its comparisons reach the scan, where row groups
+    without one are skipped by their statistics.
+    """
+    any_bad = reduce(lambda a, b: a | b, [bad for _, bad, _ in checks])
     failed = F.array_compact(
         F.array(*[F.when(bad, F.struct(F.lit(n).alias("n"), F.lit(d).alias("d"))) for n, bad, d in checks])
     )
-    hits = df.select(F.col(key).cast("string").alias("_key"), F.explode(failed).alias("_hit"))
+    hits = df.filter(any_bad).select(F.col(key).cast("string").alias("_key"), F.explode(failed).alias("_hit"))
     return hits.select(*_row(F.col("_hit.n"), table, F.col("_key"), F.col("_hit.d")))
 
 
@@ -85,7 +90,7 @@ def audit_rows(t: Tables, checks: Iterable[RowCheck]) -> DataFrame:
     by_table = sorted(checks, key=lambda c: c.table)
     parts = []
     for table, group in groupby(by_table, key=lambda c: c.table):
-        tests = [(c.name, ~F.coalesce(F.expr(c.condition), F.lit(True)), c.condition) for c in group]
+        tests = [(c.name, ~F.expr(c.condition), c.condition) for c in group]
         parts.append(_flagged(t[table], table, key_of(table), tests))
     return _union(parts)
 

@@ -1,16 +1,16 @@
 """Lookup operators: route endpoints, effective-dated rules, bands, thresholds, neighbours.
 
-The dated and threshold lookups share one shape. Distinct probe values are taken first, which
-collapses a hot key on the map side; only those are joined to the rules by equality on the keys with
-the range as a residual; the best rule per probe is an aggregate (no sort of candidates); the answer
-goes back to the rows by equality, where AQE can broadcast it or split a skewed partition.
+In the dated lookup distinct probe values are taken first, which collapses a hot key on the map
+side; only those are joined to the rules by equality on the keys with the range as a residual; the
+best rule per probe is an aggregate (no sort of candidates); the answer goes back to the rows by
+equality, where AQE can broadcast it or split a skewed partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.operators.common import BROADCAST_ROWS, is_small
@@ -126,19 +126,22 @@ def threshold_policy(
     """``facts`` with the policy of the smallest threshold at or above ``hours_col``.
 
     Without such a policy the penalty is ('Percentage', 0). Equal thresholds fall to the lower policy id.
+
+    Each policy covers the hours above the next lower threshold of its operator up to its own. The
+    intervals do not overlap, so one equality join with a range residual finds the policy: the facts
+    are read once and nothing is aggregated afterwards.
     """
-    probes = facts.select(key, hours_col).distinct()
-    narrow = policies.select(key, "PolicyID", "HoursBeforeDeparture", "PenaltyType", "PenaltyValue")
-    nearest = F.min_by(F.struct("PenaltyType", "PenaltyValue"), F.struct("HoursBeforeDeparture", "PolicyID"))
-    best = (
-        probes.join(narrow, key)
-        .filter(F.col("HoursBeforeDeparture") >= F.col(hours_col))
-        .groupBy(key, hours_col)
-        .agg(nearest.alias("_policy"))
+    ladder = Window.partitionBy(key).orderBy("HoursBeforeDeparture")
+    steps = (
+        policies.groupBy(key, "HoursBeforeDeparture")
+        .agg(F.min_by(F.struct("PenaltyType", "PenaltyValue"), "PolicyID").alias("_policy"))
+        .withColumn("_above", F.lag("HoursBeforeDeparture").over(ladder))
+        .withColumnRenamed(key, "_key")
     )
-    out = facts.join(best, [key, hours_col], "left")
-    return out.select(
-        *facts.columns,
+    hours = F.col(hours_col)
+    inside = (hours <= F.col("HoursBeforeDeparture")) & (F.col("_above").isNull() | (hours > F.col("_above")))
+    return facts.join(steps, (F.col(key) == F.col("_key")) & inside, "left").select(
+        *[facts[c] for c in facts.columns],
         F.coalesce("_policy.PenaltyType", F.lit("Percentage")).alias("PenaltyType"),
         F.coalesce(F.col("_policy.PenaltyValue"), F.lit(0).cast("decimal(10,2)")).alias("PenaltyValue"),
     )

@@ -79,11 +79,10 @@ def check_booking_cabins(t: Tables, batch: DataFrame | None = None) -> DataFrame
     spot = ["VoyageID", "CabinID"]
     rows = _cabin_context(t, t["BookingCabin"] if batch is None else batch)
     holding = any_of("BookingStatus", HOLDING)
-    first = (
-        rows.filter(holding & ~F.col("_wrong_ship"))
-        .groupBy(*spot)
-        .agg(F.min("BookingCabinID").alias("_first"))
-    )
+    # a condition inside the minimum instead of a filter keeps both uses of ``rows`` alike, so that
+    # their shuffles are shared
+    holder = F.when(holding & ~F.col("_wrong_ship"), F.col("BookingCabinID"))
+    first = rows.groupBy(*spot).agg(F.min(holder).alias("_first"))
     rows = rows.join(first, spot, "left")
     taken = holding & (F.col("BookingCabinID") > F.col("_first"))
     if batch is not None:
@@ -351,29 +350,29 @@ def check_booking_passengers(t: Tables, batch: DataFrame | None = None) -> DataF
 # --- cancellations -------------------------------------------------------------------------------
 
 
-def cancellation_amounts(t: Tables, cancellations: DataFrame) -> DataFrame:
-    """Penalty and refund of each cancellation (BookingID, CancellationDateTime).
-
-    The operator's policy is the one with the smallest threshold at or above the hours left. A full
-    forfeit applies within 48 hours only; later thresholds of that type cost nothing.
-    """
+def booking_value(t: Tables) -> DataFrame:
+    """Bookings with what a penalty depends on: status, total, operator and departure."""
     sailings = (
         t["CruiseVoyage"]
         .select("VoyageID", "ShipID", "DepartureDateTime")
         .join(t["CruiseShip"].select("ShipID", "OperatorID"), "ShipID")
     )
-    bookings = (
+    return (
         t["Booking"]
-        .select("BookingID", "VoyageID", "TotalAmount")
+        .select("BookingID", "VoyageID", "BookingStatus", "TotalAmount")
         .join(sailings, "VoyageID")
-        .select("BookingID", "TotalAmount", "OperatorID", "DepartureDateTime")
-    )
-    rows = (
-        cancellations.drop("PenaltyAmount", "RefundAmount")
-        .join(bookings, "BookingID", "left")
-        .withColumn("HoursUntilDeparture", hours_until("CancellationDateTime", "DepartureDateTime"))
+        .select("BookingID", "BookingStatus", "TotalAmount", "OperatorID", "DepartureDateTime")
     )
-    priced = threshold_policy(rows, t["CancellationPolicy"], "HoursUntilDeparture")
+
+
+def with_penalty(t: Tables, rows: DataFrame) -> DataFrame:
+    """Penalty and refund for rows that carry ``booking_value`` and a CancellationDateTime.
+
+    The operator's policy is the one with the smallest threshold at or above the hours left. A full
+    forfeit applies within 48 hours only; later thresholds of that type cost nothing.
+    """
+    timed = rows.withColumn("HoursUntilDeparture", hours_until("CancellationDateTime", "DepartureDateTime"))
+    priced = threshold_policy(timed, t["CancellationPolicy"], "HoursUntilDeparture")
     kind, value, whole = F.col("PenaltyType"), F.col("PenaltyValue"), F.col("TotalAmount")
     penalty = (
         F.when((F.col("HoursUntilDeparture") <= FORFEIT_HOURS) & (kind == "FullForfeit"), whole)
@@ -384,7 +383,15 @@ def cancellation_amounts(t: Tables, cancellations: DataFrame) -> DataFrame:
     priced = priced.withColumn("PenaltyAmount", F.when(whole.isNotNull(), money(penalty))).withColumn(
         "RefundAmount", money(whole - F.col("PenaltyAmount"))
     )
-    return _with_violations(priced, (F.col("DepartureDateTime").isNull(), NO_VOYAGE)).drop("DepartureDateTime")
+    return _with_violations(priced, (F.col("DepartureDateTime").isNull(), NO_VOYAGE)).drop(
+        "DepartureDateTime", "BookingStatus"
+    )
+
+
+def cancellation_amounts(t: Tables, cancellations: DataFrame) -> DataFrame:
+    """Cancellations (BookingID, CancellationDateTime) with penalty and refund filled in."""
+    rows = cancellations.drop("PenaltyAmount", "RefundAmount")
+    return with_penalty(t, rows.join(booking_value(t), "BookingID", "left"))
 
 
 def mark_cancelled(bookings: DataFrame, cancellations: DataFrame) -> DataFrame:

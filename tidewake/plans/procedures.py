@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions import any_of, hours_until, money
-from tidewake.operators.rules import cancellation_amounts, mark_cancelled
+from tidewake.operators.rules import booking_value, mark_cancelled, with_penalty
 from tidewake.plans.reports import AMOUNT, Day, fares_per_cabin, in_force, operator_ships, total
 from tidewake.plans.views import held_cabins
 from tidewake.schema import SOLD
@@ -166,10 +166,6 @@ def review_cancellations(t: Tables, requests: DataFrame, now: dt.datetime | str)
     is a minimum per booking, not a sort of its requests.
     """
     moment = F.lit(str(now)).cast("timestamp_ntz")
-    sailings = t["CruiseVoyage"].select("VoyageID", "ShipID", "DepartureDateTime")
-    bookings = (
-        t["Booking"].select("BookingID", "VoyageID", "BookingStatus", "TotalAmount").join(sailings, "VoyageID")
-    )
     first = requests.groupBy("BookingID").agg(F.min("RequestID").alias("_first"))
     hours = hours_until(moment, "DepartureDateTime")
     reason = (
@@ -180,7 +176,7 @@ def review_cancellations(t: Tables, requests: DataFrame, now: dt.datetime | str)
     )
     return (
         requests.join(first, "BookingID", "left")
-        .join(bookings, "BookingID", "left")
+        .join(booking_value(t), "BookingID", "left")
         .withColumn("CancellationDateTime", moment)
         .withColumn("RejectReason", reason)
         .drop("_first")
@@ -190,8 +186,6 @@ def review_cancellations(t: Tables, requests: DataFrame, now: dt.datetime | str)
 def process_cancellations(t: Tables, requests: DataFrame, now: dt.datetime | str) -> Cancellations:
     """Cancel a batch of bookings: accepted rows with amounts, rejected rows with reasons, new bookings."""
     reviewed = review_cancellations(t, requests, now)
-    accepted = cancellation_amounts(
-        t, reviewed.filter(F.col("RejectReason").isNull()).select(*requests.columns, "CancellationDateTime")
-    )
+    accepted = with_penalty(t, reviewed.filter(F.col("RejectReason").isNull()).drop("RejectReason"))
     rejected = reviewed.filter(F.col("RejectReason").isNotNull()).select(*requests.columns, "RejectReason")
     return Cancellations(accepted, rejected, mark_cancelled(t["Booking"], accepted))

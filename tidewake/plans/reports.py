@@ -71,15 +71,14 @@ def fares_per_cabin(t: Tables, cabins: DataFrame, few_cabins: bool) -> DataFrame
     """``cabins`` (keyed by BookingCabinID) with the sum and number of the fares paid in each.
 
     For a few cabins the passengers are filtered by the join first. Otherwise they are summed per
-    cabin before the join: the sum shuffles on the join key, so the join needs no second shuffle.
+    cabin before the join: the sum shuffles on the join key, so the join needs no second shuffle, and
+    a cabin with very many rows is one row by then.
     """
     people = t["BookingPassenger"].select("BookingCabinID", "FinalFare")
+    sums = [F.sum("FinalFare").alias("CabinFare"), F.count(F.lit(1)).alias("Passengers")]
     if few_cabins:
-        people = people.join(cabins.select("BookingCabinID"), "BookingCabinID")
-    summed = people.groupBy("BookingCabinID").agg(
-        F.sum("FinalFare").alias("CabinFare"), F.count(F.lit(1)).alias("Passengers")
-    )
-    return cabins.join(summed, "BookingCabinID")
+        return people.join(cabins, "BookingCabinID").groupBy(*cabins.columns).agg(*sums)
+    return cabins.join(people.groupBy("BookingCabinID").agg(*sums), "BookingCabinID")
 
 
 def round_trip_sailings(
