@@ -266,3 +266,25 @@ def test_booking_without_passengers_costs_nothing(t):
     base = {**t, "BookingPassenger": t["BookingPassenger"].filter("BookingID <> 1")}
     assert rules.booking_totals(base).filter("BookingID = 1").first().TotalAmount == Decimal(0)
     assert rules.booking_totals(base).agg(F.sum("TotalAmount")).first()[0] == t["BookingPassenger"].filter("BookingID <> 1").agg(F.sum("FinalFare")).first()[0]
+
+
+def test_row_checks_agree_with_the_full_job(t):
+    want = {r.BookingPassengerID: r.FinalFare for r in rules.check_booking_passengers(t).collect()}
+    got = rules.check_passenger_rows(t)
+    assert {r.BookingPassengerID: r.FinalFare for r in got.collect()} == want
+    assert split_valid(got)[1].count() == 0
+
+
+def test_staged_folders_can_be_dropped(spark):
+    from pyspark.errors import PySparkException
+    from tidewake import session
+
+    kept = list(session._STAGED)
+    session._STAGED.clear()
+    df = session.stage(spark.range(5), "probe")
+    assert df.count() == 5 and len(session._STAGED) == 1
+    path = session._STAGED[0]
+    session.drop_staged(spark)
+    with pytest.raises(PySparkException):
+        spark.read.parquet(path).count()
+    session._STAGED.extend(kept)

@@ -634,25 +634,25 @@ register(
 )
 
 
-def _rejected_for(*texts: str) -> Callable[[StarTables], DataFrame]:
+def _rejected_for(check: Callable[[StarTables], DataFrame], *texts: str) -> Callable[[StarTables], DataFrame]:
     def run(t: StarTables) -> DataFrame:
         hit = reduce(lambda a, b: a | b, [F.array_contains("violations", x) for x in texts])
-        return X.check_booking_passengers(t).filter(hit).select("BookingPassengerID", "BookingCabinID", "AgeAtDeparture")
+        return check(t).filter(hit).select("BookingPassengerID", "BookingCabinID", "AgeAtDeparture")
 
     return run
 
 
-for _name, _texts_, _cond in (
-    ("r03_cabin_of_booking", (X.WRONG_BOOKING,), "astray"),
-    ("r04_cabin_capacity", (X.CABIN_FULL,), "NOT astray AND crowded"),
-    ("r05_age_band", (X.WRONG_AGE_BAND,), "NOT astray AND bad_band"),
-    ("r06_infant_bed", (X.INFANT_NEEDS_BED, X.BED_NOT_ALLOWED), "NOT astray AND (no_bed OR odd_bed)"),
-    ("r07_chaperoned_youth", (X.YOUTH_NOT_ALLOWED,), "NOT astray AND refused"),
-    ("r08_guardian", (X.NO_GUARDIAN,), "NOT astray AND alone"),
+for _name, _check, _texts_, _cond in (
+    ("r03_cabin_of_booking", X.check_passenger_rows, (X.WRONG_BOOKING,), "astray"),
+    ("r04_cabin_capacity", X.check_booking_passengers, (X.CABIN_FULL,), "NOT astray AND crowded"),
+    ("r05_age_band", X.check_passenger_rows, (X.WRONG_AGE_BAND,), "NOT astray AND bad_band"),
+    ("r06_infant_bed", X.check_passenger_rows, (X.INFANT_NEEDS_BED, X.BED_NOT_ALLOWED), "NOT astray AND (no_bed OR odd_bed)"),
+    ("r07_chaperoned_youth", X.check_passenger_rows, (X.YOUTH_NOT_ALLOWED,), "NOT astray AND refused"),
+    ("r08_guardian", X.check_booking_passengers, (X.NO_GUARDIAN,), "NOT astray AND alone"),
 ):
     register(
         _name,
-        _rejected_for(*_texts_),
+        _rejected_for(_check, *_texts_),
         f"SELECT BookingPassengerID, BookingCabinID, age AS AgeAtDeparture FROM judged WHERE {_cond}",
         **_PERSON,
     )

@@ -257,6 +257,44 @@ _LOCAL_FLAGS = (
 )
 
 
+_COMPUTED = ("FareRuleID", "DailySupervisionFee", "FinalFare")
+# Texts in checking order; a flag of None comes from the passes over other passengers.
+_CHECKS = (
+    (CABIN_FULL, None),
+    (WRONG_AGE_BAND, "_wrong_band"),
+    (INFANT_NEEDS_BED, "_no_bed"),
+    (BED_NOT_ALLOWED, "_odd_bed"),
+    (YOUTH_NOT_ALLOWED, "_youth_refused"),
+    (NO_GUARDIAN, None),
+    (NO_ADULT_FARE, "_no_adult_fare"),
+    (NO_CHILD_FARE, "_no_child_fare"),
+    (NO_FARE, "_no_fare"),
+)
+
+
+def _passenger_result(df: DataFrame, group_flags: dict[str, Column]) -> DataFrame:
+    right = ~F.col("_wrong_booking")
+    flags = [(text, F.col(flag) if flag else group_flags.get(text)) for text, flag in _CHECKS]
+    checked = _with_violations(
+        df,
+        (F.col("_wrong_booking"), WRONG_BOOKING),
+        *[(right & flag, text) for text, flag in flags if flag is not None],
+    )
+    return checked.select(
+        "BookingPassengerID",
+        "BookingID",
+        "BookingCabinID",
+        "PassengerID",
+        "AgeCategoryID",
+        "InfantBedOption",
+        "IsChaperonedYouth",
+        "AgeAtDeparture",
+        *[F.when(right, F.col(c)).alias(c) for c in _COMPUTED],
+        "violations",
+        "first_violation",
+    )
+
+
 def _cabin_state(t: Tables, context: DataFrame) -> DataFrame:
     """Per booked cabin: how many rows are stored, the last of them, and whether an adult is near.
 
@@ -308,43 +346,26 @@ def check_booking_passengers(t: Tables, batch: DataFrame | None = None) -> DataF
     The context is staged once, and so is the state per cabin; the later passes read narrow columns.
     """
     rows = (t["BookingPassenger"] if batch is None else batch).withColumn("_stored", F.lit(False))
-    computed = ("FareRuleID", "DailySupervisionFee", "FinalFare")
-    rows = rows.drop(*computed)
+    rows = rows.drop(*_COMPUTED)
     if batch is not None:
-        rows = rows.unionByName(t["BookingPassenger"].drop(*computed).withColumn("_stored", F.lit(True)))
+        rows = rows.unionByName(t["BookingPassenger"].drop(*_COMPUTED).withColumn("_stored", F.lit(True)))
     context = stage(_passenger_context(t, rows), "booked-passengers")
     df = context.filter(~F.col("_stored")).join(_cabin_state(t, context), "BookingCabinID", "left")
     full = (F.col("_cap") < 1) | (
         (F.coalesce("_seated", F.lit(0)) >= F.col("_cap"))
         & (F.col("_last").isNull() | (F.col("BookingPassengerID") > F.col("_last")))
     )
-    right = ~F.col("_wrong_booking")
-    checked = _with_violations(
-        df,
-        (F.col("_wrong_booking"), WRONG_BOOKING),
-        (right & full, CABIN_FULL),
-        (right & F.col("_wrong_band"), WRONG_AGE_BAND),
-        (right & F.col("_no_bed"), INFANT_NEEDS_BED),
-        (right & F.col("_odd_bed"), BED_NOT_ALLOWED),
-        (right & F.col("_youth_refused"), YOUTH_NOT_ALLOWED),
-        (right & F.col("_needs_guardian") & ~F.coalesce("_guarded", F.lit(False)), NO_GUARDIAN),
-        (right & F.col("_no_adult_fare"), NO_ADULT_FARE),
-        (right & F.col("_no_child_fare"), NO_CHILD_FARE),
-        (right & F.col("_no_fare"), NO_FARE),
-    )
-    return checked.select(
-        "BookingPassengerID",
-        "BookingID",
-        "BookingCabinID",
-        "PassengerID",
-        "AgeCategoryID",
-        "InfantBedOption",
-        "IsChaperonedYouth",
-        "AgeAtDeparture",
-        *[F.when(right, F.col(c)).alias(c) for c in computed],
-        "violations",
-        "first_violation",
-    )
+    lone = F.col("_needs_guardian") & ~F.coalesce("_guarded", F.lit(False))
+    return _passenger_result(df, {CABIN_FULL: full, NO_GUARDIAN: lone})
+
+
+def check_passenger_rows(t: Tables, rows: DataFrame | None = None) -> DataFrame:
+    """The checks of booked passengers that need no other passenger, with the computed amounts.
+
+    Capacity and guardian are left out, so nothing is staged: one pass over the rows.
+    """
+    rows = (t["BookingPassenger"] if rows is None else rows).drop(*_COMPUTED)
+    return _passenger_result(_passenger_context(t, rows.withColumn("_stored", F.lit(False))), {})
 
 
 # --- cancellations -------------------------------------------------------------------------------

@@ -24,6 +24,9 @@ def local_session(app: str = "tidewake", cores: int | str = "*", **conf: str) ->
     return spark
 
 
+_STAGED: list[str] = []
+
+
 def staging_root(spark: SparkSession) -> str:
     """Folder for staged tables: the one the cluster names; a temporary one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -32,7 +35,6 @@ def staging_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="tidewake-stage-")
-    spark.conf.set("spark.checkpoint.dir", root) if spark.conf.isModifiable("spark.checkpoint.dir") else None
     spark.sparkContext.setCheckpointDir(root)
     return root
 
@@ -46,4 +48,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the folders staged so far; call it once the results that read them are written."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
