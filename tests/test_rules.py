@@ -288,3 +288,20 @@ def test_staged_folders_can_be_dropped(spark):
     with pytest.raises(PySparkException):
         spark.read.parquet(path).count()
     session._STAGED.extend(kept)
+
+
+def test_hot_cabin(t):
+    """Thousands of claims on one cabin and one spot: the first ones win, nothing is dropped."""
+    spark = t["Booking"].sparkSession
+    claims = spark.range(100, 3100).selectExpr(
+        "id AS BookingPassengerID", "3 AS BookingID", "3 AS BookingCabinID", "1 AS PassengerID", "4 AS AgeCategoryID",
+        "'NotApplicable' AS InfantBedOption", "false AS IsChaperonedYouth",
+    )
+    seats = claims.selectExpr("*", "CAST(NULL AS INT) AS FareRuleID", "CAST(0 AS DECIMAL(10,2)) AS DailySupervisionFee", "CAST(0 AS DECIMAL(12,2)) AS FinalFare")
+    got = rules.check_booking_passengers({**t, "BookingPassenger": seats})
+    valid, rejected = split_valid(got)
+    assert sorted(r.BookingPassengerID for r in valid.collect()) == [100, 101, 102, 103, 104]
+    assert rejected.count() == 2995 and rejected.select("first_violation").distinct().count() == 1
+    spots = spark.range(100, 3100).selectExpr("id AS BookingCabinID", "16 AS BookingID", "25 AS CabinID", "CAST(0 AS DECIMAL(12,2)) AS CabinPrice")
+    checked = rules.check_booking_cabins({**t, "BookingCabin": spots})
+    assert [r.BookingCabinID for r in checked.filter("first_violation IS NULL").collect()] == [100]
