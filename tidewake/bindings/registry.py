@@ -26,6 +26,7 @@ from tidewake.functions import (
 from tidewake.operators import audits as A
 from tidewake.operators import lookups as H
 from tidewake.operators import rules as X
+from tidewake.operators.common import union_all
 from tidewake.plans import procedures as P
 from tidewake.plans import reports as R
 from tidewake.plans import views as V
@@ -788,9 +789,6 @@ register(
 _ALL_TABLES = sorted([*BUILDERS, *VALUES])
 register(
     "s1_table_counts",
-    lambda t: reduce(
-        DataFrame.unionByName,
-        [t[n].agg(F.lit(n).alias("TableName"), F.count(F.lit(1)).alias("RowCount")) for n in _ALL_TABLES],
-    ),
+    lambda t: union_all([t[n].agg(F.lit(n).alias("TableName"), F.count(F.lit(1)).alias("RowCount")) for n in _ALL_TABLES]),
     "\nUNION ALL ".join(f"SELECT '{n}' AS TableName, count(*) AS RowCount FROM {n}" for n in _ALL_TABLES),
 )

@@ -8,10 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.catalogue import (
@@ -22,67 +21,62 @@ from tidewake.catalogue import (
     key_of,
     not_null_columns,
 )
+from tidewake.operators.common import union_all
 from tidewake.sources.tables import Tables
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
-def _row(constraint: Column | str, table: str, key: Column, detail: Column) -> list[Column]:
-    name = F.lit(constraint) if isinstance(constraint, str) else constraint
-    return [name.alias("constraint"), F.lit(table).alias("table"), key.alias("key"), detail.alias("detail")]
-
-
-def _text_key(columns: Sequence[str]) -> Column:
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]
-    return F.concat_ws("|", *parts)
+def _found(df: DataFrame, constraint: str, table: str, key: str) -> DataFrame:
+    """Counted values as audit rows."""
+    return df.selectExpr(
+        f"{_quoted(constraint)} AS `constraint`",
+        f"{_quoted(table)} AS `table`",
+        f"{key} AS `key`",
+        "concat(count, ' rows') AS detail",
+    )
 
 
 def audit_unique(t: Tables, constraints: Iterable[Unique]) -> DataFrame:
     """Values that occur more than once. A NULL in a primary key is reported, in another key skipped."""
     parts = []
     for c in constraints:
-        counts = t[c.table].groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n"))
-        has_null = reduce(lambda a, b: a | b, [F.col(x).isNull() for x in c.columns])
-        bad = (F.col("_n") > 1) | has_null if c.primary else (F.col("_n") > 1) & ~has_null
-        detail = F.concat(F.col("_n").cast("string"), F.lit(" rows"))
-        parts.append(counts.filter(bad).select(*_row(c.name, c.table, _text_key(c.columns), detail)))
-    return _union(parts)
+        has_null = " OR ".join(f"{x} IS NULL" for x in c.columns)
+        bad = f"count > 1 OR {has_null}" if c.primary else f"count > 1 AND NOT ({has_null})"
+        key = ", ".join(f"coalesce(CAST({x} AS STRING), 'NULL')" for x in c.columns)
+        counts = t[c.table].groupBy(*c.columns).count().filter(bad)
+        parts.append(_found(counts, c.name, c.table, f"concat_ws('|', {key})"))
+    return union_all(parts)
 
 
 def audit_references(t: Tables, references: Iterable[Reference]) -> DataFrame:
     """Values without a parent row, with the number of rows that carry them; NULL is no reference."""
     parts = []
     for r in references:
-        values = (
-            t[r.table]
-            .filter(F.col(r.column).isNotNull())
-            .groupBy(F.col(r.column).alias("_value"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
-        parents = t[r.parent].select(F.col(r.parent_column).alias("_value"))
-        detail = F.concat(F.col("_n").cast("string"), F.lit(" rows"))
-        parts.append(
-            values.join(parents, "_value", "left_anti").select(
-                *_row(r.name, r.table, F.col("_value").cast("string"), detail)
-            )
-        )
-    return _union(parts)
-
-
-def _flagged(df: DataFrame, table: str, key: str, checks: Sequence[tuple[str, Column, str]]) -> DataFrame:
-    """All row conditions of a table in one scan: failed ones are collected per row and spread out.
+        values = t[r.table].filter(f"{r.column} IS NOT NULL").groupBy(r.column).count()
+        parents = t[r.parent].selectExpr(f"{r.parent_column} AS {r.column}")
+        orphans = values.join(parents, r.column, "left_anti")
+        parts.append(_found(orphans, r.name, r.table, f"CAST({r.column} AS STRING)"))
+    return union_all(parts)
+
+
+def _flagged(df: DataFrame, table: str, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """All row conditions (name, condition that is broken, detail) of a table in one scan.
 
     The filter keeps only rows with a failure, and its comparisons reach the scan, where row groups
-    without one are skipped by their statistics.
+    without one are skipped by their statistics. A row's failures are then spread out.
     """
-    any_bad = reduce(lambda a, b: a | b, [bad for _, bad, _ in checks])
-    failed = F.array_compact(
-        F.array(*[F.when(bad, F.struct(F.lit(n).alias("n"), F.lit(d).alias("d"))) for n, bad, d in checks])
+    broken = ", ".join(
+        f"IF({bad}, named_struct('constraint', {_quoted(name)}, 'detail', {_quoted(detail)}), NULL)"
+        for name, bad, detail in checks
+    )
+    return (
+        df.filter(" OR ".join(f"({bad})" for _, bad, _ in checks))
+        .selectExpr(f"CAST({key_of(table)} AS STRING) AS `key`", f"inline(array_compact(array({broken})))")
+        .selectExpr("`constraint`", f"{_quoted(table)} AS `table`", "`key`", "detail")
     )
-    hits = df.filter(any_bad).select(F.col(key).cast("string").alias("_key"), F.explode(failed).alias("_hit"))
-    return hits.select(*_row(F.col("_hit.n"), table, F.col("_key"), F.col("_hit.d")))
 
 
 def audit_rows(t: Tables, checks: Iterable[RowCheck]) -> DataFrame:
@@ -90,18 +84,17 @@ def audit_rows(t: Tables, checks: Iterable[RowCheck]) -> DataFrame:
     by_table = sorted(checks, key=lambda c: c.table)
     parts = []
     for table, group in groupby(by_table, key=lambda c: c.table):
-        tests = [(c.name, ~F.expr(c.condition), c.condition) for c in group]
-        parts.append(_flagged(t[table], table, key_of(table), tests))
-    return _union(parts)
+        parts.append(_flagged(t[table], table, [(c.name, f"NOT ({c.condition})", c.condition) for c in group]))
+    return union_all(parts)
 
 
 def audit_not_null(t: Tables, tables: Iterable[str] | None = None) -> DataFrame:
     """NULLs in columns that must have a value."""
     parts = []
     for table in tables or t:
-        tests = [(f"NN_{table}_{c}", F.col(c).isNull(), c) for c in not_null_columns(table)]
-        parts.append(_flagged(t[table], table, key_of(table), tests))
-    return _union(parts)
+        tests = [(f"NN_{table}_{c}", f"{c} IS NULL", c) for c in not_null_columns(table)]
+        parts.append(_flagged(t[table], table, tests))
+    return union_all(parts)
 
 
 def fill_defaults(
@@ -127,9 +120,7 @@ def audit_symmetric(
     b: str = "AdjacentCabinID",
 ) -> DataFrame:
     """Edges whose reverse is missing."""
-    pairs = edges.groupBy(a, b).agg(F.count(F.lit(1)).alias("_n"))
-    reverse = edges.select(F.col(b).alias(a), F.col(a).alias(b))
+    pairs = edges.groupBy(a, b).count()
+    reverse = edges.selectExpr(f"{b} AS {a}", f"{a} AS {b}")
     lone = pairs.join(reverse, [a, b], "left_anti")
-    key = F.concat_ws("|", F.col(a).cast("string"), F.col(b).cast("string"))
-    detail = F.concat(F.col("_n").cast("string"), F.lit(" rows"))
-    return lone.select(*_row(f"SYM_{table}", table, key, detail))
+    return _found(lone, f"SYM_{table}", table, f"concat_ws('|', CAST({a} AS STRING), CAST({b} AS STRING))")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,3 +28,12 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) by the ``violations`` column."""
     bad = F.size("violations") > 0
     return df.filter(~bad), df.filter(bad)
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union of frames with equal columns, joined pairwise: a long chain of unions is slow to analyse."""
+    level = list(parts)
+    while len(level) > 1:
+        pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
+        level = [p[0].union(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return level[0]
