@@ -78,7 +78,11 @@ def effective_rule(
     start: str = "EffectiveFrom",
     end: str = "EffectiveTo",
 ) -> DataFrame:
-    """``facts`` with the columns ``take`` of the rule in force on ``date_col``; NULL where there is none."""
+    """``facts`` with the columns ``take`` of the rule in force on ``date_col``; NULL where there is none.
+
+    ``facts`` is read twice: once for its distinct (keys, date), once to attach the answer. Pass a
+    staged or cheap frame, or attach the result of ``effective_prices`` to a smaller one.
+    """
     prices = effective_prices(facts, rules, keys, date_col, take, start=start, end=end)
     return facts.join(prices, [*keys, date_col], "left")
 
