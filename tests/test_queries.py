@@ -3,6 +3,7 @@
 import pytest
 
 import oracle
+from tidewake.bindings.registry import QUERIES
 from __spark_entry__ import entry, oracle_sql, queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,7 +15,8 @@ def con():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+# The text-corpus queries have tests of their own in tests/llm.
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     ok, note = oracle.compare(queries()[name](spark, FOLDER), con, ORACLES[name])
     assert ok, note
