@@ -4,17 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import quality_rules
+from tidewake.llm import decontaminate, packing, quality_rules, secrets, token_counts
 from tidewake.llm.frames import read
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_secrets(read(spark, folder, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.score_quality(read(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
+    "op3_token_counts": op3_token_counts,
+    "op5_packing": op5_packing,
+    "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
 
