@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import decontaminate, packing, quality_rules, secrets, token_counts
+from tidewake.llm import decontaminate, lattice, packing, passage_dedup, quality_rules, secrets, token_counts
 from tidewake.llm.frames import read
 
 
@@ -23,6 +23,14 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_lattice_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.score_documents(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passage_dedup.drop_repeated_passages(read(spark, folder, "documents")).drop("kept_text")
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(read(spark, folder, "documents"))
 
@@ -35,6 +43,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
+    "op6_lattice_score": op6_lattice_score,
+    "op7_passage_dedup": op7_passage_dedup,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
