@@ -85,8 +85,6 @@ def test_lattice_base_and_split(docs):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, tokens, known, total)
         assert abs(r["base_score"] - base) <= 1e-9 * abs(base) + 1e-9
         assert math.isfinite(r["score"]) and r["score"] < 0
-    out = [r for r in rows if r["held_out"]]
-    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
     assert lattice.score_documents(docs.limit(0), vocabulary).count() == 0
 
 
@@ -95,18 +93,24 @@ def test_lattice_sums_all_segmentations():
 
     pieces = lattice.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     model = lattice.Lattice(pieces)
-    start, inner = ({p: w for p, w in zip(part, weights)} for part, weights in ((pieces.starting, pieces.weight), (pieces.inner, pieces.weight[len(pieces.starting) :])))
+    n, m = len(pieces.starting), len(pieces.inner)
+    names = pieces.starting * 2 + pieces.inner * 2
+    cuts = [0, n, 2 * n, 2 * n + m, 2 * n + 2 * m]
+    whole, begin_, go_on, end_ = (dict(zip(names[a:b], pieces.weight[a:b])) for a, b in zip(cuts, cuts[1:]))
 
     def total(word, begin=0):
         if begin == len(word):
-            return math.exp(pieces.weight[-1])
-        table = inner if begin else start
-        return sum(math.exp(table[word[begin:e]]) * total(word, e) for e in range(begin + 1, len(word) + 1) if word[begin:e] in table)
+            return 1.0
+        out = 0.0
+        for e in range(begin + 1, len(word) + 1):
+            table = {(1, 1): whole, (1, 0): begin_, (0, 0): go_on, (0, 1): end_}[begin == 0, e == len(word)]
+            if word[begin:e] in table:
+                out += math.exp(table[word[begin:e]]) * total(word, e)
+        return out
 
     for word in (b"a", b"then", "größe".encode(), b"x1-y"):
         got = model.log_probability(np.frombuffer(word, np.uint8).reshape(1, -1))[0]
         assert abs(got - math.log(total(word))) < 1e-9
     counts = np.zeros(len(pieces.weight))
     model.expected(np.frombuffer(b"then", np.uint8).reshape(1, -1), np.array([3.0]), counts)
-    lengths = np.array([len(p) for p in pieces.starting + pieces.inner])
-    assert abs((counts[:-1] * lengths).sum() - 12) < 1e-9 and counts[-1] == 3
+    assert abs((counts * [len(p) for p in names]).sum() - 12) < 1e-9
