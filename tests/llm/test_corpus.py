@@ -8,7 +8,7 @@ import zlib
 import public_tokenizers
 import pytest
 
-from tidewake.llm import lattice, passage_dedup
+from tidewake.llm import lattice, ngram_join, passage_dedup
 from tidewake.llm.frames import read
 
 FOLDER = "/root/testdata/sf0.001"
@@ -114,3 +114,81 @@ def test_lattice_sums_all_segmentations():
     counts = np.zeros(len(pieces.weight))
     model.expected(np.frombuffer(b"then", np.uint8).reshape(1, -1), np.array([3.0]), counts)
     assert abs((counts * [len(p) for p in names]).sum() - 12) < 1e-9
+
+
+LOWER_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def shingles(text, size=5):
+    words = LOWER_WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def classes(rows, similarity=0.8):
+    sets = [shingles(t) for _, t in rows]
+    links, parent = [0] * len(rows), list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                parent[find(i)] = find(j)
+    members = {}
+    for i, (doc_id, _) in enumerate(rows):
+        members.setdefault(find(i), []).append(doc_id)
+    return [(d, min((x for x in members[find(i)] if x is not None), default=None), links[i]) for i, (d, _) in enumerate(rows)]
+
+
+@pytest.fixture(scope="module")
+def near(spark, docs):
+    import random
+
+    draw = random.Random(2)
+    base = [f"v{draw.randint(0, 500)}" for _ in range(120)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for _ in range(k % 7):
+            words[draw.randint(0, 119)] = f"u{draw.randint(0, 999)}"
+        rows.append((200_000 + k, " ".join(words), "en", "s", 0, ""))
+    return docs.unionByName(spark.createDataFrame(rows, docs.schema))
+
+
+@pytest.mark.parametrize("bucket", [400, 8])
+def test_similar_documents(near, bucket, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET", bucket)
+    got = ngram_join.similar_documents(near)
+    want = classes(pairs(near))
+    assert sum(w[2] > 0 for w in want) > 50
+    same([tuple(r) for r in got.select("doc_id", "class_id", "n_links").collect()], want)
+    if bucket == 400:
+        kept = ngram_join.drop_similar(near)
+        wordless = sum(not shingles(t) for _, t in pairs(near))
+        assert kept.columns == near.columns
+        groups = {c for (_, c, _), (_, t) in zip(want, pairs(near)) if shingles(t)}
+        assert kept.count() == len(groups) + wordless
+
+
+def test_similar_documents_of_nothing(docs):
+    assert ngram_join.similar_documents(docs.limit(0)).count() == 0
+
+
+def test_components(spark):
+    import random
+
+    from tidewake.llm.components import connected, local_roots
+
+    draw = random.Random(4)
+    pairs_ = [(draw.randint(0, 400), draw.randint(0, 400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 560)]
+    roots = local_roots(600, pairs_)
+    got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(pairs_, "a long, b long")).collect()}
+    assert got and all(roots[n] == r for n, r in got.items())
+    assert set(got) == {x for p in pairs_ for x in p if p[0] != p[1]}
