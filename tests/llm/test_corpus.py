@@ -8,7 +8,7 @@ import zlib
 import public_tokenizers
 import pytest
 
-from tidewake.llm import lattice, ngram_join, passage_dedup
+from tidewake.llm import lattice, line_dedup, ngram_join, passage_dedup
 from tidewake.llm.frames import read
 
 FOLDER = "/root/testdata/sf0.001"
@@ -192,3 +192,95 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(pairs_, "a long, b long")).collect()}
     assert got and all(roots[n] == r for n, r in got.items())
     assert set(got) == {x for p in pairs_ for x in p if p[0] != p[1]}
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_banded_distance(edits):
+    import random
+
+    draw = random.Random(edits)
+    short, long = [], []
+    for _ in range(600):
+        a = bytes(draw.choice(b"ab") for _ in range(draw.randint(1, 40)))
+        b = bytearray(a)
+        for _ in range(draw.randint(0, edits + 1)):
+            k = draw.randint(0, len(b))
+            b[k : k + draw.randint(0, 1)] = bytes(draw.choice(b"abc") for _ in range(draw.randint(0, 1)))
+        x, y = sorted((a, bytes(b)), key=len)
+        if len(y) - len(x) <= edits:
+            short.append(x)
+            long.append(y)
+    got = line_dedup.within_edits(short, long, edits)
+    assert got.tolist() == [edit_distance(a, b) <= edits for a, b in zip(short, long)]
+    assert 0 < got.sum() < len(got)
+
+
+def first_lines(rows, edits, least):
+    distinct = sorted({x for _, t in rows for x in t.encode().split(b"\n") if len(x) >= least})
+    parent = {x: x for x in distinct}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(distinct):
+        for b in distinct[:i]:
+            if abs(len(a) - len(b)) <= edits and sum(abs(a.count(c) - b.count(c)) for c in set(a + b)) <= 2 * edits:
+                if edit_distance(a, b) <= edits:
+                    parent[find(a)] = find(b)
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        n = gone = 0
+        for x in text.encode().split(b"\n"):
+            if len(x) >= least:
+                n += 1
+                gone += find(x) in seen
+                seen.add(find(x))
+        out[doc_id] = (n, gone)
+    return out
+
+
+@pytest.fixture(scope="module")
+def lined(spark, docs):
+    import random
+
+    draw = random.Random(8)
+    rows = []
+    for k in range(40):
+        lines = []
+        for _ in range(6):
+            line = bytearray(draw.choice([b"the quick brown fox jumps over it", b"a licence line that all documents share", "größere Zeilen mit Umlauten äöü".encode()]))
+            for _ in range(draw.randint(0, 3)):
+                i = draw.randint(0, len(line))
+                line[i : i + draw.randint(0, 1)] = bytes([draw.randint(97, 122)] * draw.randint(0, 1))
+            lines.append(line.decode(errors="ignore"))
+        rows.append((300_000 + k, "\n".join(lines) + "\n\nshort\n", "en", "s", 0, ""))
+    return docs.filter("doc_id < 60 or doc_id in (100001, 100005)").unionByName(spark.createDataFrame(rows, docs.schema))
+
+
+@pytest.mark.parametrize("bucket", [400, 7])
+def test_lines(lined, bucket, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BUCKET", bucket)
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_dedup.repeated_lines(lined).collect()}
+    want = first_lines(pairs(lined), 2, 20)
+    assert got == want and sum(g for _, g in want.values()) > 100
+    if bucket == 400:
+        out = line_dedup.drop_repeated_lines(lined)
+        assert out.columns == lined.columns
+        again = {r["doc_id"]: r["n_removed"] for r in line_dedup.repeated_lines(out).collect()}
+        assert set(again.values()) == {0}
+
+
+def test_lines_of_nothing(docs):
+    assert line_dedup.repeated_lines(docs.limit(0)).count() == 0
+    assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0

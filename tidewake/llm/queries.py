@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import decontaminate, lattice, packing, passage_dedup, quality_rules, secrets, token_counts
+from tidewake.llm import decontaminate, lattice, line_dedup, ngram_join, packing, passage_dedup, quality_rules, secrets, token_counts
 from tidewake.llm.frames import read
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.repeated_lines(read(spark, folder, "documents")).drop("key")
+
+
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -19,6 +23,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(read(spark, folder, "documents")).drop("key", "leads")
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,8 +48,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_counts": op3_token_counts,
+    "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
     "op6_lattice_score": op6_lattice_score,
     "op7_passage_dedup": op7_passage_dedup,
