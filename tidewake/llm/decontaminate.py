@@ -8,7 +8,6 @@ over a wavelet matrix, their places by walking to sampled suffix positions.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +22,7 @@ from tidewake.llm.frames import map_arrow
 WINDOW_WORDS = 10
 BLOCK_BYTES = 8 << 20  # benchmark text per pass over the documents, which bounds what a task is sent
 SHARD_SYMBOLS = 400_000
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 SAMPLE_EVERY = 8
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -31,6 +32,8 @@ def row_key(*cols: str) -> Column:
     return F.xxhash64(*cols)
 
 
+BATCH_BYTES = 8 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED = "spark.tidewake.llm.shipped"
 
 
@@ -51,6 +54,33 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """mapInArrow with the package at hand in the workers; ``schema`` is Arrow's or Spark's."""
-    ship(df.sparkSession)
-    return df.mapInArrow(run, spark_schema(schema) if isinstance(schema, pa.Schema) else schema)
+    """mapInArrow with the package at hand in the workers; ``schema`` is Arrow's or Spark's.
+
+    Batches are limited by bytes, since texts have any length. Workers are reused by later tasks, so each
+    task gives back what it has freed.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if _byte_size(spark.conf.get(_BATCH_BYTES, "0")) != BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(bounded, spark_schema(schema) if isinstance(schema, pa.Schema) else schema)
+
+
+def _byte_size(value: str) -> int:
+    digits = value.rstrip("b")
+    return int(digits) if digits.isdigit() else -1
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call
+        pass

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from tidewake.llm import textbytes as tb
 from tidewake.llm.frames import map_arrow, texts
-from tidewake.llm.vocab import WordIds
+from tidewake.llm.vocab import word_ids
 
 _OUT = pa.schema(
     [
@@ -171,7 +171,7 @@ def pack(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(vocabulary)
+        words = word_ids(vocabulary)
         n = words.library.get_vocab_size()
         ends = np.zeros(max(n, end_id + 1), bool)
         # The tokens that end a sentence.

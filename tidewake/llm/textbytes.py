@@ -1,7 +1,7 @@
 """Whole-batch text primitives on UTF-8 bytes: words, hashes of words and of word windows.
 
 An Arrow string column is one byte buffer with offsets, so words, hashes and windows of all its texts
-are found with a few numpy passes instead of a loop over words. Work goes in slices of a few million
+are found with a few numpy passes instead of a loop over words. Work goes in slices of half a million
 bytes, which bounds the memory of a task; a single longer text makes a slice of its own.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 500_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SALT_A = np.uint64(0xD1342543DE82EF95)
 SALT_B = np.uint64(0xAF251AF3B0F025B5)

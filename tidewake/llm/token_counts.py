@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from tidewake.llm import textbytes as tb
 from tidewake.llm.frames import map_arrow, texts
-from tidewake.llm.vocab import BytePieces
+from tidewake.llm.vocab import BytePieces, byte_pieces
 
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
@@ -71,7 +71,7 @@ def count_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = BytePieces(vocabulary)
+        pieces = byte_pieces(vocabulary)
         for batch in batches:
             for part in tb.slices(batch, "text"):
                 sizes, counts = [], []

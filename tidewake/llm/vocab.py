@@ -28,7 +28,7 @@ BYTE_PIECES = re.compile(
 )
 WORD_PIECES = re.compile(f"{_CONTRACTIONS}|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]|<\\|")
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000  # of each generation
 
 
 @lru_cache(maxsize=4)
@@ -42,37 +42,61 @@ def is_plain(text: str) -> bool:
     return _ODD.search(text) is None
 
 
-class BytePieces:
-    """Token counts of pre-tokens of a byte-level vocabulary."""
+class _Pieces:
+    """What the library makes of each piece, remembered for the two last generations of pieces."""
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
-        self.known: dict[str, int] = {}
-
-    def learn(self, pieces: list[str]) -> None:
-        new = list(set(pieces).difference(self.known))
-        if not new:
-            return
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-            new = list(set(pieces))
+        self.known: dict = {}
+        self.older: dict = {}
+
+    def look_up(self, pieces: list[str], alone: bool) -> list:
+        """``alone`` says that each piece is one pre-token also between spaces, and keeps its ids there."""
+        found = list(map(self.known.get, pieces))
+        new = {p for p, got in zip(pieces, found) if got is None}
+        if new:
+            if len(self.known) + len(new) > CACHE_PIECES:
+                self.older, self.known = self.known, {}
+            kept = {p: self.older[p] for p in new if p in self.older}
+            self.known.update(kept)
+            self._learn([p for p in new if p not in kept], alone)
+            known = self.known
+            found = [known[p] if got is None else got for p, got in zip(pieces, found)]
+        return found
+
+    def _learn(self, new: list[str], alone: bool) -> None:
+        if alone and len(new) > 1:
+            # One call for all: the pieces keep apart by the spaces, which this vocabulary drops.
+            got = self.library.encode(" ".join(new), add_special_tokens=False)
+            ids, word = np.array(got.ids, "<u4"), np.array(got.word_ids)
+            bounds = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
+            if len(bounds) == len(new) + 1:
+                raw, at = ids.tobytes(), (4 * bounds).tolist()
+                self.known.update(zip(new, (raw[s:e] for s, e in zip(at, at[1:]))))
+                return
         for piece, got in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = len(got)
+            self.known[piece] = self._keep(got)
+
+    def _keep(self, got):
+        return np.array(got.ids, "<u4").tobytes()
+
+
+class BytePieces(_Pieces):
+    """Token counts of pre-tokens of a byte-level vocabulary."""
+
+    def _keep(self, got):
+        return len(got)
 
     def count(self, text: str) -> int:
         if not is_plain(text):
             return len(self.library.encode(text, add_special_tokens=False))
-        pieces = BYTE_PIECES.findall(text)
-        self.learn(pieces)
-        return sum(map(self.known.__getitem__, pieces))
+        return sum(self.look_up(BYTE_PIECES.findall(text), False))
 
     def boundaries(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(offsets of the pre-tokens' starts and of the end, tokens before each)."""
         if is_plain(text):
             pieces = BYTE_PIECES.findall(text)
-            self.learn(pieces)
-            lengths, counts = list(map(len, pieces)), list(map(self.known.__getitem__, pieces))
-            return np.cumsum([0, *lengths]), np.cumsum([0, *counts])
+            return np.cumsum([0, *map(len, pieces)]), np.cumsum([0, *self.look_up(pieces, False)])
         got = self.library.encode(text, add_special_tokens=False)
         word = np.array(got.word_ids)
         first = np.flatnonzero(np.diff(word, prepend=-1))
@@ -80,30 +104,18 @@ class BytePieces:
         return np.append(at[first], len(text)), np.append(first, len(word))
 
 
-class WordIds:
+class WordIds(_Pieces):
     """Ids of a word-end vocabulary that lower-cases and drops white space."""
 
-    def __init__(self, path: str):
-        self.library = tokenizer(path)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        new = list(set(pieces).difference(self.known))
-        if not new:
-            return
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-            new = list(set(pieces))
-        for piece, got in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = np.array(got.ids, "<u4").tobytes()
-
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit numbers."""
         if is_plain(text):
-            pieces = WORD_PIECES.findall(text.lower())
-        elif _SEPARATORS.search(text) is None:
-            pieces = text.split()
-        else:
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        self._learn(pieces)
-        return b"".join(map(self.known.__getitem__, pieces))
+            return b"".join(self.look_up(WORD_PIECES.findall(text.lower()), True))
+        if _SEPARATORS.search(text) is None:
+            return b"".join(self.look_up(text.split(), False))
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+# One per process: workers are reused, and what a task has learned serves the next.
+byte_pieces = lru_cache(maxsize=1)(BytePieces)
+word_ids = lru_cache(maxsize=1)(WordIds)
