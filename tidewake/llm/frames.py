@@ -33,7 +33,6 @@ def row_key(*cols: str) -> Column:
 
 
 BATCH_BYTES = 8 << 20
-_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED = "spark.tidewake.llm.shipped"
 
 
@@ -61,8 +60,7 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """
     spark = df.sparkSession
     ship(spark)
-    if _byte_size(spark.conf.get(_BATCH_BYTES, "0")) != BATCH_BYTES:
-        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
@@ -73,11 +71,6 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(bounded, spark_schema(schema) if isinstance(schema, pa.Schema) else schema)
 
 
-def _byte_size(value: str) -> int:
-    digits = value.rstrip("b")
-    return int(digits) if digits.isdigit() else -1
-
-
 def release_memory() -> None:
     pa.default_memory_pool().release_unused()
     try:
