@@ -117,5 +117,11 @@ class WordIds(_Pieces):
 
 
 # One per process: workers are reused, and what a task has learned serves the next.
-byte_pieces = lru_cache(maxsize=1)(BytePieces)
-word_ids = lru_cache(maxsize=1)(WordIds)
+@lru_cache(maxsize=1)
+def byte_pieces(path: str) -> BytePieces:
+    return BytePieces(path)
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
