@@ -8,7 +8,7 @@ import zlib
 import public_tokenizers
 import pytest
 
-from tidewake.llm import lattice, line_dedup, ngram_join, passage_dedup
+from tidewake.llm import byte_dedup, lattice, line_dedup, ngram_join, passage_dedup
 from tidewake.llm.frames import read
 
 FOLDER = "/root/testdata/sf0.001"
@@ -284,3 +284,37 @@ def test_lines(lined, bucket, monkeypatch):
 def test_lines_of_nothing(docs):
     assert line_dedup.repeated_lines(docs.limit(0)).count() == 0
     assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
+
+
+def repeated_bytes(rows, window, keep_first):
+    where = {}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    for k, (_, t) in enumerate(ordered):
+        raw = t.encode()
+        for at in range(len(raw) - window + 1):
+            where.setdefault(raw[at : at + window], []).append((k, at))
+    gone = [set() for _ in ordered]
+    for places in where.values():
+        for k, at in places[1:] if keep_first else places if len(places) > 1 else ():
+            gone[k].update(range(at, at + window))
+    out = []
+    for (doc_id, t), drop in zip(ordered, gone):
+        raw = t.encode()
+        spans = sum(1 for i in drop if i - 1 not in drop)
+        kept = bytes(b for i, b in enumerate(raw) if i not in drop)
+        out.append((doc_id, len(raw), len(drop), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("hot,seed", [(1000, 64), (1, 16)])
+def test_bytes(docs, hot, seed):
+    rows = docs.filter("doc_id is null or doc_id < 80 or doc_id between 100000 and 100011")
+    got = byte_dedup.find_repeated_bytes(rows, 150, False, seed, hot).drop("removed")
+    same([tuple(r) for r in got.collect()], repeated_bytes(pairs(rows), 150, False))
+
+
+def test_bytes_keep_first(docs):
+    rows = docs.filter("doc_id < 60 or doc_id between 100000 and 100011").dropDuplicates(["doc_id"])
+    got = byte_dedup.find_repeated_bytes(rows, 150, True).drop("removed")
+    same([tuple(r) for r in got.collect()], repeated_bytes(pairs(rows), 150, True))
+    assert byte_dedup.find_repeated_bytes(docs.limit(0)).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewake.llm import decontaminate, lattice, line_dedup, ngram_join, packing, passage_dedup, quality_rules, secrets, token_counts
+from tidewake.llm import byte_dedup, decontaminate, lattice, line_dedup, ngram_join, packing, passage_dedup, quality_rules, secrets, token_counts
 from tidewake.llm.frames import read
 
 
@@ -39,6 +39,10 @@ def op7_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passage_dedup.drop_repeated_passages(read(spark, folder, "documents")).drop("kept_text")
 
 
+def op8_byte_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_dedup.find_repeated_bytes(read(spark, folder, "documents"), keep_first=False).drop("removed")
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(read(spark, folder, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_lattice_score": op6_lattice_score,
     "op7_passage_dedup": op7_passage_dedup,
+    "op8_byte_dedup": op8_byte_dedup,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
