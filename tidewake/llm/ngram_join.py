@@ -253,14 +253,16 @@ def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=_FOUND)
 
 
-_GRAMS = pa.schema([("sid", pa.int64()), ("grams", pa.list_(pa.int64()))])
+# Half of a shingle's hash tells the shingles of one bucket apart: two of them fall together with
+# probability 2**-32, and a verdict changes only if that happens to a pair on the threshold.
+_GRAMS = pa.schema([("sid", pa.int64()), ("grams", pa.list_(pa.int32()))])
 
 
 def _grams(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in tb.slices(batch, "text"):
             gram, at = shingle_sets(part.column("text"), size)
-            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(gram.view(np.int64)))
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array((gram >> np.uint64(32)).astype(np.uint32).view(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column("sid"), lists], schema=_GRAMS)
 
 
