@@ -255,6 +255,12 @@ def test_reschedule(t):
     assert run(datetime(2026, 8, 1, 18))[0] == [rules.ALREADY_DEPARTED]
     assert run(datetime(2026, 7, 1, 10), booked=datetime(2025, 9, 10, 16))[0] == [rules.BEYOND_ONE_YEAR]
     assert run(datetime(2026, 7, 1, 10), booked=datetime(2025, 9, 10, 17))[0] == []
+    assert run(datetime(2026, 7, 1, 10), voyage=999) == ([rules.UNKNOWN_NEW_VOYAGE], 752, None)
+
+
+def test_stored_row_handed_in_again_keeps_its_cabin(t):
+    again = t["BookingCabin"].filter("BookingCabinID = 1")
+    assert rules.check_booking_cabins(t, again).first().violations == []
 
 
 def test_birth_dates(t):

@@ -42,6 +42,8 @@ UNKNOWN_SERVICE = "Referenced SpecialService not found."
 # Own wording; the rules behind these exist as prose only.
 ALREADY_DEPARTED = "Cannot reschedule after the original voyage has departed."
 BEYOND_ONE_YEAR = "New voyage must depart within one year of the original booking date."
+UNKNOWN_BOOKING = "Original booking not found."
+UNKNOWN_NEW_VOYAGE = "New voyage not found."
 FUTURE_BIRTH = "Date of birth cannot be in the future."
 
 
@@ -86,8 +88,10 @@ def check_booking_cabins(t: Tables, batch: DataFrame | None = None) -> DataFrame
     rows = rows.join(first, spot, "left")
     taken = holding & (F.col("BookingCabinID") > F.col("_first"))
     if batch is not None:
+        # A stored row that the batch changes holds nothing in its old form.
+        others = t["BookingCabin"].join(batch.select("BookingCabinID").distinct(), "BookingCabinID", "left_anti")
         stored = (
-            _cabin_context(t, t["BookingCabin"])
+            _cabin_context(t, others)
             .filter(holding & ~F.col("_wrong_ship"))
             .select(*spot)
             .distinct()
@@ -298,26 +302,39 @@ def _passenger_result(df: DataFrame, group_flags: dict[str, Column]) -> DataFram
 def _cabin_state(t: Tables, context: DataFrame) -> DataFrame:
     """Per booked cabin: how many rows are stored, the last of them, and whether an adult is near.
 
-    Only survivors of the row-local checks are stored, in key order up to the cabin's limit. The rank
-    is cut at the hard limit before the shuffle, so at most five rows per cabin leave a map task.
+    Rows that are stored already are only counted, however many there are. Of the new rows the survivors
+    of the row-local checks take the places left, in key order. Their rank is cut at the hard limit
+    before the shuffle, so at most five rows per cabin leave a map task.
     """
     failed = F.lit(False)
     for flag in _LOCAL_FLAGS:
         failed = failed | F.coalesce(F.col(flag), F.lit(False))
-    order = Window.partitionBy("BookingCabinID").orderBy(F.desc("_stored"), "BookingPassengerID")
-    stored = (
-        context.filter(F.col("_stored") | ~failed)
-        .select("BookingCabinID", "BookingPassengerID", "_stored", "_cap", "_adult")
+    held = (
+        context.filter("_stored")
+        .groupBy("BookingCabinID")
+        .agg(F.count(F.lit(1)).alias("_held"), F.max("_adult").alias("_adult_held"))
+    )
+    order = Window.partitionBy("BookingCabinID").orderBy("BookingPassengerID")
+    new = (
+        context.filter(~F.col("_stored") & ~failed)
+        .select("BookingCabinID", "BookingPassengerID", "_cap", "_adult")
         .withColumn("_place", F.row_number().over(order))
         .filter(F.col("_place") <= MAX_IN_CABIN)
-        .filter(F.col("_stored") | (F.col("_place") <= F.col("_cap")))
+        .join(held.select("BookingCabinID", "_held"), "BookingCabinID", "left")
+        .filter(F.col("_place") <= F.col("_cap") - F.coalesce("_held", F.lit(0)))
         .groupBy("BookingCabinID")
         .agg(
-            F.count(F.lit(1)).alias("_seated"),
-            F.max(F.when(~F.col("_stored"), F.col("BookingPassengerID"))).alias("_last"),
-            F.max("_adult").alias("_has_adult"),
+            F.count(F.lit(1)).alias("_new"),
+            F.max("BookingPassengerID").alias("_last"),
+            F.max("_adult").alias("_adult_new"),
         )
     )
+    stored = held.join(new, "BookingCabinID", "full").select(
+        "BookingCabinID",
+        (F.coalesce("_held", F.lit(0)) + F.coalesce("_new", F.lit(0))).alias("_seated"),
+        "_last",
+        (F.coalesce("_adult_held", F.lit(False)) | F.coalesce("_adult_new", F.lit(False))).alias("_has_adult"),
+    )
     cabins = context.groupBy("BookingCabinID").agg(
         F.max("VoyageID").alias("VoyageID"), F.max("CabinID").alias("CabinID"), F.max("_holding").alias("_holding")
     )
@@ -348,7 +365,9 @@ def check_booking_passengers(t: Tables, batch: DataFrame | None = None) -> DataF
     rows = (t["BookingPassenger"] if batch is None else batch).withColumn("_stored", F.lit(False))
     rows = rows.drop(*_COMPUTED)
     if batch is not None:
-        rows = rows.unionByName(t["BookingPassenger"].drop(*_COMPUTED).withColumn("_stored", F.lit(True)))
+        # A stored row that the batch changes counts in its new form only.
+        others = t["BookingPassenger"].join(batch.select("BookingPassengerID").distinct(), "BookingPassengerID", "left_anti")
+        rows = rows.unionByName(others.drop(*_COMPUTED).withColumn("_stored", F.lit(True)))
     context = stage(_passenger_context(t, rows), "booked-passengers")
     df = context.filter(~F.col("_stored")).join(_cabin_state(t, context), "BookingCabinID", "left")
     full = (F.col("_cap") < 1) | (
@@ -468,7 +487,10 @@ def snapshot_service_fees(t: Tables, requests: DataFrame | None = None) -> DataF
 
 
 def check_reschedules(t: Tables) -> DataFrame:
-    """Reschedule requests with the fee: nothing, or the whole total within 48 hours of departure."""
+    """Reschedule requests with the fee: nothing, or the whole total within 48 hours of departure.
+
+    A request whose original booking or new voyage is unknown is a violation without a fee.
+    """
     sailings = t["CruiseVoyage"].select("VoyageID", "DepartureDateTime")
     original = (
         t["Booking"]
@@ -486,8 +508,12 @@ def check_reschedules(t: Tables) -> DataFrame:
         .withColumn("HoursUntilDeparture", hours)
         .withColumn("RescheduleFee", money(fee))
     )
+    unknown_old, unknown_new = F.col("_old").isNull(), F.col("_new").isNull()
+    joined = joined.withColumn("RescheduleFee", F.when(~unknown_old & ~unknown_new, F.col("RescheduleFee")))
     checked = _with_violations(
         joined,
+        (unknown_old, UNKNOWN_BOOKING),
+        (unknown_new, UNKNOWN_NEW_VOYAGE),
         (F.col("RequestDateTime") >= F.col("_old"), ALREADY_DEPARTED),
         (F.col("_new") > F.col("BookingDate") + F.expr("interval 1 year"), BEYOND_ONE_YEAR),
     )
