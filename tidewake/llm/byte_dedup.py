@@ -80,20 +80,29 @@ def rank_by_prefix(symbols: np.ndarray, length: int) -> np.ndarray:
     """Rank of each suffix by its first ``length`` symbols, by prefix doubling; equal prefixes share a rank."""
     n = len(symbols)
 
-    def joined(first: np.ndarray, shift: int) -> np.ndarray:
-        second = np.zeros(n, np.int64)
-        if shift < n:
-            second[: n - shift] = first[shift:] + 1
-        key = first * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+    def ranked(key: np.ndarray) -> np.ndarray:
+        order = np.argsort(key)
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
         return rank
 
-    rank, width = symbols.astype(np.int64), 1
-    while 2 * width <= length:
-        rank, width = joined(rank, width), 2 * width
-    return joined(rank, length - width) if width < length else rank
+    def shifted(values: np.ndarray, shift: int) -> np.ndarray:
+        out = np.zeros(n, np.int64)
+        if shift < n:
+            out[: n - shift] = values[shift:]
+        return out
+
+    # Seven symbols of nine bits are one number, so the doubling starts from seven.
+    width = min(7, length)
+    packed = np.zeros(n, np.int64)
+    for k in range(width):
+        packed = (packed << 9) | shifted(symbols.astype(np.int64), k)
+    rank = ranked(packed)
+    while width < length:
+        step = min(width, length - width)
+        rank = ranked(rank * (n + 1) + shifted(rank + 1, step))
+        width += step
+    return rank
 
 
 def earlier_and_any(order_key: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
