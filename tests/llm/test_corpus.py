@@ -313,8 +313,9 @@ def test_bytes(docs, hot, seed):
     same([tuple(r) for r in got.collect()], repeated_bytes(pairs(rows), 150, False))
 
 
-def test_bytes_keep_first(docs):
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_bytes_keep_first(docs, hot):
     rows = docs.filter("doc_id < 60 or doc_id between 100000 and 100011").dropDuplicates(["doc_id"])
-    got = byte_dedup.find_repeated_bytes(rows, 150, True).drop("removed")
+    got = byte_dedup.find_repeated_bytes(rows, 150, True, hot=hot).drop("removed")
     same([tuple(r) for r in got.collect()], repeated_bytes(pairs(rows), 150, True))
     assert byte_dedup.find_repeated_bytes(docs.limit(0)).count() == 0

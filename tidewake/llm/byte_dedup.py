@@ -5,8 +5,10 @@ length holds a winnowed seed, and equal strings hold the same. Seeds with one co
 suffix order: all of the context repeats. Where a seed's contexts differ, one context of each sort goes
 into the suffix array of its seed. In suffix order by the threshold length, the matches of a position
 are the run around it, and its previous and next smaller positions there are its earlier matches: a
-position has a longest previous factor over the threshold if the run holds a smaller one. Seeds with too
-many contexts for one task are settled by a hash of each string around them instead.
+position has a longest previous factor over the threshold if the run holds a smaller one. A context that
+shares neither half of the threshold around its seed has no match there and stays out of the suffix order.
+Seeds with too many contexts for one task are settled by hashes of the strings around them instead: first
+of stretches of neighbouring strings, then of the single strings where stretches agree in part.
 """
 
 from __future__ import annotations
@@ -30,10 +32,13 @@ WINDOW_BYTES = 400
 SEED_BYTES = 64
 HOT_CONTEXTS = 1000
 SUFFIX_BYTES = 1_000_000
+HASHED_CONTEXTS = 1000
+STRETCH = 28
 
 _PLACE = [("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int64())]
 _SEEDS = pa.schema([("seed", pa.int64()), ("context", pa.int64()), *_PLACE, ("s", pa.int64()), ("e", pa.int64())])
-_CONTEXTS = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("s", pa.int64()), ("bytes", pa.binary())])
+_CONTEXTS = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int64()), ("s", pa.int64()), ("bytes", pa.binary())])
+_STRETCHES = pa.schema([(c, pa.int64()) for c in ("seed", "stretch", "cut", "h1", "h2", "core", "doc_id", "key", "s", "e")])
 _WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), *_PLACE])
 _SPANS = pa.schema([("key", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
@@ -71,11 +76,66 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = tb.text_bytes(batch.column("text"))
         for i, (doc_id, key, places) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "places")))):
             for p in places:
-                rows.append((p["seed"], 0, doc_id, key, p["s"], data[offsets[i] + p["s"] : offsets[i] + p["e"]].tobytes()))
+                rows.append((p["seed"], 0, doc_id, key, p["at"], p["s"], data[offsets[i] + p["s"] : offsets[i] + p["e"]].tobytes()))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXTS)], schema=_CONTEXTS)
 
 
+def _stretches(batches: Iterator[pa.RecordBatch], window: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring strings around each seed, cut at fixed distances from it: hashes of all their bytes and of those common to all."""
+    reach = window - size
+    for batch in batches:
+        for part in tb.slices(batch, "text"):
+            data, offsets = tb.text_bytes(part.column("text"))
+            values = data.astype(np.uint64) + tb.ONE
+            sums = {b: tb.prefix_sums(values, b) for b in (tb.BASE, tb.SALT_A, tb.SALT_B)}
+            places = part.column("places").to_pylist()
+            doc = np.repeat(np.arange(part.num_rows), [len(x) for x in places])
+            seed, at, s, e = (np.array([p[c] for x in places for p in x], np.int64) for c in ("seed", "at", "s", "e"))
+            for k in range(reach // STRETCH + 1):
+                least = at - reach + k * STRETCH
+                most = np.minimum(least + STRETCH - 1, at)
+                first, last = np.maximum(least, s), np.minimum(most, e - window)
+                some = np.flatnonzero(first <= last)
+                base, begin, end = offsets[doc[some]], first[some], last[some] + window
+                cut = (begin - least[some]) * STRETCH + last[some] - begin
+                hashes = [tb.range_hash(sums[b], base + begin, base + end, b).view(np.int64) for b in (tb.SALT_A, tb.SALT_B)]
+                core = tb.range_hash(sums[tb.BASE], base + most[some], base + least[some] + window, tb.BASE).view(np.int64)
+                take = pa.array(doc[some])
+                columns = [pa.array(x) for x in (seed[some], np.full(len(some), k), cut, *hashes, core)]
+                columns += [part.column("doc_id").take(take), part.column("key").take(take), pa.array(begin), pa.array(end)]
+                yield pa.RecordBatch.from_arrays(columns, schema=_STRETCHES)
+
+
+def _sharing_half(table: pa.Table, window: int, size: int) -> pa.Table:
+    """Contexts that agree with another of their seed in the seed and half the rest of a window, on one side.
+
+    A common window spreads over both sides of the seed, so it covers half the rest on one of them.
+    """
+    half = (window - size + 1) // 2
+    group = group_numbers(table).astype(np.uint64)
+    at = table.column("at").to_numpy() - table.column("s").to_numpy()
+    keep = np.zeros(len(table), bool)
+    keys = np.zeros((2, len(table)), np.uint64)
+    known = np.zeros((2, len(table)), bool)
+    for lo in range(0, len(table), HASHED_CONTEXTS):
+        part = table.column("bytes").slice(lo, HASHED_CONTEXTS).combine_chunks()
+        data, offsets = tb.text_bytes(part)
+        sums = tb.prefix_sums(data.astype(np.uint64) + tb.ONE, tb.BASE)
+        rows = slice(lo, lo + len(part))
+        seed = offsets[:-1] + at[rows]
+        for side, begin, end in ((0, seed - half, seed + size), (1, seed, seed + size + half)):
+            inside = (begin >= offsets[:-1]) & (end <= offsets[1:])
+            known[side, rows] = inside
+            begin, end = np.where(inside, begin, 0), np.where(inside, end, 0)
+            keys[side, rows] = tb.range_hash(sums, begin, end, tb.BASE) ^ tb.mix(group[rows])
+    for side in range(2):
+        which = np.flatnonzero(known[side])
+        _, inverse, times = np.unique(keys[side, which], return_inverse=True, return_counts=True)
+        keep[which[times[inverse] > 1]] = True
+    return table.filter(pa.array(keep))
+
+
 def rank_by_prefix(symbols: np.ndarray, length: int) -> np.ndarray:
     """Rank of each suffix by its first ``length`` symbols, by prefix doubling; equal prefixes share a rank."""
     n = len(symbols)
@@ -125,9 +185,12 @@ def earlier_and_any(order_key: np.ndarray, classes: np.ndarray) -> tuple[np.ndar
     return earlier, other
 
 
-def _factors(batches: Iterator[pa.RecordBatch], window: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
+def _factors(batches: Iterator[pa.RecordBatch], window: int, size: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """Spans of the contexts that match another context of their seed."""
     for table in sorted_groups(batches):
+        table = _sharing_half(table, window, size)
+        if not len(table):
+            continue
         group = group_numbers(table)
         contexts = table.column("bytes").to_pylist()
         sizes = np.array([*map(len, contexts)])
@@ -137,14 +200,14 @@ def _factors(batches: Iterator[pa.RecordBatch], window: int, keep_first: bool) -
         total = np.cumsum(np.add.reduceat(sizes, starts)) // SUFFIX_BYTES
         cuts = starts[np.flatnonzero(np.diff(total, prepend=-1))]
         for lo, hi in zip(cuts, np.append(cuts[1:], len(contexts))):
-            size = sizes[lo:hi]
+            lengths = sizes[lo:hi]
             symbols = np.frombuffer(b"".join(contexts[lo:hi]), np.uint8).astype(np.int64) + 1
             # A separator after each context keeps its suffixes from reaching the next.
-            symbols = np.insert(symbols, np.cumsum(size), 0)
-            owner = np.repeat(np.arange(hi - lo), size + 1)
-            within = np.arange(len(symbols)) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1)
+            symbols = np.insert(symbols, np.cumsum(lengths), 0)
+            owner = np.repeat(np.arange(hi - lo), lengths + 1)
+            within = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths + 1) - lengths - 1, lengths + 1)
             rank = rank_by_prefix(symbols, window)
-            full = np.flatnonzero(within + window <= size[owner])
+            full = np.flatnonzero(within + window <= lengths[owner])
             if not len(full):
                 continue
             who, place = owner[full], begins[lo:hi][owner[full]] + within[full]
@@ -190,6 +253,32 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(doc_id.alias("doc_id"), text.alias("text"), row_key(doc_id, text).alias("key"))
 
 
+def _hashed_spans(rows: DataFrame, stretches: DataFrame, window: int, keep_first: bool) -> DataFrame:
+    """Spans found by hashes: whole stretches that repeat, then the strings of one copy of each that agrees with another in part."""
+    stretches = stage(stretches, "byte-stretches")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "s", "e")
+    alike = ["seed", "stretch", "cut", "h1", "h2"]
+    copies = stage(stretches.groupBy(*alike, "core").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")), "byte-copies")
+    whole = copies.filter("n > 1").select(*alike, F.col("first.key").alias("first_key"), F.col("first.s").alias("first_s"))
+    whole = stretches.join(whole, alike)
+    if keep_first:
+        whole = whole.filter("key <> first_key or s <> first_s")
+
+    core = ["seed", "stretch", "core"]
+    partly = copies.groupBy(*core).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    partly = copies.join(partly, core).select(F.col("first.key").alias("key"), F.struct("seed", F.col("first.s").alias("at"), "first.s", "first.e").alias("place"))
+    lists = stage(partly.groupBy("key").agg(F.collect_set("place").alias("places")), "byte-partly")
+    texts = semi_join(rows, lists.select("key"), "key").join(lists, "key").select("doc_id", "key", "text", "places")
+    windows = map_arrow(map_arrow(texts, _contexts, _CONTEXTS), lambda it: _window_hashes(it, window), _WINDOWS)
+    windows = stage(windows.distinct(), "byte-windows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "at")).alias("first")
+    twice = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first).filter("n > 1")
+    found = windows.join(twice, ["h1", "h2"])
+    if keep_first:
+        found = found.filter("key <> first.key or at <> first.at")
+    return whole.select("key", "s", "e").union(found.select("key", F.col("at").alias("s"), (F.col("at") + window).alias("e")))
+
+
 def repeated_byte_spans(rows: DataFrame, window: int, seed: int, keep_first: bool, hot: int) -> DataFrame:
     """key and spans (array of start and end bytes) of what repeats elsewhere."""
     seeds = stage(map_arrow(rows, lambda it: _seeds(it, window, seed), _SEEDS), "byte-seeds")
@@ -206,26 +295,20 @@ def repeated_byte_spans(rows: DataFrame, window: int, seed: int, keep_first: boo
 
     differing = each.filter("differs").select("seed", "one.*")
     counts = differing.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
-    differing = differing.join(counts, "seed").select("key", F.struct("seed", "s", "e", (F.col("n") > hot).alias("hot")).alias("place"))
+    differing = differing.join(counts, "seed").select("key", F.struct("seed", "at", "s", "e", (F.col("n") > hot).alias("hot")).alias("place"))
     # A list is bounded by the length of its document.
     lists = stage(differing.groupBy("key").agg(F.collect_list("place").alias("places")), "byte-lists")
     texts = semi_join(rows, lists.select("key"), "key").join(lists, "key")
 
-    def contexts(is_hot: bool) -> DataFrame:
-        chosen = texts.withColumn("places", F.filter("places", lambda p: p["hot"] == F.lit(is_hot)))
-        return map_arrow(chosen.filter(F.size("places") > 0).select("doc_id", "key", "text", "places"), _contexts, _CONTEXTS)
+    def chosen(is_hot: bool) -> DataFrame:
+        some = texts.withColumn("places", F.filter("places", lambda p: p["hot"] == F.lit(is_hot)))
+        return some.filter(F.size("places") > 0).select("doc_id", "key", "text", "places")
 
-    cold = contexts(False).repartition("bucket").sortWithinPartitions("bucket")
-    spans = covered.union(map_arrow(cold, lambda it: _factors(it, window, keep_first), _SPANS))
+    cold = map_arrow(chosen(False), _contexts, _CONTEXTS).repartition("bucket").sortWithinPartitions("bucket")
+    spans = covered.union(map_arrow(cold, lambda it: _factors(it, window, seed, keep_first), _SPANS))
     if lists.filter(F.exists("places", lambda p: p["hot"])).limit(1).count():
-        windows = map_arrow(contexts(True), lambda it: _window_hashes(it, window), _WINDOWS)
-        windows = stage(windows.distinct(), "byte-windows")
-        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "at")).alias("first")
-        twice = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first).filter("n > 1")
-        found = windows.join(twice, ["h1", "h2"])
-        if keep_first:
-            found = found.filter("key <> first.key or at <> first.at")
-        spans = spans.union(found.select("key", F.col("at").alias("s"), (F.col("at") + window).alias("e")))
+        stretches = map_arrow(chosen(True), lambda it: _stretches(it, window, seed), _STRETCHES)
+        spans = spans.union(_hashed_spans(rows, stretches, window, keep_first))
     return spans.groupBy("key").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
