@@ -8,13 +8,15 @@ are the run around it, and its previous and next smaller positions there are its
 position has a longest previous factor over the threshold if the run holds a smaller one. A context that
 shares neither half of the threshold around its seed has no match there and stays out of the suffix order.
 Seeds with too many contexts for one task are settled by hashes of the strings around them instead: first
-of stretches of neighbouring strings, then of the single strings where stretches agree in part.
+of long stretches of neighbouring strings, then of ever shorter ones where stretches agree in part, down to
+single strings.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +33,14 @@ from tidewake.session import stage
 WINDOW_BYTES = 400
 SEED_BYTES = 64
 HOT_CONTEXTS = 1000
-SUFFIX_BYTES = 1_000_000
+SUFFIX_BYTES = 250_000
 HASHED_CONTEXTS = 1000
-STRETCH = 28
+STRETCHES = (64, 16, 4, 1)
 
 _PLACE = [("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int64())]
 _SEEDS = pa.schema([("seed", pa.int64()), ("context", pa.int64()), *_PLACE, ("s", pa.int64()), ("e", pa.int64())])
 _CONTEXTS = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int64()), ("s", pa.int64()), ("bytes", pa.binary())])
-_STRETCHES = pa.schema([(c, pa.int64()) for c in ("seed", "stretch", "cut", "h1", "h2", "core", "doc_id", "key", "s", "e")])
-_WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), *_PLACE])
+_STRETCHES = pa.schema([(c, pa.int64()) for c in ("seed", "stretch", "cut", "h1", "h2", "core", "doc_id", "key", "at", "s", "e")])
 _SPANS = pa.schema([("key", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
 
@@ -81,8 +82,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXTS)], schema=_CONTEXTS)
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], window: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Neighbouring strings around each seed, cut at fixed distances from it: hashes of all their bytes and of those common to all."""
+def _stretches(batches: Iterator[pa.RecordBatch], window: int, size: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Up to ``width`` neighbouring strings around each seed, cut at fixed distances from it: hashes of all their bytes and of those common to all."""
     reach = window - size
     for batch in batches:
         for part in tb.slices(batch, "text"):
@@ -92,19 +93,23 @@ def _stretches(batches: Iterator[pa.RecordBatch], window: int, size: int) -> Ite
             places = part.column("places").to_pylist()
             doc = np.repeat(np.arange(part.num_rows), [len(x) for x in places])
             seed, at, s, e = (np.array([p[c] for x in places for p in x], np.int64) for c in ("seed", "at", "s", "e"))
-            for k in range(reach // STRETCH + 1):
-                least = at - reach + k * STRETCH
-                most = np.minimum(least + STRETCH - 1, at)
-                first, last = np.maximum(least, s), np.minimum(most, e - window)
-                some = np.flatnonzero(first <= last)
-                base, begin, end = offsets[doc[some]], first[some], last[some] + window
-                cut = (begin - least[some]) * STRETCH + last[some] - begin
-                hashes = [tb.range_hash(sums[b], base + begin, base + end, b).view(np.int64) for b in (tb.SALT_A, tb.SALT_B)]
-                core = tb.range_hash(sums[tb.BASE], base + most[some], base + least[some] + window, tb.BASE).view(np.int64)
-                take = pa.array(doc[some])
-                columns = [pa.array(x) for x in (seed[some], np.full(len(some), k), cut, *hashes, core)]
-                columns += [part.column("doc_id").take(take), part.column("key").take(take), pa.array(begin), pa.array(end)]
-                yield pa.RecordBatch.from_arrays(columns, schema=_STRETCHES)
+            origin = at - reach
+            low, high = (s - origin) // width, (e - window - origin) // width
+            count = np.maximum(high - low + 1, 0)
+            who = np.repeat(np.arange(len(at)), count)
+            number = low[who] + np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+            least = origin[who] + number * width
+            most = np.minimum(least + width - 1, at[who])
+            first, last = np.maximum(least, s[who]), np.minimum(most, e[who] - window)
+            base, end = offsets[doc[who]], last + window
+            cut = (first - least) * width + last - first
+            hashes = [tb.range_hash(sums[b], base + first, base + end, b).view(np.int64) for b in (tb.SALT_A, tb.SALT_B)]
+            core = tb.range_hash(sums[tb.BASE], base + most, base + least + window, tb.BASE).view(np.int64)
+            take = pa.array(doc[who])
+            columns = [pa.array(x) for x in (seed[who], number, cut, *hashes, core)]
+            columns += [part.column("doc_id").take(take), part.column("key").take(take)]
+            columns += [pa.array(x) for x in (at[who], first, end)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_STRETCHES)
 
 
 def _sharing_half(table: pa.Table, window: int, size: int) -> pa.Table:
@@ -137,7 +142,11 @@ def _sharing_half(table: pa.Table, window: int, size: int) -> pa.Table:
 
 
 def rank_by_prefix(symbols: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each suffix by its first ``length`` symbols, by prefix doubling; equal prefixes share a rank."""
+    """Rank of each suffix by its first ``length`` symbols; equal prefixes share a rank.
+
+    Ranks by a short prefix come three at a time into one number, which gives those by a prefix of three times
+    the length, as long as they fit.
+    """
     n = len(symbols)
 
     def ranked(key: np.ndarray) -> np.ndarray:
@@ -146,22 +155,26 @@ def rank_by_prefix(symbols: np.ndarray, length: int) -> np.ndarray:
         rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
         return rank
 
-    def shifted(values: np.ndarray, shift: int) -> np.ndarray:
-        out = np.zeros(n, np.int64)
-        if shift < n:
-            out[: n - shift] = values[shift:]
+    def joined(values: np.ndarray, base: int, shifts: list[int]) -> np.ndarray:
+        """Values at each position and at the shifted ones as one number; 0 stands behind the end."""
+        out = values + 1
+        for shift in shifts:
+            out = out * base
+            out[: max(0, n - shift)] += values[shift:] + 1
         return out
 
-    # Seven symbols of nine bits are one number, so the doubling starts from seven.
-    width = min(7, length)
-    packed = np.zeros(n, np.int64)
-    for k in range(width):
-        packed = (packed << 9) | shifted(symbols.astype(np.int64), k)
-    rank = ranked(packed)
+    # Only symbols that occur need a number of their own.
+    _, dense = np.unique(symbols, return_inverse=True)
+    base = int(dense.max(initial=0)) + 2
+    width = 1
+    while width < length and base ** (width + 1) < 1 << 63:
+        width += 1
+    rank = ranked(joined(dense.astype(np.int64), base, [*range(1, width)]))
+    most = 2 if (n + 2) ** 3 < 1 << 63 else 1
     while width < length:
-        step = min(width, length - width)
-        rank = ranked(rank * (n + 1) + shifted(rank + 1, step))
-        width += step
+        shifts = [min(k * width, length - width) for k in range(1, most + 1)]
+        rank = ranked(joined(rank, n + 2, shifts))
+        width += shifts[-1]
     return rank
 
 
@@ -171,17 +184,14 @@ def earlier_and_any(order_key: np.ndarray, classes: np.ndarray) -> tuple[np.ndar
     ``order_key`` numbers the physical positions: contexts may overlap, and one position in two of them is
     no match of itself.
     """
-    order = np.lexsort((order_key, classes))
+    order = np.argsort(classes)
     run, place = classes[order], order_key[order]
     start = np.concatenate([[True], run[1:] != run[:-1]])
-    new = start.copy()
-    new[1:] |= place[1:] != place[:-1]
-    number = np.cumsum(start) - 1
-    distinct = np.bincount(number, new)
-    least = place[start][number]
+    number, begins = np.cumsum(start) - 1, np.flatnonzero(start)
+    least, most = np.minimum.reduceat(place, begins), np.maximum.reduceat(place, begins)
     earlier, other = np.zeros(len(classes), bool), np.zeros(len(classes), bool)
-    earlier[order] = place > least
-    other[order] = distinct[number] > 1
+    earlier[order] = place > least[number]
+    other[order] = (most > least)[number]
     return earlier, other
 
 
@@ -211,14 +221,13 @@ def _factors(batches: Iterator[pa.RecordBatch], window: int, size: int, keep_fir
             if not len(full):
                 continue
             who, place = owner[full], begins[lo:hi][owner[full]] + within[full]
-            by_seed = group[lo:hi][who] - group[lo]
             # Positions in the order of documents.
-            order = np.lexsort((place, keys[lo:hi][who], doc[lo:hi][who]))
-            changed = np.ones(len(order), bool)
-            changed[1:] = (np.diff(place[order]) != 0) | (np.diff(keys[lo:hi][who][order]) != 0)
-            number = np.empty(len(order), np.int64)
-            number[order] = np.cumsum(changed)
-            earlier, other = earlier_and_any(number, by_seed * len(symbols) + rank[full])
+            order = np.lexsort((keys[lo:hi], doc[lo:hi]))
+            changed = np.zeros(hi - lo, bool)
+            changed[1:] = (np.diff(keys[lo:hi][order]) != 0) | (np.diff(doc[lo:hi][order]) != 0)
+            document = np.empty(hi - lo, np.int64)
+            document[order] = np.cumsum(changed)
+            earlier, other = earlier_and_any(document[who] * (place.max() + 1) + place, rank[full])
             hit = np.flatnonzero(earlier if keep_first else other)
             if not len(hit):
                 continue
@@ -231,52 +240,32 @@ def _factors(batches: Iterator[pa.RecordBatch], window: int, size: int, keep_fir
             yield pa.RecordBatch.from_arrays([pa.array(keys[lo:hi][who[first]]), pa.array(place[first]), pa.array(place[last] + window)], schema=_SPANS)
 
 
-def _window_hashes(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
-            data, offsets = tb.text_bytes(part.column("bytes"))
-            values = data.astype(np.uint64) + tb.ONE
-            n = max(0, len(data) - window + 1)
-            owner = np.repeat(np.arange(part.num_rows), np.diff(offsets))
-            begin = np.flatnonzero(owner[:n] == owner[window - 1 :])
-            hashes = [tb.range_hash(tb.prefix_sums(values, b), begin, begin + window, b) for b in (tb.SALT_A, tb.SALT_B)]
-            who = owner[begin]
-            take = pa.array(who)
-            place = part.column("s").to_numpy()[who] + begin - offsets[who]
-            columns = [pa.array(h.view(np.int64)) for h in hashes] + [part.column("doc_id").take(take), part.column("key").take(take), pa.array(place)]
-            yield pa.RecordBatch.from_arrays(columns, schema=_WINDOWS)
-
-
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     return docs.select(doc_id.alias("doc_id"), text.alias("text"), row_key(doc_id, text).alias("key"))
 
 
-def _hashed_spans(rows: DataFrame, stretches: DataFrame, window: int, keep_first: bool) -> DataFrame:
-    """Spans found by hashes: whole stretches that repeat, then the strings of one copy of each that agrees with another in part."""
-    stretches = stage(stretches, "byte-stretches")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "s", "e")
-    alike = ["seed", "stretch", "cut", "h1", "h2"]
-    copies = stage(stretches.groupBy(*alike, "core").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")), "byte-copies")
-    whole = copies.filter("n > 1").select(*alike, F.col("first.key").alias("first_key"), F.col("first.s").alias("first_s"))
-    whole = stretches.join(whole, alike)
-    if keep_first:
-        whole = whole.filter("key <> first_key or s <> first_s")
-
-    core = ["seed", "stretch", "core"]
-    partly = copies.groupBy(*core).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    partly = copies.join(partly, core).select(F.col("first.key").alias("key"), F.struct("seed", F.col("first.s").alias("at"), "first.s", "first.e").alias("place"))
-    lists = stage(partly.groupBy("key").agg(F.collect_set("place").alias("places")), "byte-partly")
-    texts = semi_join(rows, lists.select("key"), "key").join(lists, "key").select("doc_id", "key", "text", "places")
-    windows = map_arrow(map_arrow(texts, _contexts, _CONTEXTS), lambda it: _window_hashes(it, window), _WINDOWS)
-    windows = stage(windows.distinct(), "byte-windows")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "at")).alias("first")
-    twice = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first).filter("n > 1")
-    found = windows.join(twice, ["h1", "h2"])
-    if keep_first:
-        found = found.filter("key <> first.key or at <> first.at")
-    return whole.select("key", "s", "e").union(found.select("key", F.col("at").alias("s"), (F.col("at") + window).alias("e")))
+def _hashed_spans(rows: DataFrame, texts: DataFrame, window: int, size: int, keep_first: bool) -> DataFrame:
+    """Spans found by hashes: whole stretches that repeat; one copy of each that agrees with another in part goes on to shorter ones."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "s", "e", "at")
+    alike, core = ["seed", "stretch", "cut", "h1", "h2"], ["seed", "stretch", "core"]
+    found = []
+    for width in STRETCHES:
+        stretches = stage(map_arrow(texts, lambda it, width=width: _stretches(it, window, size, width), _STRETCHES), "byte-stretches")
+        copies = stretches.groupBy(*alike, "core").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+        copies = stage(copies, "byte-copies")
+        whole = copies.filter("n > 1").select(*alike, F.col("first.key").alias("first_key"), F.col("first.s").alias("first_s"))
+        whole = stretches.join(whole, alike)
+        if keep_first:
+            whole = whole.filter("key <> first_key or s <> first_s")
+        found.append(whole.select("key", "s", "e"))
+        if width > 1:
+            partly = copies.groupBy(*core).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+            partly = copies.join(partly, core).select("first.key", F.struct("seed", "first.at", "first.s", "first.e").alias("place"))
+            # A list is bounded by the length of its document.
+            lists = stage(partly.groupBy("key").agg(F.collect_set("place").alias("places")), "byte-partly")
+            texts = semi_join(rows, lists.select("key"), "key").join(lists, "key").select("doc_id", "key", "text", "places")
+    return reduce(DataFrame.union, found)
 
 
 def repeated_byte_spans(rows: DataFrame, window: int, seed: int, keep_first: bool, hot: int) -> DataFrame:
@@ -307,8 +296,7 @@ def repeated_byte_spans(rows: DataFrame, window: int, seed: int, keep_first: boo
     cold = map_arrow(chosen(False), _contexts, _CONTEXTS).repartition("bucket").sortWithinPartitions("bucket")
     spans = covered.union(map_arrow(cold, lambda it: _factors(it, window, seed, keep_first), _SPANS))
     if lists.filter(F.exists("places", lambda p: p["hot"])).limit(1).count():
-        stretches = map_arrow(chosen(True), lambda it: _stretches(it, window, seed), _STRETCHES)
-        spans = spans.union(_hashed_spans(rows, stretches, window, keep_first))
+        spans = spans.union(_hashed_spans(rows, chosen(True), window, seed, keep_first))
     return spans.groupBy("key").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
