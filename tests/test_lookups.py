@@ -2,6 +2,7 @@
 
 import random
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -81,6 +82,20 @@ def test_band_lookup_brute_force(spark, limit):
     assert {r.v: r.band for r in got.collect()} == want and got.count() == len(values)
 
 
+@pytest.mark.parametrize("limit", [100, 0])
+@pytest.mark.parametrize("kind,of", [("date", lambda n: date(2026, 1, 1) + timedelta(n)), ("decimal(12,2)", Decimal), ("bigint", lambda n: n * 10**9)])
+def test_band_lookup_types(spark, limit, kind, of):
+    bands = [(1, of(-50), of(-1)), (2, of(0), of(9)), (3, of(20), None), (4, None, of(15))]
+    values = [*map(of, (-60, -50, -7, 0, 9, 10, 19, 20, 900)), None]
+    want = {v: next((b for b, lo, hi in bands if v is not None and lo is not None and lo <= v and (hi is None or v <= hi)), None) for v in values}
+    facts = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"id int, v {kind}")
+    table = spark.createDataFrame(bands, f"id int, lo {kind}, hi {kind}")
+    got = lookups.band_lookup(facts, table, "v", "lo", "hi", bucket_width=8, max_broadcast_rows=limit)
+    assert got.columns == ["id", "v", "id", "lo", "hi"]
+    assert {r[1]: r[2] for r in got.collect()} == want
+    assert lookups.band_lookup(facts.limit(0), table, "v", "lo", "hi", max_broadcast_rows=limit).count() == 0
+
+
 def test_threshold_policy(spark):
     rows = [(2, 1, 48, "A", 1), (1, 1, 48, "B", 2), (3, 1, 72, "C", 3)]
     policies = spark.createDataFrame(rows, "PolicyID int, OperatorID int, HoursBeforeDeparture int, PenaltyType string, PenaltyValue int")

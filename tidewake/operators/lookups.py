@@ -12,9 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tidewake.operators.common import BROADCAST_ROWS, is_small
 
+MAX_BUCKETS = 10_000
+
 
 def route_endpoints(
     stops: DataFrame, key: str = "RouteID", seq: str = "StopSequence", place: str = "PortID"
@@ -98,27 +101,38 @@ def band_lookup(
 ) -> DataFrame:
     """Left join of each row to the band [low, high] holding ``value``; a NULL high end is open.
 
-    A band table of checked size is broadcast. A larger one is cut at fixed bucket borders and joined
-    by equality on the bucket; the open band ends at the largest value that is present.
+    Values and ends are numbers, dates or timestamps. The result has the columns of both frames, also those
+    that share a name; a NULL value or low end meets nothing. A band table of checked size is broadcast. A
+    larger one is cut at fixed bucket borders inside the range of values that are present and joined by
+    equality on the bucket; buckets are at least ``bucket_width`` wide (days for dates), and at most
+    MAX_BUCKETS in number.
     """
+    # Names of their own, so that none is ambiguous.
+    side = bands.toDF(*[f"_band{i}" for i in range(len(bands.columns))])
+    first, last = (F.col(f"_band{bands.columns.index(c)}") for c in (low, high))
+    named = [F.col(f"_band{i}").alias(c) for i, c in enumerate(bands.columns)]
     v = F.col(value)
-    inside = (v >= F.col(low)) & (F.col(high).isNull() | (v <= F.col(high)))
+    inside = (v >= first) & (last.isNull() | (v <= last))
     if is_small(bands, max_broadcast_rows):
-        return df.join(F.broadcast(bands), inside, "left")
-    width = F.lit(bucket_width)
+        return df.join(F.broadcast(side), inside, "left").select(*[F.col(c) for c in df.columns], *named)
+
+    dated = isinstance(df.schema[value].dataType, (DateType, TimestampType, TimestampNTZType))
+
+    def number(c: Column) -> Column:
+        return F.unix_date(c.cast("date")).cast("double") if dated else c.cast("double")
+
+    edges = df.agg(F.struct(F.min(number(v)).alias("low"), F.max(number(v)).alias("high")).alias("edges")).scalar()
+    width = F.greatest(F.lit(float(bucket_width)), (edges["high"] - edges["low"]) / MAX_BUCKETS)
 
     def bucket(c: Column) -> Column:
         return F.floor(c / width).cast("bigint")
 
-    top = df.agg(F.max(value).alias("top")).scalar()
-    last = F.least(F.coalesce(F.col(high), top), top)
-    cut = (
-        bands.filter(F.col(low) <= last)
-        .withColumn("_bucket", F.explode(F.sequence(bucket(F.col(low)), bucket(last))))
-    )
-    keyed = df.withColumn("_bucket", bucket(v))
-    joined = keyed.join(cut, (keyed["_bucket"] == cut["_bucket"]) & inside, "left")
-    return joined.select(*df.columns, *bands.columns)
+    begin = F.greatest(number(first), edges["low"])
+    end = F.least(F.coalesce(number(last), edges["high"]), edges["high"])
+    cut = side.filter(first.isNotNull() & (begin <= end)).withColumn("_bucket", F.explode(F.sequence(bucket(begin), bucket(end))))
+    keyed = df.withColumn("_at", bucket(number(v)))
+    joined = keyed.join(cut, (F.col("_at") == F.col("_bucket")) & inside, "left")
+    return joined.select(*[F.col(c) for c in df.columns], *named)
 
 
 def threshold_policy(

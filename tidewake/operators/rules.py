@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 
 from tidewake.functions import age_on, any_of, as_date, hours_until, money
 from tidewake.operators.common import first_violation, violation_list
-from tidewake.operators.lookups import dated_candidates, effective_prices, guardian_nearby, threshold_policy
+from tidewake.operators.lookups import effective_prices, guardian_nearby, threshold_policy
 from tidewake.schema import HOLDING
 from tidewake.session import stage
 from tidewake.sources.tables import Tables
 
 MAX_IN_CABIN = 5
 FORFEIT_HOURS = 48
-MAX_BAND_COLUMNS = 32
 
 # Violation texts of the rules.
 WRONG_SHIP = "Cabin must belong to the ship assigned to the booked voyage."
@@ -125,48 +124,26 @@ class _Fares(NamedTuple):
 
 
 def _fares_by_band(t: Tables, cabins: DataFrame) -> _Fares:
-    """Fares in force per voyage, cabin category and booking day, all age bands side by side.
+    """Fares in force per voyage, cabin category and booking day: all by band id, and those of adults and children.
 
-    The handful of bands become columns of one hash aggregate. A band table too long for that is
-    kept as a map per group instead.
+    Of several bands with one name the lowest id counts.
     """
     keys = ["VoyageID", "CabinCategoryID", "BookingDay"]
-    bands = t["AgeCategory"].select("AgeCategoryID", "CategoryName").limit(MAX_BAND_COLUMNS + 1).collect()
-    if len(bands) > MAX_BAND_COLUMNS:
-        prices = effective_prices(
-            cabins, t["FareRule"], keys[:2], "BookingDay", ["BaseFare", "FareRuleID"], extra_keys=["AgeCategoryID"]
-        )
-        named = prices.join(t["AgeCategory"].select("AgeCategoryID", "CategoryName"), "AgeCategoryID")
-        entry = F.struct("CategoryName", F.struct("BaseFare", "FareRuleID"))
-        rows = named.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_fares"))
-        own = F.try_element_at("_fares", F.col("CategoryName"))
-        return _Fares(
-            rows, lambda band: F.try_element_at("_fares", F.lit(band))["BaseFare"], own["BaseFare"], own["FareRuleID"]
-        )
-
-    def latest(column: str, band: int) -> Column:
-        mine = F.col("AgeCategoryID") == band
-        return F.max_by(F.when(mine, F.col(column)), F.when(mine, F.col("EffectiveFrom")))
-
-    picks = [
-        latest(column, row.AgeCategoryID).alias(f"_{column}_{row.AgeCategoryID}")
-        for row in bands
-        for column in ("BaseFare", "FareRuleID")
-    ]
-    rows = dated_candidates(
-        cabins, t["FareRule"], keys[:2], "BookingDay", ["AgeCategoryID", "BaseFare", "FareRuleID"]
-    ).groupBy(*keys).agg(*picks)
-
-    def own_of(column: str) -> Column:
-        return F.coalesce(
-            *[F.when(F.col("AgeCategoryID") == r.AgeCategoryID, F.col(f"_{column}_{r.AgeCategoryID}")) for r in bands]
-        )
-
-    def of_band(name: str) -> Column:
-        ids = [r.AgeCategoryID for r in bands if r.CategoryName == name]
-        return F.col(f"_BaseFare_{ids[0]}") if ids else F.lit(None).cast("decimal(12,2)")
-
-    return _Fares(rows, of_band, own_of("BaseFare"), own_of("FareRuleID"))
+    prices = effective_prices(
+        cabins, t["FareRule"], keys[:2], "BookingDay", ["BaseFare", "FareRuleID"], extra_keys=["AgeCategoryID"]
+    )
+    named = prices.join(t["AgeCategory"].select("AgeCategoryID", "CategoryName"), "AgeCategoryID")
+
+    def of_name(name: str) -> Column:
+        mine = F.col("CategoryName") == name
+        return F.min_by(F.when(mine, F.col("BaseFare")), F.when(mine, F.col("AgeCategoryID"))).alias(f"_fare_{name}")
+
+    # The map has one entry per band.
+    entry = F.struct("AgeCategoryID", F.struct("BaseFare", "FareRuleID"))
+    fares = F.map_from_entries(F.collect_list(entry)).alias("_fares")
+    rows = named.groupBy(*keys).agg(fares, of_name("Adult"), of_name("Child"))
+    own = F.try_element_at("_fares", F.col("AgeCategoryID"))
+    return _Fares(rows, lambda band: F.col(f"_fare_{band}"), own["BaseFare"], own["FareRuleID"])
 
 
 def _booked_cabins(t: Tables) -> tuple[DataFrame, _Fares]:
