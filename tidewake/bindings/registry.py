@@ -57,7 +57,14 @@ def register(name: str, run: Callable[[StarTables], DataFrame], sql: str | None
     QUERIES[name] = Query(run, sql, ctes)
 
 
-def _dec(expr: str, p: int = 18) -> str:
+def _with(t: StarTables, **frames: DataFrame) -> StarTables:
+    """The tables with some of them replaced."""
+    out = StarTables(t.spark, t.folder)
+    out.update(frames)
+    return out
+
+
+def _dec(expr: str, p: int = 38) -> str:
     return f"CAST({expr} AS DECIMAL({p},2))"
 
 
@@ -657,6 +664,31 @@ for _name, _check, _texts_, _cond in (
         f"SELECT BookingPassengerID, BookingCabinID, age AS AgeAtDeparture FROM judged WHERE {_cond}",
         **_PERSON,
     )
+# Of all seats those under 35,000 are stored and those from 25,000 on are handed in: what lies between is changed.
+_BATCH = _PERSON | {
+    "mixed_seats": "SELECT r.*, FinalFare < 25000 AS kept FROM ranked r JOIN BookingPassenger USING (BookingPassengerID)",
+    "held_seats": "SELECT BookingCabinID, count(*) AS held FROM mixed_seats WHERE kept GROUP BY 1",
+    "new_seats": "SELECT m.*, coalesce(h.held, 0) AS held, sound AND row_number() OVER (PARTITION BY m.BookingCabinID, sound ORDER BY BookingPassengerID) <= cap - coalesce(h.held, 0) AS stays "
+    "FROM mixed_seats m LEFT JOIN held_seats h USING (BookingCabinID) WHERE NOT kept",
+    "adult_seats": "SELECT BookingCabinID, VoyageID, CabinID, holds FROM new_seats WHERE stays AND adult UNION SELECT BookingCabinID, VoyageID, CabinID, holds FROM mixed_seats WHERE kept AND adult",
+    "judged_seats": "SELECT *, held + coalesce(sum(CAST(stays AS INT)) OVER (PARTITION BY BookingCabinID ORDER BY BookingPassengerID ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= cap AS crowded, "
+    "minor AND NOT EXISTS (FROM adult_seats g WHERE g.BookingCabinID = new_seats.BookingCabinID) AND NOT EXISTS (FROM adult_seats g JOIN CabinAdjacency n ON n.AdjacentCabinID = g.CabinID "
+    "WHERE g.holds AND g.VoyageID = new_seats.VoyageID AND n.CabinID = new_seats.CabinID) AS alone FROM new_seats",
+}
+
+
+def _check_batch(t: StarTables) -> DataFrame:
+    seats = t["BookingPassenger"]
+    return X.check_booking_passengers(_with(t, BookingPassenger=seats.filter("FinalFare < 35000")), seats.filter("FinalFare >= 25000"))
+
+
+for _name, _text, _cond in (("r04_capacity_batch", X.CABIN_FULL, "NOT astray AND crowded"), ("r08_guardian_batch", X.NO_GUARDIAN, "NOT astray AND alone")):
+    register(
+        _name,
+        _rejected_for(_check_batch, _text),
+        f"SELECT BookingPassengerID, BookingCabinID, age AS AgeAtDeparture FROM judged_seats WHERE {_cond}",
+        **_BATCH,
+    )
 register(
     "r09_supervision_fee",
     lambda t: t["BookingPassenger"].filter("IsChaperonedYouth").select("BookingPassengerID", X.supervision_fee(t).alias("DailySupervisionFee")),
@@ -700,6 +732,25 @@ register(
     f"concat_ws('; ', {_LATE}, {_FAR}) AS violations, coalesce({_LATE}, {_FAR}) AS first_violation FROM RescheduleRequest q "
     "JOIN Booking b ON b.BookingID = q.OriginalBookingID JOIN CruiseVoyage s ON s.VoyageID = b.VoyageID JOIN CruiseVoyage n ON n.VoyageID = NewVoyageID",
 )
+_NO_OLD = f"CASE WHEN s.VoyageID IS NULL THEN {_q(X.UNKNOWN_BOOKING)} END"
+_NO_NEW = f"CASE WHEN n.VoyageID IS NULL THEN {_q(X.UNKNOWN_NEW_VOYAGE)} END"
+register(
+    "r16_reschedule_unknown",
+    lambda t: _texts(
+        X.check_reschedules(
+            _with(
+                t,
+                RescheduleRequest=t["RescheduleRequest"].withColumns(
+                    {"OriginalBookingID": F.col("OriginalBookingID") * 2, "NewVoyageID": F.col("NewVoyageID") * 3}
+                ),
+            )
+        )
+    ).select("RescheduleID", "HoursUntilDeparture", "RescheduleFee", "violations", "first_violation"),
+    "SELECT RescheduleID, CAST(date_sub('hour', RequestDateTime, s.DepartureDateTime) AS INT) AS HoursUntilDeparture, "
+    "CAST(CASE WHEN s.VoyageID IS NULL OR n.VoyageID IS NULL THEN NULL WHEN date_sub('hour', RequestDateTime, s.DepartureDateTime) <= 48 THEN TotalAmount ELSE 0 END AS DECIMAL(12,2)) AS RescheduleFee, "
+    f"concat_ws('; ', {_NO_OLD}, {_NO_NEW}, {_LATE}, {_FAR}) AS violations, coalesce({_NO_OLD}, {_NO_NEW}, {_LATE}, {_FAR}) AS first_violation FROM RescheduleRequest q "
+    "LEFT JOIN Booking b ON b.BookingID = 2 * q.OriginalBookingID LEFT JOIN CruiseVoyage s ON s.VoyageID = b.VoyageID LEFT JOIN CruiseVoyage n ON n.VoyageID = 3 * q.NewVoyageID",
+)
 register(
     "r17_birth_date",
     lambda t: _texts(X.check_birth_dates(t, "2001-01-01")).select("PassengerID", "DateOfBirth", "violations"),
@@ -784,6 +835,27 @@ register(
     "GROUP BY a.CabinID, a.AdjacentCabinID",
 )
 
+# The derived tables keep these constraints, so they are also checked on columns that break them.
+register(
+    "c1_repeated_keys",
+    lambda t: A.audit_unique(_with(t, Payment=t["Payment"].withColumn("PaymentID", F.expr("PaymentID div 3"))), K.primary_keys(["Payment"])),
+    _audit_sql("PK_Payment", "Payment", "CAST(k AS VARCHAR)", "count(*) || ' rows'", "FROM (SELECT PaymentID // 3 AS k FROM Payment) GROUP BY k HAVING count(*) > 1"),
+)
+register(
+    "c3_too_many_berths",
+    lambda t: A.audit_rows(
+        _with(t, Cabin=t["Cabin"].withColumn("MaxOccupancy", F.expr("MaxOccupancy * 2 - 2"))), [c for c in K.DECLARED_CHECKS if c.table == "Cabin"]
+    ),
+    _audit_sql("CK_Cabin_MaxOccupancy", "Cabin", "CAST(CabinID AS VARCHAR)", "'MaxOccupancy BETWEEN 1 AND 5'", "FROM Cabin WHERE MaxOccupancy IN (1, 4, 5)"),
+)
+register(
+    "c3_wide_texts",
+    lambda t: A.audit_rows(
+        _with(t, Cabin=t["Cabin"].withColumn("CabinNumber", F.expr("repeat(CabinNumber, MaxOccupancy)"))), [c for c in K.width_checks() if c.table == "Cabin"]
+    ),
+    _audit_sql("LEN_Cabin_CabinNumber", "Cabin", "CAST(CabinID AS VARCHAR)", "'char_length(CabinNumber) <= 20'", "FROM Cabin WHERE length(CabinNumber) * MaxOccupancy > 20"),
+)
+
 # --- sources -------------------------------------------------------------------------------------
 
 _ALL_TABLES = sorted([*BUILDERS, *VALUES])

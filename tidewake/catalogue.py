@@ -44,77 +44,87 @@ def key_of(table: str) -> str:
     return TABLES[table].split()[0]
 
 
-# table: unique column sets
-_UNIQUE = {
-    "CruiseOperator": ["OperatorName"],
-    "CruiseShip": ["OperatorID ShipName"],
-    "CabinCategory": ["CategoryName"],
-    "Cabin": ["ShipID CabinNumber"],
-    "CabinAdjacency": ["CabinID AdjacentCabinID"],
-    "Port": ["PortName Country"],
-    "RoutePort": ["RouteID StopSequence"],
-    "Passenger": ["PassportNo"],
-    "AgeCategory": ["CategoryName"],
-    "BookingCabin": ["BookingID CabinID"],
-    "FareRule": ["VoyageID CabinCategoryID AgeCategoryID EffectiveFrom"],
-    "BookingPassenger": ["BookingID PassengerID"],
-    "DiningOption": ["DiningName"],
-    "ShipDiningOption": ["ShipID DiningOptionID"],
-    "SpecialtyDiningType": ["TypeName"],
-    "ShipSpecialtyDining": ["ShipID SpecialtyDiningTypeID"],
-    "VoyageMealPackageType": ["PackageName"],
-    "VoyageMealPackageRule": ["MinVoyageLengthDays MaxVoyageLengthDays"],
-    "VoyageMealPackage": ["VoyageID"],
-    "SpecialService": ["ServiceName"],
-    "PassengerSpecialService": ["BookingPassengerID ServiceID"],
-    "Excursion": ["PortID ExcursionName"],
-    "VoyageExcursion": ["VoyageID RoutePortID ExcursionID"],
-    "BookingExcursion": ["BookingPassengerID VoyageExcursionID"],
-    "BookingCancellation": ["BookingID"],
-    "Payment": ["TransactionReference"],
-}
-UNIQUES = [
-    Unique(f"UQ_{table}_{'_'.join(columns.split())}", table, tuple(columns.split()))
-    for table, sets in _UNIQUE.items()
-    for columns in sets
+# table, columns that are unique together
+_UNIQUE = [
+    ("CruiseOperator", ("OperatorName",)),
+    ("CruiseShip", ("OperatorID", "ShipName")),
+    ("CabinCategory", ("CategoryName",)),
+    ("Cabin", ("ShipID", "CabinNumber")),
+    ("CabinAdjacency", ("CabinID", "AdjacentCabinID")),
+    ("Port", ("PortName", "Country")),
+    ("RoutePort", ("RouteID", "StopSequence")),
+    ("Passenger", ("PassportNo",)),
+    ("AgeCategory", ("CategoryName",)),
+    ("BookingCabin", ("BookingID", "CabinID")),
+    ("FareRule", ("VoyageID", "CabinCategoryID", "AgeCategoryID", "EffectiveFrom")),
+    ("BookingPassenger", ("BookingID", "PassengerID")),
+    ("DiningOption", ("DiningName",)),
+    ("ShipDiningOption", ("ShipID", "DiningOptionID")),
+    ("SpecialtyDiningType", ("TypeName",)),
+    ("ShipSpecialtyDining", ("ShipID", "SpecialtyDiningTypeID")),
+    ("VoyageMealPackageType", ("PackageName",)),
+    ("VoyageMealPackageRule", ("MinVoyageLengthDays", "MaxVoyageLengthDays")),
+    ("VoyageMealPackage", ("VoyageID",)),
+    ("SpecialService", ("ServiceName",)),
+    ("PassengerSpecialService", ("BookingPassengerID", "ServiceID")),
+    ("Excursion", ("PortID", "ExcursionName")),
+    ("VoyageExcursion", ("VoyageID", "RoutePortID", "ExcursionID")),
+    ("BookingExcursion", ("BookingPassengerID", "VoyageExcursionID")),
+    ("BookingCancellation", ("BookingID",)),
+    ("Payment", ("TransactionReference",)),
 ]
+UNIQUES = [Unique(f"UQ_{table}_{'_'.join(columns)}", table, columns) for table, columns in _UNIQUE]
 
-# child table: "column parent" pairs; the parent column is the key of the parent
-_REFERENCES = {
-    "CruiseShip": ["OperatorID CruiseOperator"],
-    "Cabin": ["ShipID CruiseShip", "CabinCategoryID CabinCategory"],
-    "CabinAdjacency": ["CabinID Cabin", "AdjacentCabinID Cabin"],
-    "RoutePort": ["RouteID CruiseRoute", "PortID Port"],
-    "CruiseVoyage": ["ShipID CruiseShip", "RouteID CruiseRoute"],
-    "Booking": ["CustomerPassengerID Passenger", "VoyageID CruiseVoyage", "OriginalBookingID Booking"],
-    "BookingCabin": ["BookingID Booking", "CabinID Cabin"],
-    "FareRule": ["VoyageID CruiseVoyage", "CabinCategoryID CabinCategory", "AgeCategoryID AgeCategory"],
-    "BookingPassenger": [
-        "BookingID Booking",
-        "BookingCabinID BookingCabin",
-        "PassengerID Passenger",
-        "AgeCategoryID AgeCategory",
-        "FareRuleID FareRule",
-    ],
-    "ShipDiningOption": ["ShipID CruiseShip", "DiningOptionID DiningOption"],
-    "ShipSpecialtyDining": ["ShipID CruiseShip", "SpecialtyDiningTypeID SpecialtyDiningType"],
-    "VoyageMealPackageRule": ["MealPackageTypeID VoyageMealPackageType"],
-    "VoyageMealPackage": ["VoyageID CruiseVoyage", "MealPackageRuleID VoyageMealPackageRule"],
-    "PassengerSpecialService": ["BookingPassengerID BookingPassenger", "ServiceID SpecialService"],
-    "BaggageRule": ["OperatorID CruiseOperator"],
-    "BookingBaggage": ["BookingPassengerID BookingPassenger"],
-    "Excursion": ["PortID Port"],
-    "VoyageExcursion": ["VoyageID CruiseVoyage", "RoutePortID RoutePort", "ExcursionID Excursion"],
-    "BookingExcursion": ["BookingPassengerID BookingPassenger", "VoyageExcursionID VoyageExcursion"],
-    "CancellationPolicy": ["OperatorID CruiseOperator"],
-    "BookingCancellation": ["BookingID Booking"],
-    "RescheduleRequest": ["OriginalBookingID Booking", "NewBookingID Booking", "NewVoyageID CruiseVoyage"],
-    "Payment": ["BookingID Booking"],
-}
+# child table, column, parent table; the parent column is the key of the parent
+_REFERENCES = [
+    ("CruiseShip", "OperatorID", "CruiseOperator"),
+    ("Cabin", "ShipID", "CruiseShip"),
+    ("Cabin", "CabinCategoryID", "CabinCategory"),
+    ("CabinAdjacency", "CabinID", "Cabin"),
+    ("CabinAdjacency", "AdjacentCabinID", "Cabin"),
+    ("RoutePort", "RouteID", "CruiseRoute"),
+    ("RoutePort", "PortID", "Port"),
+    ("CruiseVoyage", "ShipID", "CruiseShip"),
+    ("CruiseVoyage", "RouteID", "CruiseRoute"),
+    ("Booking", "CustomerPassengerID", "Passenger"),
+    ("Booking", "VoyageID", "CruiseVoyage"),
+    ("Booking", "OriginalBookingID", "Booking"),
+    ("BookingCabin", "BookingID", "Booking"),
+    ("BookingCabin", "CabinID", "Cabin"),
+    ("FareRule", "VoyageID", "CruiseVoyage"),
+    ("FareRule", "CabinCategoryID", "CabinCategory"),
+    ("FareRule", "AgeCategoryID", "AgeCategory"),
+    ("BookingPassenger", "BookingID", "Booking"),
+    ("BookingPassenger", "BookingCabinID", "BookingCabin"),
+    ("BookingPassenger", "PassengerID", "Passenger"),
+    ("BookingPassenger", "AgeCategoryID", "AgeCategory"),
+    ("BookingPassenger", "FareRuleID", "FareRule"),
+    ("ShipDiningOption", "ShipID", "CruiseShip"),
+    ("ShipDiningOption", "DiningOptionID", "DiningOption"),
+    ("ShipSpecialtyDining", "ShipID", "CruiseShip"),
+    ("ShipSpecialtyDining", "SpecialtyDiningTypeID", "SpecialtyDiningType"),
+    ("VoyageMealPackageRule", "MealPackageTypeID", "VoyageMealPackageType"),
+    ("VoyageMealPackage", "VoyageID", "CruiseVoyage"),
+    ("VoyageMealPackage", "MealPackageRuleID", "VoyageMealPackageRule"),
+    ("PassengerSpecialService", "BookingPassengerID", "BookingPassenger"),
+    ("PassengerSpecialService", "ServiceID", "SpecialService"),
+    ("BaggageRule", "OperatorID", "CruiseOperator"),
+    ("BookingBaggage", "BookingPassengerID", "BookingPassenger"),
+    ("Excursion", "PortID", "Port"),
+    ("VoyageExcursion", "VoyageID", "CruiseVoyage"),
+    ("VoyageExcursion", "RoutePortID", "RoutePort"),
+    ("VoyageExcursion", "ExcursionID", "Excursion"),
+    ("BookingExcursion", "BookingPassengerID", "BookingPassenger"),
+    ("BookingExcursion", "VoyageExcursionID", "VoyageExcursion"),
+    ("CancellationPolicy", "OperatorID", "CruiseOperator"),
+    ("BookingCancellation", "BookingID", "Booking"),
+    ("RescheduleRequest", "OriginalBookingID", "Booking"),
+    ("RescheduleRequest", "NewBookingID", "Booking"),
+    ("RescheduleRequest", "NewVoyageID", "CruiseVoyage"),
+    ("Payment", "BookingID", "Booking"),
+]
 REFERENCES = [
-    Reference(f"FK_{table}_{column}", table, column, parent, key_of(parent))
-    for table, links in _REFERENCES.items()
-    for column, parent in (link.split() for link in links)
+    Reference(f"FK_{table}_{column}", table, column, parent, key_of(parent)) for table, column, parent in _REFERENCES
 ]
 
 # Conditions that the tables declare.
@@ -171,41 +181,53 @@ def _checks(source: dict[str, dict[str, str]]) -> list[RowCheck]:
 DECLARED_CHECKS = _checks(_DECLARED)
 DOCUMENTED_CHECKS = _checks(_DOCUMENTED)
 
-# Declared widths of the text columns, as "column width" pairs.
-_WIDTHS = {
-    "CruiseOperator": "OperatorName 150 HeadquartersCountry 100 ContactEmail 150",
-    "CruiseShip": "ShipName 150",
-    "CabinCategory": "CategoryName 50 CategoryDescription 255",
-    "Cabin": "CabinNumber 20",
-    "CabinAdjacency": "AdjacencyType 20",
-    "CruiseRoute": "RouteName 150 RouteType 30",
-    "Port": "PortName 150 Country 100",
-    "CruiseVoyage": "VoyageStatus 30",
-    "Passenger": "FullName 150 PassportNo 50 Nationality 100 Gender 20 ContactNo 30 Email 150",
-    "AgeCategory": "CategoryName 30",
-    "Booking": "BookingStatus 30",
-    "BookingPassenger": "InfantBedOption 20",
-    "DiningOption": "DiningName 100",
-    "SpecialtyDiningType": "TypeName 100 Description 255",
-    "VoyageMealPackageType": "PackageName 100",
-    "SpecialService": "ServiceName 100 ServiceType 50",
-    "PassengerSpecialService": "RequestStatus 30",
-    "Excursion": "ExcursionName 150 Description 500",
-    "BookingExcursion": "ExcursionStatus 30",
-    "CancellationPolicy": "PenaltyType 30",
-    "BookingCancellation": "Reason 255 ProcessedBy 100",
-    "RescheduleRequest": "RequestStatus 30 Reason 255",
-    "Payment": "PaymentMethod 50 PaymentStatus 30 TransactionReference 100",
-}
+# Declared widths of the text columns: table, column, width.
+_WIDTHS = [
+    ("CruiseOperator", "OperatorName", 150),
+    ("CruiseOperator", "HeadquartersCountry", 100),
+    ("CruiseOperator", "ContactEmail", 150),
+    ("CruiseShip", "ShipName", 150),
+    ("CabinCategory", "CategoryName", 50),
+    ("CabinCategory", "CategoryDescription", 255),
+    ("Cabin", "CabinNumber", 20),
+    ("CabinAdjacency", "AdjacencyType", 20),
+    ("CruiseRoute", "RouteName", 150),
+    ("CruiseRoute", "RouteType", 30),
+    ("Port", "PortName", 150),
+    ("Port", "Country", 100),
+    ("CruiseVoyage", "VoyageStatus", 30),
+    ("Passenger", "FullName", 150),
+    ("Passenger", "PassportNo", 50),
+    ("Passenger", "Nationality", 100),
+    ("Passenger", "Gender", 20),
+    ("Passenger", "ContactNo", 30),
+    ("Passenger", "Email", 150),
+    ("AgeCategory", "CategoryName", 30),
+    ("Booking", "BookingStatus", 30),
+    ("BookingPassenger", "InfantBedOption", 20),
+    ("DiningOption", "DiningName", 100),
+    ("SpecialtyDiningType", "TypeName", 100),
+    ("SpecialtyDiningType", "Description", 255),
+    ("VoyageMealPackageType", "PackageName", 100),
+    ("SpecialService", "ServiceName", 100),
+    ("SpecialService", "ServiceType", 50),
+    ("PassengerSpecialService", "RequestStatus", 30),
+    ("Excursion", "ExcursionName", 150),
+    ("Excursion", "Description", 500),
+    ("BookingExcursion", "ExcursionStatus", 30),
+    ("CancellationPolicy", "PenaltyType", 30),
+    ("BookingCancellation", "Reason", 255),
+    ("BookingCancellation", "ProcessedBy", 100),
+    ("RescheduleRequest", "RequestStatus", 30),
+    ("RescheduleRequest", "Reason", 255),
+    ("Payment", "PaymentMethod", 50),
+    ("Payment", "PaymentStatus", 30),
+    ("Payment", "TransactionReference", 100),
+]
 
 
 def width_checks() -> list[RowCheck]:
-    out = []
-    for table, text in _WIDTHS.items():
-        parts = text.split()
-        for column, width in zip(parts[::2], parts[1::2]):
-            out.append(RowCheck(f"LEN_{table}_{column}", table, f"char_length({column}) <= {width}"))
-    return out
+    return [RowCheck(f"LEN_{table}_{column}", table, f"char_length({column}) <= {width}") for table, column, width in _WIDTHS]
 
 
 def not_null_columns(table: str) -> list[str]:

@@ -58,14 +58,14 @@ def money(c: ColumnLike, precision: int = 12, scale: int = 2) -> Column:
     return _col(c).cast(f"decimal({precision},{scale})")
 
 
-def zero_if_null(c: ColumnLike, like: str = "decimal(18,2)") -> Column:
+def zero_if_null(c: ColumnLike, like: str = "decimal(38,2)") -> Column:
     return F.coalesce(_col(c).cast(like), F.lit(0).cast(like))
 
 
 def ratio_pct(part: ColumnLike, whole: ColumnLike) -> Column:
     """``part / whole`` in percent with two decimals; NULL when the whole is zero."""
     share = _col(part) * F.lit(100) / F.nullif(_col(whole), F.lit(0))
-    return F.round(share, 2).cast("decimal(18,2)")
+    return F.round(share, 2).cast("decimal(38,2)")
 
 
 def map_text(key: ColumnLike, texts: Mapping[str, str], otherwise: str | None = None) -> Column:

@@ -39,7 +39,7 @@ from tidewake.session import stage
 from tidewake.sources.tables import Tables
 
 Day = dt.date | str
-AMOUNT = "decimal(18,2)"
+AMOUNT = "decimal(38,2)"
 
 
 def total(c: str) -> Column:

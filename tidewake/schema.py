@@ -6,39 +6,39 @@ from pyspark.sql.types import StructType
 
 # Table and column names, types and nullability of the data model.
 TABLES: dict[str, str] = {
-    "CruiseOperator": "OperatorID int not null, OperatorName string not null, HeadquartersCountry string not null, ContactEmail string, AllowsChaperonedYouth boolean not null",
-    "CruiseShip": "ShipID int not null, OperatorID int not null, ShipName string not null, TotalDecks int not null, PassengerCapacity int not null",
-    "CabinCategory": "CabinCategoryID int not null, CategoryName string not null, CategoryDescription string",
-    "Cabin": "CabinID int not null, ShipID int not null, CabinCategoryID int not null, CabinNumber string not null, DeckNumber int not null, MaxOccupancy int not null, IsWheelchairAccessible boolean not null",
-    "CabinAdjacency": "CabinAdjacencyID int not null, CabinID int not null, AdjacentCabinID int not null, AdjacencyType string not null",
-    "CruiseRoute": "RouteID int not null, RouteName string not null, RouteType string not null",
-    "Port": "PortID int not null, PortName string not null, Country string not null",
-    "RoutePort": "RoutePortID int not null, RouteID int not null, PortID int not null, StopSequence int not null, IsHomePort boolean not null",
-    "CruiseVoyage": "VoyageID int not null, ShipID int not null, RouteID int not null, DepartureDateTime timestamp_ntz not null, ArrivalDateTime timestamp_ntz not null, BaggageWeightLimitKG decimal(6,2) not null, VoyageStatus string not null",
-    "Passenger": "PassengerID int not null, FullName string not null, DateOfBirth date not null, PassportNo string not null, Nationality string not null, Gender string, ContactNo string, Email string",
-    "AgeCategory": "AgeCategoryID int not null, CategoryName string not null, MinAge int not null, MaxAge int",
-    "Booking": "BookingID int not null, BookingDate timestamp_ntz not null, CustomerPassengerID int not null, VoyageID int not null, BookingStatus string not null, TotalAmount decimal(12,2) not null, OriginalBookingID int",
-    "BookingCabin": "BookingCabinID int not null, BookingID int not null, CabinID int not null, CabinPrice decimal(12,2) not null",
-    "FareRule": "FareRuleID int not null, VoyageID int not null, CabinCategoryID int not null, AgeCategoryID int not null, BaseFare decimal(12,2) not null, EffectiveFrom date not null, EffectiveTo date",
-    "BookingPassenger": "BookingPassengerID int not null, BookingID int not null, BookingCabinID int not null, PassengerID int not null, AgeCategoryID int not null, FareRuleID int, InfantBedOption string not null, IsChaperonedYouth boolean not null, DailySupervisionFee decimal(10,2) not null, FinalFare decimal(12,2) not null",
-    "DiningOption": "DiningOptionID int not null, DiningName string not null",
-    "ShipDiningOption": "ShipDiningOptionID int not null, ShipID int not null, DiningOptionID int not null",
-    "SpecialtyDiningType": "SpecialtyDiningTypeID int not null, TypeName string not null, Description string",
-    "ShipSpecialtyDining": "ShipSpecialtyDiningID int not null, ShipID int not null, SpecialtyDiningTypeID int not null",
-    "VoyageMealPackageType": "MealPackageTypeID int not null, PackageName string not null",
-    "VoyageMealPackageRule": "MealPackageRuleID int not null, MealPackageTypeID int not null, MinVoyageLengthDays int not null, MaxVoyageLengthDays int",
-    "VoyageMealPackage": "VoyageMealPackageID int not null, VoyageID int not null, MealPackageRuleID int not null",
-    "SpecialService": "ServiceID int not null, ServiceName string not null, ServiceType string not null, AgeRestrictionMin int, AgeRestrictionMax int, Fee decimal(10,2) not null",
-    "PassengerSpecialService": "PassengerServiceID int not null, BookingPassengerID int not null, ServiceID int not null, RequestStatus string not null, Fee decimal(10,2) not null",
-    "BaggageRule": "BaggageRuleID int not null, OperatorID int not null, MaxWeightKG decimal(6,2) not null, EffectiveFrom date not null, EffectiveTo date",
-    "BookingBaggage": "BaggageID int not null, BookingPassengerID int not null, WeightKG decimal(6,2) not null, IsOverLimit boolean not null, ExcessFee decimal(10,2) not null",
-    "Excursion": "ExcursionID int not null, PortID int not null, ExcursionName string not null, Description string, DurationHours decimal(5,2) not null, Price decimal(10,2) not null",
-    "VoyageExcursion": "VoyageExcursionID int not null, VoyageID int not null, RoutePortID int not null, ExcursionID int not null, AvailableSlots int not null",
-    "BookingExcursion": "BookingExcursionID int not null, BookingPassengerID int not null, VoyageExcursionID int not null, BookingDateTime timestamp_ntz not null, ExcursionStatus string not null, AmountPaid decimal(10,2) not null",
-    "CancellationPolicy": "PolicyID int not null, OperatorID int not null, HoursBeforeDeparture int not null, PenaltyType string not null, PenaltyValue decimal(10,2) not null",
-    "BookingCancellation": "CancellationID int not null, BookingID int not null, CancellationDateTime timestamp_ntz not null, Reason string, PenaltyAmount decimal(12,2) not null, RefundAmount decimal(12,2) not null, ProcessedBy string",
-    "RescheduleRequest": "RescheduleID int not null, OriginalBookingID int not null, NewBookingID int, RequestDateTime timestamp_ntz not null, NewVoyageID int not null, RescheduleFee decimal(12,2) not null, RequestStatus string not null, Reason string",
-    "Payment": "PaymentID int not null, BookingID int not null, PaymentDateTime timestamp_ntz not null, Amount decimal(12,2) not null, PaymentMethod string not null, PaymentStatus string not null, TransactionReference string",
+    "CruiseOperator": "OperatorID bigint not null, OperatorName string not null, HeadquartersCountry string not null, ContactEmail string, AllowsChaperonedYouth boolean not null",
+    "CruiseShip": "ShipID bigint not null, OperatorID bigint not null, ShipName string not null, TotalDecks int not null, PassengerCapacity int not null",
+    "CabinCategory": "CabinCategoryID bigint not null, CategoryName string not null, CategoryDescription string",
+    "Cabin": "CabinID bigint not null, ShipID bigint not null, CabinCategoryID bigint not null, CabinNumber string not null, DeckNumber int not null, MaxOccupancy int not null, IsWheelchairAccessible boolean not null",
+    "CabinAdjacency": "CabinAdjacencyID bigint not null, CabinID bigint not null, AdjacentCabinID bigint not null, AdjacencyType string not null",
+    "CruiseRoute": "RouteID bigint not null, RouteName string not null, RouteType string not null",
+    "Port": "PortID bigint not null, PortName string not null, Country string not null",
+    "RoutePort": "RoutePortID bigint not null, RouteID bigint not null, PortID bigint not null, StopSequence int not null, IsHomePort boolean not null",
+    "CruiseVoyage": "VoyageID bigint not null, ShipID bigint not null, RouteID bigint not null, DepartureDateTime timestamp_ntz not null, ArrivalDateTime timestamp_ntz not null, BaggageWeightLimitKG decimal(6,2) not null, VoyageStatus string not null",
+    "Passenger": "PassengerID bigint not null, FullName string not null, DateOfBirth date not null, PassportNo string not null, Nationality string not null, Gender string, ContactNo string, Email string",
+    "AgeCategory": "AgeCategoryID bigint not null, CategoryName string not null, MinAge int not null, MaxAge int",
+    "Booking": "BookingID bigint not null, BookingDate timestamp_ntz not null, CustomerPassengerID bigint not null, VoyageID bigint not null, BookingStatus string not null, TotalAmount decimal(12,2) not null, OriginalBookingID bigint",
+    "BookingCabin": "BookingCabinID bigint not null, BookingID bigint not null, CabinID bigint not null, CabinPrice decimal(12,2) not null",
+    "FareRule": "FareRuleID bigint not null, VoyageID bigint not null, CabinCategoryID bigint not null, AgeCategoryID bigint not null, BaseFare decimal(12,2) not null, EffectiveFrom date not null, EffectiveTo date",
+    "BookingPassenger": "BookingPassengerID bigint not null, BookingID bigint not null, BookingCabinID bigint not null, PassengerID bigint not null, AgeCategoryID bigint not null, FareRuleID bigint, InfantBedOption string not null, IsChaperonedYouth boolean not null, DailySupervisionFee decimal(10,2) not null, FinalFare decimal(12,2) not null",
+    "DiningOption": "DiningOptionID bigint not null, DiningName string not null",
+    "ShipDiningOption": "ShipDiningOptionID bigint not null, ShipID bigint not null, DiningOptionID bigint not null",
+    "SpecialtyDiningType": "SpecialtyDiningTypeID bigint not null, TypeName string not null, Description string",
+    "ShipSpecialtyDining": "ShipSpecialtyDiningID bigint not null, ShipID bigint not null, SpecialtyDiningTypeID bigint not null",
+    "VoyageMealPackageType": "MealPackageTypeID bigint not null, PackageName string not null",
+    "VoyageMealPackageRule": "MealPackageRuleID bigint not null, MealPackageTypeID bigint not null, MinVoyageLengthDays int not null, MaxVoyageLengthDays int",
+    "VoyageMealPackage": "VoyageMealPackageID bigint not null, VoyageID bigint not null, MealPackageRuleID bigint not null",
+    "SpecialService": "ServiceID bigint not null, ServiceName string not null, ServiceType string not null, AgeRestrictionMin int, AgeRestrictionMax int, Fee decimal(10,2) not null",
+    "PassengerSpecialService": "PassengerServiceID bigint not null, BookingPassengerID bigint not null, ServiceID bigint not null, RequestStatus string not null, Fee decimal(10,2) not null",
+    "BaggageRule": "BaggageRuleID bigint not null, OperatorID bigint not null, MaxWeightKG decimal(6,2) not null, EffectiveFrom date not null, EffectiveTo date",
+    "BookingBaggage": "BaggageID bigint not null, BookingPassengerID bigint not null, WeightKG decimal(6,2) not null, IsOverLimit boolean not null, ExcessFee decimal(10,2) not null",
+    "Excursion": "ExcursionID bigint not null, PortID bigint not null, ExcursionName string not null, Description string, DurationHours decimal(5,2) not null, Price decimal(10,2) not null",
+    "VoyageExcursion": "VoyageExcursionID bigint not null, VoyageID bigint not null, RoutePortID bigint not null, ExcursionID bigint not null, AvailableSlots int not null",
+    "BookingExcursion": "BookingExcursionID bigint not null, BookingPassengerID bigint not null, VoyageExcursionID bigint not null, BookingDateTime timestamp_ntz not null, ExcursionStatus string not null, AmountPaid decimal(10,2) not null",
+    "CancellationPolicy": "PolicyID bigint not null, OperatorID bigint not null, HoursBeforeDeparture int not null, PenaltyType string not null, PenaltyValue decimal(10,2) not null",
+    "BookingCancellation": "CancellationID bigint not null, BookingID bigint not null, CancellationDateTime timestamp_ntz not null, Reason string, PenaltyAmount decimal(12,2) not null, RefundAmount decimal(12,2) not null, ProcessedBy string",
+    "RescheduleRequest": "RescheduleID bigint not null, OriginalBookingID bigint not null, NewBookingID bigint, RequestDateTime timestamp_ntz not null, NewVoyageID bigint not null, RescheduleFee decimal(12,2) not null, RequestStatus string not null, Reason string",
+    "Payment": "PaymentID bigint not null, BookingID bigint not null, PaymentDateTime timestamp_ntz not null, Amount decimal(12,2) not null, PaymentMethod string not null, PaymentStatus string not null, TransactionReference string",
 }
 
 # Three different meanings of an "active" row are in use; each report or rule names the one it needs.
