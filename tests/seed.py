@@ -111,9 +111,11 @@ def _numbered(rows) -> list[tuple]:
     return [(i, *row) for i, row in enumerate(rows, 1)]
 
 
-def _booked_at(voyage: int) -> datetime:
-    """Months before the departure; on one day for all later voyages."""
-    return _time("2026-01-10 10:00") if VOYAGES[voyage - 1][4] == "Completed" else _time("2026-06-10 10:00")
+def _booked_at(booking: int, voyage: int) -> datetime:
+    """Months before the departure; bookings of later voyages every 126 hours, the fifth on the first of July."""
+    if VOYAGES[voyage - 1][4] == "Completed":
+        return _time("2026-01-10 10:00")
+    return _time("2026-06-10 10:00") + timedelta(hours=126 * (booking - 1))
 
 
 def raw_rows() -> dict[str, list[tuple]]:
@@ -129,7 +131,7 @@ def raw_rows() -> dict[str, list[tuple]]:
         for i, (b, c, p, band) in enumerate(SEATS, 1)
     ]
     births = {p: BORN_OTHERWISE.get(p, BORN[band]) for _, _, p, band in SEATS}
-    booked = [(_booked_at(voyage), customer, voyage, status) for customer, voyage, status in BOOKINGS]
+    booked = [(_booked_at(i, voyage), customer, voyage, status) for i, (customer, voyage, status) in enumerate(BOOKINGS, 1)]
     day = date(2026, 1, 1)
     return {
         "CruiseOperator": [(i, f"Operator {i}", "X", None, i in (1, 4)) for i in range(1, 6)],

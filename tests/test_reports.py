@@ -111,6 +111,8 @@ def test_passenger_reports(t):
     assert rows(reports.party_for_passenger(t, 1), "PassengersInParty", "CabinCategory") == [(2, "Interior")]
     assert rows(procedures.passenger_bookings(t, 1), "BookingID", "CabinNumber", "FarePaid") == [(1, "I-1", Decimal(1000))]
     assert rows(reports.multi_destination_passengers(t, "Operator 1", "2026-07-01"), "PassengerID") == [14, 13, 15, 16]
+    assert rows(reports.multi_destination_passengers(t, "Operator 1", "2026-07-06"), "PassengerID") == [17, 18]
+    assert rows(reports.multi_destination_passengers(t, "Operator 1", "2026-06-10"), "PassengerID") == []
     with pytest.raises(LookupError, match="Passenger not found."):
         procedures.passenger_bookings(t, 99)
 
