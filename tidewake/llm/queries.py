@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tidewake.llm import byte_dedup, decontaminate, lattice, line_dedup, ngram_join, packing, passage_dedup, quality_rules, secrets, token_counts
+from pyspark.sql import functions as F
+
+from tidewake.llm import (
+    byte_dedup,
+    decontaminate,
+    importance,
+    lattice,
+    line_dedup,
+    nearest,
+    ngram_join,
+    packing,
+    passage_dedup,
+    quality_rules,
+    secrets,
+    spelling,
+    token_counts,
+)
 from tidewake.llm.frames import read
 
 
@@ -51,6 +66,18 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.score_quality(read(spark, folder, "documents"))
 
 
+def op11_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("key")
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -62,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_dedup": op8_byte_dedup,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
+    "op11_nearest": op11_nearest,
+    "op12_resample": op12_resample,
+    "op13_spelling": op13_spelling,
 }
 
 # DuckDB SQL for queries that SQL can express.
