@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -24,6 +25,7 @@ from tidewake.functions import (
     zero_if_null,
 )
 from tidewake.operators import audits as A
+from tidewake.operators import capacity, chains, deltas, intervals, ledger
 from tidewake.operators import lookups as H
 from tidewake.operators import rules as X
 from tidewake.operators.common import union_all
@@ -31,6 +33,8 @@ from tidewake.plans import procedures as P
 from tidewake.plans import reports as R
 from tidewake.plans import views as V
 from tidewake.schema import HOLDING, SOLD, STATUS_TEXT, STATUS_TEXT_UNKNOWN, TABLES
+from tidewake.session import staging_root
+from tidewake.sources import versions
 
 NOW = "2001-06-01 12:00:00"
 SAILING_DAY = "2001-06-19"
@@ -642,6 +646,10 @@ register(
 )
 
 
+def _unpriced(t: StarTables) -> DataFrame:
+    return X.check_passenger_rows(t, fares=False)
+
+
 def _rejected_for(check: Callable[[StarTables], DataFrame], *texts: str) -> Callable[[StarTables], DataFrame]:
     def run(t: StarTables) -> DataFrame:
         hit = reduce(lambda a, b: a | b, [F.array_contains("violations", x) for x in texts])
@@ -653,9 +661,9 @@ def _rejected_for(check: Callable[[StarTables], DataFrame], *texts: str) -> Call
 for _name, _check, _texts_, _cond in (
     ("r03_cabin_of_booking", X.check_passenger_rows, (X.WRONG_BOOKING,), "astray"),
     ("r04_cabin_capacity", X.check_booking_passengers, (X.CABIN_FULL,), "NOT astray AND crowded"),
-    ("r05_age_band", X.check_passenger_rows, (X.WRONG_AGE_BAND,), "NOT astray AND bad_band"),
-    ("r06_infant_bed", X.check_passenger_rows, (X.INFANT_NEEDS_BED, X.BED_NOT_ALLOWED), "NOT astray AND (no_bed OR odd_bed)"),
-    ("r07_chaperoned_youth", X.check_passenger_rows, (X.YOUTH_NOT_ALLOWED,), "NOT astray AND refused"),
+    ("r05_age_band", _unpriced, (X.WRONG_AGE_BAND,), "NOT astray AND bad_band"),
+    ("r06_infant_bed", _unpriced, (X.INFANT_NEEDS_BED, X.BED_NOT_ALLOWED), "NOT astray AND (no_bed OR odd_bed)"),
+    ("r07_chaperoned_youth", _unpriced, (X.YOUTH_NOT_ALLOWED,), "NOT astray AND refused"),
     ("r08_guardian", X.check_booking_passengers, (X.NO_GUARDIAN,), "NOT astray AND alone"),
 ):
     register(
@@ -864,3 +872,287 @@ register(
     lambda t: union_all([t[n].agg(F.lit(n).alias("TableName"), F.count(F.lit(1)).alias("RowCount")) for n in _ALL_TABLES]),
     "\nUNION ALL ".join(f"SELECT '{n}' AS TableName, count(*) AS RowCount FROM {n}" for n in _ALL_TABLES),
 )
+
+
+# --- what the model declares: chains, slots, periods, the waiting list, payments -----------------
+
+# Some bookings are made to replace each other, so that there are circles.
+_CIRCLED = (
+    "CASE WHEN BookingID % 1000 = 7 THEN BookingID + 1 WHEN BookingID % 1000 = 8 THEN BookingID - 1 ELSE OriginalBookingID END"
+)
+register(
+    "w1_reschedule_chains",
+    lambda t: chains.reschedule_chains(_with(t, Booking=t["Booking"].withColumn("OriginalBookingID", F.expr(_CIRCLED)))).drop("violations"),
+    "SELECT BookingID, OriginalBookingID, RootBookingID, Depth, CASE WHEN RootBookingID IS NOT NULL THEN first_value(BookingID) OVER "
+    "(PARTITION BY RootBookingID ORDER BY Depth DESC, BookingDate DESC, BookingID DESC) END AS LatestBookingID, first_violation FROM "
+    "(SELECT c.BookingID, c.OriginalBookingID, c.BookingDate, CASE WHEN hops < 200 THEN last_one END AS RootBookingID, CAST(CASE WHEN hops < 200 THEN hops END AS BIGINT) AS Depth, "
+    f"CASE WHEN hops >= 200 THEN '{chains.CIRCULAR}' WHEN hops = 0 AND c.OriginalBookingID IS NOT NULL THEN '{chains.UNKNOWN_ORIGINAL}' END AS first_violation "
+    "FROM circled c JOIN chain_ends USING (BookingID))",
+    circled=f"SELECT BookingID, BookingDate, {_CIRCLED} AS OriginalBookingID FROM Booking",
+    replaced="SELECT a.BookingID AS newer, a.OriginalBookingID AS older FROM circled a JOIN circled b ON b.BookingID = a.OriginalBookingID",
+    chain_ends="WITH RECURSIVE walk(BookingID, place, hops) AS (SELECT BookingID, BookingID, 0 FROM circled UNION ALL "
+    "SELECT walk.BookingID, older, hops + 1 FROM walk JOIN replaced ON newer = place WHERE hops < 200) "
+    "SELECT BookingID, max(hops) AS hops, arg_max(place, hops) AS last_one FROM walk GROUP BY BookingID",
+)
+
+_SLOTS_SQL = (
+    "SELECT BookingExcursionID, VoyageExcursionID, ExcursionStatus, SalePlace, AvailableSlots, "
+    f"CASE WHEN AvailableSlots IS NULL THEN '{capacity.UNKNOWN_OFFER}' WHEN SalePlace > AvailableSlots THEN '{capacity.NO_SLOT}' END AS first_violation "
+    "FROM {sales} LEFT JOIN (SELECT BookingExcursionID, row_number() OVER (PARTITION BY VoyageExcursionID ORDER BY BookingDateTime, BookingExcursionID) AS SalePlace "
+    "FROM {sales} WHERE ExcursionStatus IN ('Booked', 'Completed')) USING (BookingExcursionID) "
+    "LEFT JOIN (SELECT VoyageExcursionID, AvailableSlots FROM VoyageExcursion) USING (VoyageExcursionID)"
+)
+_SLOT_COLUMNS = ("BookingExcursionID", "VoyageExcursionID", "ExcursionStatus", "SalePlace", "AvailableSlots", "first_violation")
+# A third of all sales goes to one offer, some to an offer that does not exist.
+_BUSY = "CASE WHEN BookingExcursionID % 3 = 0 THEN 0 WHEN BookingExcursionID % 100 = 1 THEN -1 ELSE VoyageExcursionID END"
+register("w2_excursion_slots", lambda t: capacity.check_excursion_slots(t).select(*_SLOT_COLUMNS), _SLOTS_SQL.format(sales="BookingExcursion"))
+register(
+    "w2_slots_of_a_busy_offer",
+    lambda t: capacity.check_excursion_slots(
+        _with(t, BookingExcursion=t["BookingExcursion"].withColumn("VoyageExcursionID", F.expr(_BUSY)))
+    ).select(*_SLOT_COLUMNS),
+    _SLOTS_SQL.format(sales="busy"),
+    busy=f"SELECT BookingExcursionID, {_BUSY} AS VoyageExcursionID, ExcursionStatus, BookingDateTime FROM BookingExcursion",
+)
+
+_OVERLAP_SQL = (
+    "SELECT {keys}, {id}, {start}, {end}, -reach.i AS Overlaps{id} FROM (SELECT *, max(struct_pack(e := coalesce({end}, {never}), i := -{id})) OVER "
+    "(PARTITION BY {keys} ORDER BY {start}, {id} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {rows}) WHERE {start} {op} reach.e"
+)
+_DATED = {"start": "EffectiveFrom", "end": "EffectiveTo", "never": "DATE '9999-12-31'", "op": "<="}
+register(
+    "w3_overlapping_fares",
+    intervals.overlapping_fares,
+    _OVERLAP_SQL.format(keys="VoyageID, CabinCategoryID, AgeCategoryID", id="FareRuleID", rows="FareRule", **_DATED),
+)
+# Many short-lived rules, a third of them of one operator.
+_RULES = ("o_orderkey AS BaggageRuleID", "CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 997 END AS OperatorID", "CAST(20 + o_custkey % 9 AS DECIMAL(6,2)) AS MaxWeightKG")
+register(
+    "w3_overlapping_baggage_rules",
+    lambda t: intervals.overlapping_baggage_rules(
+        _with(
+            t,
+            BaggageRule=t.source("orders").selectExpr(
+                *_RULES,
+                "CAST(o_orderdate AS DATE) AS EffectiveFrom",
+                "CASE WHEN o_orderkey % 500 <> 1 THEN date_add(CAST(o_orderdate AS DATE), int(o_custkey % 90)) END AS EffectiveTo",
+            ),
+        )
+    ),
+    _OVERLAP_SQL.format(keys="OperatorID", id="BaggageRuleID", rows="short_rules", **_DATED),
+    short_rules=f"SELECT {', '.join(_RULES)}, CAST(o_orderdate AS DATE) AS EffectiveFrom, "
+    "CASE WHEN o_orderkey % 500 <> 1 THEN CAST(o_orderdate AS DATE) + CAST(o_custkey % 90 AS INT) END AS EffectiveTo FROM orders",
+)
+# A third of the voyages take two months longer.
+register(
+    "w3_overlapping_voyages",
+    lambda t: intervals.overlapping_voyages(
+        _with(
+            t,
+            CruiseVoyage=t["CruiseVoyage"].withColumn(
+                "ArrivalDateTime", F.expr("CASE WHEN VoyageID % 3 = 0 THEN ArrivalDateTime + INTERVAL 60 DAYS ELSE ArrivalDateTime END")
+            ),
+        )
+    ),
+    _OVERLAP_SQL.format(
+        keys="ShipID", id="VoyageID", start="DepartureDateTime", end="ArrivalDateTime", never="TIMESTAMP '9999-12-31'", op="<", rows="longer"
+    ),
+    longer="SELECT VoyageID, ShipID, DepartureDateTime, CASE WHEN VoyageID % 3 = 0 THEN ArrivalDateTime + INTERVAL 60 DAYS ELSE ArrivalDateTime END AS ArrivalDateTime "
+    "FROM CruiseVoyage WHERE VoyageStatus <> 'Cancelled'",
+)
+
+register(
+    "w4_waiting_list",
+    capacity.promote_waitlisted,
+    "SELECT BookingID, VoyageID, CabinCategoryID, BookingDate, Place, CabinID FROM "
+    "(SELECT BookingID, VoyageID, CabinCategoryID, BookingDate, row_number() OVER (PARTITION BY VoyageID, CabinCategoryID ORDER BY BookingDate, BookingID) AS Place "
+    "FROM (SELECT BookingID, VoyageID, BookingDate, arg_min(CabinID, BookingCabinID) AS CabinID FROM BookingCabin JOIN Booking USING (BookingID) "
+    "WHERE BookingStatus = 'Waitlisted' GROUP BY ALL) JOIN (SELECT CabinID, CabinCategoryID FROM Cabin) USING (CabinID)) "
+    "LEFT JOIN (SELECT VoyageID, CabinCategoryID, CabinID, row_number() OVER (PARTITION BY VoyageID, CabinCategoryID ORDER BY CabinID) AS Place FROM given_up "
+    "JOIN (SELECT CabinID, CabinCategoryID FROM Cabin) USING (CabinID)) USING (VoyageID, CabinCategoryID, Place)",
+    given_up="SELECT VoyageID, CabinID FROM BookingCabin JOIN Booking USING (BookingID) GROUP BY ALL "
+    "HAVING bool_or(BookingStatus IN ('Cancelled', 'Rescheduled')) AND NOT bool_or(BookingStatus IN ('Pending', 'Confirmed', 'Completed'))",
+)
+
+# Payments in parts: a third of them on one booking, some on none.
+_PARTS = (
+    "event_id AS PaymentID, CASE WHEN event_id % 3 = 0 THEN 1 ELSE event_id * 13 % ({bookings} * 21 {div} 20) END AS BookingID, ts AS PaymentDateTime, "
+    "CAST(value AS DECIMAL(12,2)) AS Amount, CASE WHEN event_type IN ('purchase', 'click', 'view') THEN 'Paid' ELSE 'Pending' END AS PaymentStatus"
+)
+
+
+def _in_parts(t: StarTables) -> StarTables:
+    expr = _PARTS.format(bookings=t.size("orders"), div="div")
+    return _with(t, Payment=t.spark.sql(f"SELECT {expr} FROM {{events}}", events=t.source("events")))
+
+
+_LEDGER = {
+    "waiting": _WAITING,
+    "penalty": _PENALTY.format(keys="CancellationID, BookingID, CancellationDateTime", src="waiting"),
+    "parts": "SELECT " + _PARTS.format(bookings="(SELECT count(*) FROM orders)", div="//") + " FROM events",
+    "entries": "SELECT BookingID, 'charge' AS Kind, 0 AS KindNo, BookingDate AS moment, BookingID AS EntryID, TotalAmount AS Amount FROM Booking "
+    "UNION ALL SELECT BookingID, 'payment', 1, PaymentDateTime, PaymentID, -Amount FROM parts WHERE PaymentStatus = 'Paid' "
+    "UNION ALL SELECT BookingID, 'void', 2, CancellationDateTime, CancellationID, -TotalAmount FROM penalty "
+    "UNION ALL SELECT BookingID, 'penalty', 3, CancellationDateTime, CancellationID, PenaltyAmount FROM penalty "
+    "UNION ALL SELECT BookingID, 'refund', 4, CancellationDateTime, CancellationID, TotalAmount - PenaltyAmount FROM penalty",
+}
+register(
+    "w5_account_balances",
+    lambda t: ledger.account_balances(_in_parts(t)).drop("violations"),
+    "SELECT BookingID, "
+    + ", ".join(
+        f"{_dec(f'coalesce(sum({sign}Amount) FILTER (WHERE Kind = {kind!r}), 0)')} AS {name}"
+        for kind, sign, name in (("charge", "", "Charged"), ("void", "-", "Voided"), ("penalty", "", "Penalty"), ("payment", "-", "Paid"), ("refund", "", "Refunded"))
+    )
+    + f", {_dec('coalesce(sum(Amount), 0)')} AS Balance, CASE WHEN NOT bool_or(Kind = 'charge') THEN '{ledger.UNKNOWN_ACCOUNT}' "
+    f"WHEN sum(Amount) > 0 THEN '{ledger.UNDERPAID}' WHEN sum(Amount) < 0 THEN '{ledger.OVERPAID}' END AS first_violation FROM entries GROUP BY BookingID",
+    **_LEDGER,
+)
+register(
+    "w5_account_statement",
+    lambda t: ledger.account_statement(_in_parts(t)),
+    f"SELECT BookingID, moment AS At, Kind, EntryID, CAST(Amount AS DECIMAL(12,2)) AS Amount, {_dec('sum(Amount) OVER (PARTITION BY BookingID ORDER BY moment, KindNo, EntryID)')} AS Balance FROM entries",
+    **_LEDGER,
+)
+
+
+def _merged_bookings(t: StarTables) -> DataFrame:
+    """A first version of the bookings, two batches merged into it, the last version read back."""
+    folder = f"{staging_root(t.spark)}/bookings-{uuid.uuid4().hex}"
+    stored = t["Booking"]
+    versions.create_versioned(stored, folder, ["BookingID"])
+    cancelled = stored.filter("BookingID % 97 = 0").withColumn("BookingStatus", F.lit("Cancelled")).withColumn("_deleted", F.lit(False))
+    dropped = stored.filter("BookingID % 97 = 1").withColumn("_deleted", F.lit(True))
+    versions.merge_batch(cancelled.unionByName(dropped), folder)
+    versions.merge_batch(stored.filter("BookingID % 101 = 0").withColumn("BookingID", F.expr("-1 - BookingID")), folder)
+    return versions.read_version(t.spark, folder)
+
+
+_BOOKING_COLUMNS = "BookingDate, CustomerPassengerID, VoyageID, {status} AS BookingStatus, TotalAmount, OriginalBookingID FROM Booking WHERE {rows}"
+register(
+    "w6_merged_bookings",
+    _merged_bookings,
+    "SELECT BookingID, "
+    + _BOOKING_COLUMNS.format(status="CASE WHEN BookingID % 97 = 0 THEN 'Cancelled' ELSE BookingStatus END", rows="BookingID % 97 <> 1")
+    + " UNION ALL SELECT -1 - BookingID, "
+    + _BOOKING_COLUMNS.format(status="BookingStatus", rows="BookingID % 101 = 0"),
+)
+
+
+def _updated_fares(t: StarTables) -> DataFrame:
+    seats = t["BookingPassenger"]
+    dearer = seats.filter("BookingPassengerID % 50 = 1").withColumn("FinalFare", F.expr("CAST(FinalFare + 100 AS DECIMAL(12,2))"))
+    moved = seats.filter("BookingPassengerID % 50 = 2").withColumn("BookingID", F.expr("BookingID + 1"))
+    gone = seats.filter("BookingPassengerID % 50 = 3 OR BookingID % 40 = 0")
+    batch = dearer.unionByName(moved).filter("BookingID % 40 > 1").withColumn("_deleted", F.lit(False))
+    batch = batch.unionByName(gone.withColumn("_deleted", F.lit(True)))
+    return deltas.update_fare_totals(deltas.fare_totals(seats), seats, batch).withColumnRenamed(deltas.ROWS, "Passengers")
+
+
+register(
+    "w7_updated_fare_totals",
+    _updated_fares,
+    f"SELECT BookingID, {_dec('sum(FinalFare)')} AS TotalAmount, count(*) AS Passengers FROM "
+    "(SELECT BookingPassengerID, CASE WHEN BookingPassengerID % 50 = 2 AND (BookingID + 1) % 40 > 1 THEN BookingID + 1 ELSE BookingID END AS BookingID, "
+    "CASE WHEN BookingPassengerID % 50 = 1 AND BookingID % 40 > 1 THEN FinalFare + 100 ELSE FinalFare END AS FinalFare "
+    "FROM BookingPassenger WHERE NOT (BookingPassengerID % 50 = 3 OR BookingID % 40 = 0)) GROUP BY BookingID",
+)
+
+
+def _updated_occupancy(t: StarTables) -> DataFrame:
+    bookings = t["Booking"]
+    changed = bookings.filter("BookingID % 10 = 1").withColumn(
+        "BookingStatus", F.expr("CASE WHEN BookingStatus = 'Confirmed' THEN 'Cancelled' ELSE 'Confirmed' END")
+    )
+    batch = changed.withColumn("_deleted", F.lit(False)).unionByName(bookings.filter("BookingID % 10 = 2").withColumn("_deleted", F.lit(True)))
+    return deltas.sold_cabins(deltas.update_cabin_sales(deltas.cabin_sales(bookings, t), t, batch))
+
+
+register(
+    "w7_updated_occupancy",
+    _updated_occupancy,
+    "SELECT VoyageID, count(DISTINCT CabinID) AS BookedCabins FROM BookingCabin JOIN (SELECT BookingID, VoyageID, "
+    "CASE WHEN BookingID % 10 = 1 THEN CASE WHEN BookingStatus = 'Confirmed' THEN 'Cancelled' ELSE 'Confirmed' END ELSE BookingStatus END AS state "
+    "FROM Booking WHERE BookingID % 10 <> 2) USING (BookingID) WHERE state IN ('Confirmed', 'Completed') GROUP BY VoyageID",
+)
+register(
+    "w8_revenue_levels",
+    R.revenue_levels,
+    "SELECT OperatorName, ShipID, CabinCategoryID, grouping(OperatorName, ShipID, CabinCategoryID) AS Level, "
+    f"{_dec('sum(paid)')} AS Revenue, count(*) AS Seats, count(DISTINCT PassengerID) AS Passengers FROM sold_place "
+    "GROUP BY GROUPING SETS ((OperatorName, ShipID, CabinCategoryID), (OperatorName, ShipID), (OperatorName, CabinCategoryID), (OperatorName), ())",
+    sold_place=_SOLD_SEAT.replace("SELECT ", "SELECT BookingPassenger.PassengerID, ", 1),
+)
+register(
+    "w9_service_ages",
+    lambda t: X.check_service_ages(t).select("PassengerServiceID", "ServiceID", "AgeAtDeparture", "first_violation"),
+    "SELECT PassengerServiceID, ServiceID, age AS AgeAtDeparture, CASE WHEN age < AgeRestrictionMin OR age > AgeRestrictionMax "
+    "THEN 'Special service is not offered for the passenger''s age at departure.' END AS first_violation "
+    "FROM PassengerSpecialService LEFT JOIN (SELECT ServiceID, AgeRestrictionMin, AgeRestrictionMax FROM SpecialService) USING (ServiceID) LEFT JOIN "
+    f"(SELECT BookingPassengerID, {age_sql('DateOfBirth', 'DepartureDateTime')} AS age FROM BookingPassenger JOIN Booking USING (BookingID) "
+    "JOIN CruiseVoyage USING (VoyageID) JOIN Passenger USING (PassengerID)) USING (BookingPassengerID)",
+)
+# Every other voyage has no limit of its own; the operators' rules change by the year.
+register(
+    "w9_baggage_rules",
+    lambda t: X.check_baggage_by_operator(
+        _with(
+            t,
+            CruiseVoyage=t["CruiseVoyage"].withColumn("BaggageWeightLimitKG", F.expr("CASE WHEN VoyageID % 2 = 0 THEN BaggageWeightLimitKG END")),
+            BaggageRule=t.source("nation").selectExpr(
+                "n_nationkey AS BaggageRuleID", "n_nationkey % 4 AS OperatorID", "CAST(20 + n_nationkey AS DECIMAL(6,2)) AS MaxWeightKG",
+                "make_date(int(1998 + n_nationkey div 4), 1, 1) AS EffectiveFrom", "CASE WHEN n_nationkey % 3 = 0 THEN make_date(int(1998 + n_nationkey div 4), 6, 30) END AS EffectiveTo",
+            ),
+        )
+    ).select("BaggageID", "WeightKG", "LimitKG", "IsOverLimit"),
+    "SELECT BaggageID, WeightKG, LimitKG, WeightKG > LimitKG AS IsOverLimit FROM BookingBaggage LEFT JOIN (SELECT BookingPassengerID, "
+    "CASE WHEN VoyageID % 2 = 0 THEN BaggageWeightLimitKG ELSE (SELECT arg_max(weight, since) FROM yearly WHERE yearly.who = sailing.OperatorID "
+    "AND since <= CAST(DepartureDateTime AS DATE) AND (until IS NULL OR until >= CAST(DepartureDateTime AS DATE))) END AS LimitKG "
+    "FROM BookingPassenger JOIN Booking USING (BookingID) JOIN sailing USING (VoyageID)) USING (BookingPassengerID)",
+    yearly="SELECT n_nationkey % 4 AS who, CAST(20 + n_nationkey AS DECIMAL(6,2)) AS weight, make_date(1998 + n_nationkey // 4, 1, 1) AS since, "
+    "CASE WHEN n_nationkey % 3 = 0 THEN make_date(1998 + n_nationkey // 4, 6, 30) END AS until FROM nation",
+)
+
+# The lookup of the ends of a route on routes that grow with the data: an order's lines as its stops.
+register(
+    "h1_endpoints_of_orders",
+    lambda t: H.route_endpoints(t.source("lineitem").selectExpr("l_orderkey AS RouteID", "l_linenumber AS StopSequence", "l_orderkey * 10 + l_linenumber AS PortID")),
+    "SELECT l_orderkey AS RouteID, max(CASE WHEN l_linenumber = 1 THEN l_orderkey * 10 + l_linenumber END) AS FirstPortID, "
+    "max(l_orderkey * 10 + l_linenumber) AS LastPortID, count(*) AS Stops FROM lineitem GROUP BY l_orderkey",
+)
+
+# Declared defaults, "now" included, on columns with gaps.
+_GAPS = {
+    "Booking": ("BookingID", ("BookingDate", "BookingStatus", "TotalAmount")),
+    "BookingExcursion": ("BookingExcursionID", ("BookingDateTime", "ExcursionStatus", "AmountPaid")),
+    "BookingCancellation": ("CancellationID", ("CancellationDateTime", "PenaltyAmount")),
+    "RescheduleRequest": ("RescheduleID", ("RequestDateTime", "RescheduleFee", "RequestStatus")),
+    "Payment": ("PaymentID", ("PaymentDateTime", "PaymentStatus")),
+    "CruiseVoyage": ("VoyageID", ("VoyageStatus",)),
+    "Cabin": ("CabinID", ("IsWheelchairAccessible",)),
+    "CabinAdjacency": ("CabinAdjacencyID", ("AdjacencyType",)),
+    "BookingPassenger": ("BookingPassengerID", ("InfantBedOption", "IsChaperonedYouth", "FinalFare")),
+    "Excursion": ("ExcursionID", ("Price",)),
+    "VoyageExcursion": ("VoyageExcursionID", ("AvailableSlots",)),
+}
+
+
+def _gap_filled(table: str) -> Callable[[StarTables], DataFrame]:
+    key, columns = _GAPS[table]
+    gaps = [f"CASE WHEN {key} % 7 <> {i} THEN {c} END AS {c}" for i, c in enumerate(columns)]
+    return lambda t: A.fill_defaults(t[table].selectExpr(key, *gaps), table, NOW)
+
+
+def _gap_sql(table: str) -> str:
+    key, columns = _GAPS[table]
+
+    def filled(i: int, c: str) -> str:
+        value = K.DEFAULTS[table][c]
+        literal = f"TIMESTAMP '{NOW}'" if value == "now" else f"'{value}'"
+        return f"CASE WHEN {key} % 7 <> {i} AND {c} IS NOT NULL THEN {c} ELSE {literal} END AS {c}"
+
+    return f"SELECT {key}, {', '.join(filled(i, c) for i, c in enumerate(columns))} FROM {table}"
+
+
+for _table in _GAPS:
+    register(f"c6_defaults_{_table.lower()}", _gap_filled(_table), _gap_sql(_table))

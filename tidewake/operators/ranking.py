@@ -2,41 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RANGE_BITS = 20  # a range spans 2^20 cents
+from tidewake.operators.running import Running, running
 
 
 def global_rank(df: DataFrame, value: str, rank: str) -> DataFrame:
-    """``rank() over (order by value desc)`` for a money column of a staged or cheap frame.
+    """``rank() over (order by value desc)`` for a column of a staged or cheap frame.
 
-    A plain global window sends every row to one task. Here rows are first counted per distinct
-    value, so ties, however many, become one row. Values fall into ranges of fixed width: the window
-    over range totals is bounded by the spread of the values, the one inside a range by its width in
-    cents. rank = 1 + rows in higher ranges + rows with higher values in the same range.
+    A plain global window sends every row to one task. Here rows are first counted per distinct value,
+    so ties, however many, become one row; the counts run downward over ranges of the values, whose
+    number and size follow the data. The last step has one row per range.
     """
-    cents = (F.col(value) * 100).cast("bigint")
-    counts = (
-        df.groupBy(value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_range", F.shiftright(cents, RANGE_BITS))
-    )
-    before = (Window.unboundedPreceding, -1)
-    above = (
-        counts.groupBy("_range")
-        .agg(F.sum("_n").alias("_total"))
-        .select(
-            "_range",
-            F.coalesce(
-                F.sum("_total").over(Window.orderBy(F.desc("_range")).rowsBetween(*before)), F.lit(0)
-            ).alias("_above"),
-        )
-    )
-    inside = Window.partitionBy("_range").orderBy(F.desc(value)).rowsBetween(*before)
-    ranks = (
-        counts.withColumn("_within", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(above, "_range")
-        .select(value, (F.lit(1) + F.col("_above") + F.col("_within")).alias(rank))
-    )
-    return df.join(ranks, value)
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    above = running(counts, [], [F.desc_nulls_last(value)], {"_above": Running(F.col("_n"), with_row=False)})
+    ranks = above.select(F.col(value).alias("_value"), (F.lit(1) + F.coalesce("_above", F.lit(0))).alias(rank))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")

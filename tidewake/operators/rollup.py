@@ -1,4 +1,4 @@
-"""One-key rollup whose total row is marked by grouping(), so a NULL key keeps its own row."""
+"""Totals at several levels at once; a total is marked by grouping, so a NULL key keeps its own row."""
 
 from __future__ import annotations
 
@@ -15,3 +15,29 @@ def labelled_rollup(df: DataFrame, key: str, label: str, total: str, aggs: Seque
     return rolled.select(
         F.when(F.col("_is_total") == 1, F.lit(total)).otherwise(F.col(key)).alias(label), *names
     )
+
+
+def grouping_sets(
+    df: DataFrame, sets: Sequence[Sequence[str]], sums: dict[str, Column], distinct: str | None = None, distinct_as: str = "Distinct"
+) -> DataFrame:
+    """Sums, and the exact number of distinct values of a column, for several sets of keys in one pass.
+
+    Columns: all keys (NULL where the set leaves one out), ``Level`` (the grouping id: bit k from the
+    right is set where the k-th key from the right is left out), the sums and the distinct count.
+
+    Rows are summed to the finest keys and the counted column first. Expand then multiplies those few
+    rows instead of the facts; the counted column rides along as a key, so that no set holds a
+    collection of values and a total over everything is counted in parallel.
+    """
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    fine = [*keys, *([distinct] if distinct else [])]
+    base = df.groupBy(*fine).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    wanted = [[F.col(k) for k in s] for s in sets]
+    again = [F.sum(name).alias(name) for name in sums]
+    if distinct is None:
+        return base.groupingSets(wanted, *keys).agg(F.grouping_id(*keys).alias("Level"), *again).select(*keys, "Level", *sums)
+    # A set with the counted column holds each of its values once; counting them is a plain sum.
+    each = base.groupingSets([[*s, F.col(distinct)] for s in wanted], *fine).agg(F.grouping_id(*fine).alias("_level"), *again)
+    each = each.withColumn("Level", F.shiftright("_level", 1))
+    counted = [F.sum(name).alias(name) for name in sums]
+    return each.groupBy(*keys, "Level").agg(*counted, F.count(distinct).alias(distinct_as))

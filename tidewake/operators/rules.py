@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewake.functions import age_on, any_of, as_date, hours_until, money
 from tidewake.operators.common import first_violation, violation_list
-from tidewake.operators.lookups import effective_prices, guardian_nearby, threshold_policy
+from tidewake.operators.lookups import effective_prices, effective_rule, guardian_nearby, threshold_policy
 from tidewake.schema import HOLDING
 from tidewake.session import stage
 from tidewake.sources.tables import Tables
@@ -44,6 +44,7 @@ BEYOND_ONE_YEAR = "New voyage must depart within one year of the original bookin
 UNKNOWN_BOOKING = "Original booking not found."
 UNKNOWN_NEW_VOYAGE = "New voyage not found."
 FUTURE_BIRTH = "Date of birth cannot be in the future."
+WRONG_SERVICE_AGE = "Special service is not offered for the passenger's age at departure."
 
 
 def _with_violations(df: DataFrame, *checks: tuple[Column, str]) -> DataFrame:
@@ -146,8 +147,14 @@ def _fares_by_band(t: Tables, cabins: DataFrame) -> _Fares:
     return _Fares(rows, lambda band: F.col(f"_fare_{band}"), own["BaseFare"], own["FareRuleID"])
 
 
-def _booked_cabins(t: Tables) -> tuple[DataFrame, _Fares]:
-    """Booked cabins with voyage, operator flag, limits and fares; the context of their passengers."""
+def _no_fares() -> _Fares:
+    """For jobs that ask for no fare: nothing is joined."""
+    none = F.lit(None).cast("decimal(12,2)")
+    return _Fares(None, lambda band: none, none, F.lit(None).cast("bigint"))
+
+
+def _booked_cabins(t: Tables, priced: bool) -> tuple[DataFrame, _Fares]:
+    """Booked cabins with voyage, operator flag, limits and, if asked for, fares; the context of their passengers."""
     sailings = (
         t["CruiseVoyage"]
         .select("VoyageID", "ShipID", "DepartureDateTime")
@@ -167,16 +174,18 @@ def _booked_cabins(t: Tables) -> tuple[DataFrame, _Fares]:
         .join(t["Cabin"].select("CabinID", "MaxOccupancy", "CabinCategoryID"), "CabinID", "left")
         .join(bookings, "_cabin_booking", "left")
     )
+    if not priced:
+        return cabins.join(sailings, "VoyageID", "left"), _no_fares()
     fares = _fares_by_band(t, cabins)
     booked = cabins.join(fares.rows, ["VoyageID", "CabinCategoryID", "BookingDay"], "left")
     return booked.join(sailings, "VoyageID", "left"), fares
 
 
-def _passenger_context(t: Tables, rows: DataFrame) -> DataFrame:
+def _passenger_context(t: Tables, rows: DataFrame, priced: bool = True) -> DataFrame:
     """Rows with everything the row-local checks need, already reduced to flags and amounts."""
     people = t["Passenger"].select("PassengerID", "DateOfBirth")
     bands = t["AgeCategory"].select("AgeCategoryID", "CategoryName", "MinAge", "MaxAge")
-    booked, fares = _booked_cabins(t)
+    booked, fares = _booked_cabins(t, priced)
     df = (
         rows.join(booked, "BookingCabinID", "left")
         .join(people, "PassengerID", "left")
@@ -189,10 +198,11 @@ def _passenger_context(t: Tables, rows: DataFrame) -> DataFrame:
 
     adult, child, own = fares.of_band("Adult"), fares.of_band("Child"), fares.of_own_band
     infant_fare = F.when(bed == "SharedBed", adult * F.expr("0.15BD")).otherwise(child * F.expr("0.50BD"))
-    no_adult = infant & adult.isNull()
-    no_child = infant & child.isNull()
-    no_own = ~infant & own.isNull()
-    priced = ~(no_adult | no_child | no_own)
+    asked = F.lit(priced)
+    no_adult = asked & infant & adult.isNull()
+    no_child = asked & infant & child.isNull()
+    no_own = asked & ~infant & own.isNull()
+    has_fare = ~(no_adult | no_child | no_own)
     return df.select(
         "BookingPassengerID",
         "BookingID",
@@ -221,7 +231,7 @@ def _passenger_context(t: Tables, rows: DataFrame) -> DataFrame:
         no_child.alias("_no_child_fare"),
         no_own.alias("_no_fare"),
         F.when(~infant, fares.own_rule).alias("FareRuleID"),
-        F.when(priced, money(F.when(infant, infant_fare).otherwise(own))).alias("FinalFare"),
+        F.when(has_fare, money(F.when(infant, infant_fare).otherwise(own))).alias("FinalFare"),
         F.when(chaperoned, supervision_fee(t)).otherwise(F.lit(0).cast("decimal(10,2)")).alias("DailySupervisionFee"),
     )
 
@@ -355,13 +365,14 @@ def check_booking_passengers(t: Tables, batch: DataFrame | None = None) -> DataF
     return _passenger_result(df, {CABIN_FULL: full, NO_GUARDIAN: lone})
 
 
-def check_passenger_rows(t: Tables, rows: DataFrame | None = None) -> DataFrame:
+def check_passenger_rows(t: Tables, rows: DataFrame | None = None, fares: bool = True) -> DataFrame:
     """The checks of booked passengers that need no other passenger, with the computed amounts.
 
-    Capacity and guardian are left out, so nothing is staged: one pass over the rows.
+    Capacity and guardian are left out, so nothing is staged: one pass over the rows. Without ``fares``
+    no fare rule is read: fares are NULL and their absence is no violation.
     """
     rows = (t["BookingPassenger"] if rows is None else rows).drop(*_COMPUTED)
-    return _passenger_result(_passenger_context(t, rows.withColumn("_stored", F.lit(False))), {})
+    return _passenger_result(_passenger_context(t, rows.withColumn("_stored", F.lit(False)), fares), {})
 
 
 # --- cancellations -------------------------------------------------------------------------------
@@ -454,6 +465,52 @@ def check_baggage(t: Tables) -> DataFrame:
     )
 
 
+def check_baggage_by_operator(t: Tables) -> DataFrame:
+    """Baggage with ``IsOverLimit`` against the voyage's limit, or where it has none the operator's rule.
+
+    The rule is the one in force on the day of departure; without limit and rule the flag is NULL. Days
+    are looked up once per operator and departure day, not per bag.
+    """
+    sailings = t["CruiseVoyage"].select(
+        "VoyageID", "ShipID", "BaggageWeightLimitKG", as_date("DepartureDateTime").alias("_day")
+    ).join(t["CruiseShip"].select("ShipID", "OperatorID"), "ShipID")
+    ruled = effective_rule(sailings, t["BaggageRule"], ["OperatorID"], "_day", ["MaxWeightKG"])
+    limits = ruled.select("VoyageID", F.coalesce("BaggageWeightLimitKG", "MaxWeightKG").alias("LimitKG"))
+    seats = (
+        t["BookingPassenger"]
+        .select("BookingPassengerID", "BookingID")
+        .join(t["Booking"].select("BookingID", "VoyageID"), "BookingID")
+        .join(limits, "VoyageID")
+        .select("BookingPassengerID", "LimitKG")
+    )
+    bags = t["BookingBaggage"]
+    judged = bags.join(seats, "BookingPassengerID", "left").withColumn("IsOverLimit", F.col("WeightKG") > F.col("LimitKG"))
+    return judged.select(*bags.columns, "LimitKG")
+
+
+def check_service_ages(t: Tables) -> DataFrame:
+    """Service requests of passengers too young or too old for the service at departure.
+
+    An open limit (NULL) refuses nobody; a request whose service, passenger or voyage is unknown is left
+    to the reference audits.
+    """
+    limits = t["SpecialService"].select("ServiceID", "AgeRestrictionMin", "AgeRestrictionMax")
+    ages = (
+        t["BookingPassenger"]
+        .select("BookingPassengerID", "BookingID", "PassengerID")
+        .join(t["Booking"].select("BookingID", "VoyageID"), "BookingID")
+        .join(t["CruiseVoyage"].select("VoyageID", "DepartureDateTime"), "VoyageID")
+        .join(t["Passenger"].select("PassengerID", "DateOfBirth"), "PassengerID")
+        .select("BookingPassengerID", age_on("DateOfBirth", "DepartureDateTime").alias("AgeAtDeparture"))
+    )
+    rows = t["PassengerSpecialService"]
+    judged = rows.join(limits, "ServiceID", "left").join(ages, "BookingPassengerID", "left")
+    age = F.col("AgeAtDeparture")
+    refused = (age < F.col("AgeRestrictionMin")) | (age > F.col("AgeRestrictionMax"))
+    checked = _with_violations(judged, (F.coalesce(refused, F.lit(False)), WRONG_SERVICE_AGE))
+    return checked.select(*rows.columns, "AgeAtDeparture", "violations", "first_violation")
+
+
 def snapshot_service_fees(t: Tables, requests: DataFrame | None = None) -> DataFrame:
     """Service requests with the catalogue fee of now copied in; an unknown service is a violation."""
     rows = t["PassengerSpecialService"] if requests is None else requests

@@ -25,7 +25,7 @@ from tidewake.functions import (
 )
 from tidewake.operators.lookups import route_endpoints
 from tidewake.operators.ranking import global_rank
-from tidewake.operators.rollup import labelled_rollup
+from tidewake.operators.rollup import grouping_sets, labelled_rollup
 from tidewake.schema import (
     EXC_SOLD,
     LIVE_VOYAGE,
@@ -658,3 +658,25 @@ def cancellation_impact(t: Tables) -> DataFrame:
         .orderBy(F.desc("TotalPenaltiesRetained"), "OperatorName")
         .drop("OperatorID")
     )
+
+
+def revenue_levels(t: Tables) -> DataFrame:
+    """Sold revenue, seats and different passengers by operator, ship and cabin category, at five levels at once.
+
+    Levels (see ``grouping_sets``): 0 all three keys, 1 operator and ship, 2 operator and category,
+    3 operator, 7 everything.
+    """
+    sailings = _voyages(t).join(operator_ships(t), "ShipID").select("VoyageID", "ShipID", "OperatorName")
+    cabins = (
+        t["BookingCabin"]
+        .select("BookingCabinID", "BookingID", "CabinID")
+        .join(_bookings(t, SOLD), "BookingID")
+        .join(t["Cabin"].select("CabinID", "CabinCategoryID"), "CabinID")
+        .join(sailings, "VoyageID")
+        .select("BookingCabinID", "OperatorName", "ShipID", "CabinCategoryID")
+    )
+    seats = t["BookingPassenger"].select("BookingCabinID", "PassengerID", "FinalFare").join(cabins, "BookingCabinID")
+    operator, ship, category = "OperatorName", "ShipID", "CabinCategoryID"
+    sets = [(operator, ship, category), (operator, ship), (operator, category), (operator,), ()]
+    levels = grouping_sets(seats, sets, {"Revenue": F.col("FinalFare"), "Seats": F.lit(1)}, "PassengerID", "Passengers")
+    return levels.select(operator, ship, category, "Level", F.col("Revenue").cast(AMOUNT).alias("Revenue"), "Seats", "Passengers")
