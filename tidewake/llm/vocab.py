@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +27,8 @@ BYTE_PIECES = re.compile(
     f"{_CONTRACTIONS}| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_BLANKS}{_LETTERS}{_NUMBERS}]+"
     f"|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
 )
-WORD_PIECES = re.compile(f"{_CONTRACTIONS}|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+")
-_SEPARATORS = re.compile("[\x1c-\x1f]|<\\|")
+# Python splits at these, the tokenizer does not.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 CACHE_PIECES = 250_000  # of each generation
 
 
@@ -50,35 +51,24 @@ class _Pieces:
         self.known: dict = {}
         self.older: dict = {}
 
-    def look_up(self, pieces: list[str], alone: bool) -> list:
-        """``alone`` says that each piece is one pre-token also between spaces, and keeps its ids there."""
-        found = list(map(self.known.get, pieces))
-        new = {p for p, got in zip(pieces, found) if got is None}
+    def look_up(self, pieces: list[str]) -> Iterator:
+        new = set(pieces).difference(self.known)
         if new:
             if len(self.known) + len(new) > CACHE_PIECES:
                 self.older, self.known = self.known, {}
+                new = set(pieces)
             kept = {p: self.older[p] for p in new if p in self.older}
             self.known.update(kept)
-            self._learn([p for p in new if p not in kept], alone)
-            known = self.known
-            found = [known[p] if got is None else got for p, got in zip(pieces, found)]
-        return found
-
-    def _learn(self, new: list[str], alone: bool) -> None:
-        if alone and len(new) > 1:
-            # One call for all: the pieces keep apart by the spaces, which this vocabulary drops.
-            got = self.library.encode(" ".join(new), add_special_tokens=False)
-            ids, word = np.array(got.ids, "<u4"), np.array(got.word_ids)
-            bounds = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
-            if len(bounds) == len(new) + 1:
-                raw, at = ids.tobytes(), (4 * bounds).tolist()
-                self.known.update(zip(new, (raw[s:e] for s, e in zip(at, at[1:]))))
-                return
+            if len(kept) < len(new):
+                self._learn([p for p in new if p not in kept])
+        return map(self.known.__getitem__, pieces)
+
+    def _learn(self, new: list[str]) -> None:
         for piece, got in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
             self.known[piece] = self._keep(got)
 
     def _keep(self, got):
-        return np.array(got.ids, "<u4").tobytes()
+        raise NotImplementedError
 
 
 class BytePieces(_Pieces):
@@ -90,13 +80,13 @@ class BytePieces(_Pieces):
     def count(self, text: str) -> int:
         if not is_plain(text):
             return len(self.library.encode(text, add_special_tokens=False))
-        return sum(self.look_up(BYTE_PIECES.findall(text), False))
+        return sum(self.look_up(BYTE_PIECES.findall(text)))
 
     def boundaries(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(offsets of the pre-tokens' starts and of the end, tokens before each)."""
         if is_plain(text):
             pieces = BYTE_PIECES.findall(text)
-            return np.cumsum([0, *map(len, pieces)]), np.cumsum([0, *self.look_up(pieces, False)])
+            return np.cumsum([0, *map(len, pieces)]), np.cumsum([0, *self.look_up(pieces)])
         got = self.library.encode(text, add_special_tokens=False)
         word = np.array(got.word_ids)
         first = np.flatnonzero(np.diff(word, prepend=-1))
@@ -105,15 +95,32 @@ class BytePieces(_Pieces):
 
 
 class WordIds(_Pieces):
-    """Ids of a word-end vocabulary that lower-cases and drops white space."""
+    """Ids of a word-end vocabulary that lower-cases and drops white space.
+
+    No pre-token holds white space, so what stands between white space is encoded once and remembered.
+    """
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit numbers."""
-        if is_plain(text):
-            return b"".join(self.look_up(WORD_PIECES.findall(text.lower()), True))
-        if _SEPARATORS.search(text) is None:
-            return b"".join(self.look_up(text.split(), False))
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if "<|" in text or any(c in text for c in _SEPARATORS):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        # Only letters whose lower case is one letter whatever stands around them are lowered here.
+        return b"".join(self.look_up((text.lower() if text.isascii() else text).split()))
+
+    def _learn(self, new: list[str]) -> None:
+        """One call for all plain pieces: the spaces keep them apart, and offsets tell whose an id is."""
+        plain = [p for p in new if p.isascii() and p.isprintable()]
+        if len(plain) > 1:
+            got = self.library.encode(" ".join(plain), add_special_tokens=False)
+            raw = np.array(got.ids, "<u4").tobytes()
+            starts = np.cumsum([0, *(len(p) + 1 for p in plain)])
+            at = (4 * np.searchsorted(np.array([o[0] for o in got.offsets], np.int64), starts)).tolist()
+            self.known.update(zip(plain, (raw[s:e] for s, e in zip(at, at[1:]))))
+            new = [p for p in new if not (p.isascii() and p.isprintable())]
+        super()._learn(new)
+
+    def _keep(self, got):
+        return np.array(got.ids, "<u4").tobytes()
 
 
 # One per process: workers are reused, and what a task has learned serves the next.
