@@ -1,11 +1,11 @@
 """Language-model score by a subword lattice.
 
-A word's probability is summed over all its segmentations into the pieces of an existing vocabulary,
-by forward recursion in log space. The pieces start from the vocabulary's own scores and are re-weighted
-by expected counts over the distinct training words (forward-backward), since they stand for new words. A word seen in training has one more
-arc over its whole length, weighted by its discounted frequency, so the lattice carries the mass that
-discounting takes from the seen words. The document's probability is the product over its words and
-its end.
+A word's probability is summed over all its segmentations into the pieces of an existing vocabulary, by
+forward recursion in log space. The vocabulary's scores weight the pieces as they are: nothing is fitted.
+They are ranks, not log probabilities, so a piece weighs 1 / (rank + 10), as frequencies fall with rank. A
+word seen in training has one more arc over its whole length, weighted by its discounted frequency; the
+lattice of pieces carries the mass that discounting takes from the seen words. The document's probability
+is the product over its words and its end.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -28,13 +27,9 @@ from tidewake.session import stage
 
 HEAD_WORDS = 150_000  # the most frequent words are sent to every task; the others are joined
 FLUSH_WORDS = 300_000
-MAX_PIECE_BYTES = 12
-CELLS = 400_000
-ROUNDS = 5
-SMOOTHING = 20.0
+HEAD_BYTES = 64  # the longest word that is sent to every task
 
 _COUNTS = pa.schema([("word", pa.binary()), ("train", pa.int64()), ("every", pa.int64())])
-_EXPECTED = pa.schema([("piece", pa.int32()), ("n", pa.float64())])
 _PARTS = pa.schema(
     [
         ("row", pa.int64()),
@@ -57,134 +52,85 @@ def words_of(text: bytes) -> list[bytes]:
 
 @dataclass
 class Pieces:
-    """A vocabulary as bytes, with log weights in four places of a word.
+    """A vocabulary as bytes with log weights: ``starting`` pieces begin a word, ``inner`` ones go on.
 
-    ``starting`` pieces make a whole word or begin one, ``inner`` pieces go on or end it; the weights are
-    those of whole, begin, go on, end, in this order. Whole and begin together sum to 1, and so do go on
-    and end, which makes a distribution over words. Every byte is a piece of both sorts, so that every
-    word has a segmentation.
+    The weights of each sort sum to 1, and the choice to end after a piece or to go on is even, which makes a
+    distribution over words. Every byte is a piece of both sorts, so that every word has a segmentation.
     """
 
-    starting: list[bytes]
-    inner: list[bytes]
-    weight: np.ndarray
+    starting: dict[bytes, float]
+    inner: dict[bytes, float]
 
-    def offset(self, begins: bool, ends: bool) -> int:
-        n, m = len(self.starting), len(self.inner)
-        return {(True, True): 0, (True, False): n, (False, False): 2 * n, (False, True): 2 * n + m}[begins, ends]
 
-    def table(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        hashes = np.array([_hash_bytes(p) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        return hashes[order], order
-
-    def normalised(self, counts: np.ndarray, prior: np.ndarray) -> "Pieces":
-        """Weights from counts, smoothed by the prior weights."""
-        cut = 2 * len(self.starting)
-        new = np.zeros(len(counts))
-        for part in (slice(0, cut), slice(cut, None)):
-            p = np.exp(prior[part])
-            smoothed = counts[part] + SMOOTHING * p / p.sum()
-            new[part] = np.log(smoothed / smoothed.sum())
-        return Pieces(self.starting, self.inner, new)
-
-
-_B = int(tb.BASE)
-_MASK = (1 << 64) - 1
-
-
-def _hash_bytes(piece: bytes) -> int:
-    h = 0
-    for byte in piece:
-        h = (h * _B + byte + 1) & _MASK
-    return h
+HALF = math.log(0.5)
 
 
 def load_pieces(path: str) -> Pieces:
-    """Pieces of a sentencepiece model; its scores fall with rank, and give weights of 1 / (rank + 10)."""
+    """Pieces of a sentencepiece model of any length; their scores fall with rank, and give weights of 1 / (rank + 10)."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    found: tuple[dict[bytes, float], dict[bytes, float]] = ({}, {})
+    starting: dict[bytes, float] = {}
+    inner: dict[bytes, float] = {}
     n = model.get_piece_size()
     for i in range(n):
         if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i):
             continue
         piece = model.id_to_piece(i)
-        begins = piece.startswith("▁")
         raw = piece.lstrip("▁").encode()
-        if not raw or "▁" in piece[1:] or raw != raw.lower() or len(raw) > MAX_PIECE_BYTES:
+        if not raw or "▁" in piece[1:] or raw != raw.lower():
             continue
         rank = min(n, -model.get_score(i))
-        found[0 if begins else 1].setdefault(raw, -math.log(rank + 10.0))
-    for table in found:
+        (starting if piece.startswith("▁") else inner).setdefault(raw, 1 / (rank + 10.0))
+    for table in (starting, inner):
         for byte in range(256):
-            table.setdefault(bytes([byte]), -math.log(4.0 * n))
-    start, inner = (list(t) for t in found)
-    weight = np.array([*found[0].values()] * 2 + [*found[1].values()] * 2)
-    prior = Pieces(start, inner, weight)
-    return prior.normalised(np.zeros(len(weight)), weight)
+            table.setdefault(bytes([byte]), 1 / (4.0 * n))
+        whole = sum(table.values())
+        for piece, weight in table.items():
+            table[piece] = math.log(weight / whole)
+    return Pieces(starting, inner)
 
 
 class Lattice:
-    """Forward and backward sums over the segmentations of many words of one length at a time."""
+    """Forward sums over the segmentations of a word, whatever its length."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces = pieces
-        self.tables = [pieces.table(pieces.starting), pieces.table(pieces.inner)]
-        self.longest = max(map(len, pieces.starting + pieces.inner))
-
-    def arcs(self, chars: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(from, to, rows, piece numbers) of every arc, in the order of a forward pass."""
-        n, length = chars.shape
-        rolling = {i: np.zeros(n, np.uint64) for i in range(length)}
-        for to in range(1, length + 1):
-            for begin in range(max(0, to - self.longest), to):
-                rolling[begin] = rolling[begin] * tb.BASE + chars[:, to - 1] + tb.ONE
-                hashes, order = self.tables[0 if begin == 0 else 1]
-                place = np.minimum(np.searchsorted(hashes, rolling[begin]), len(hashes) - 1)
-                rows = np.flatnonzero(hashes[place] == rolling[begin])
-                if len(rows):
-                    yield begin, to, rows, order[place[rows]] + self.pieces.offset(begin == 0, to == length)
-
-    def forward(self, chars: np.ndarray, keep: list | None = None) -> np.ndarray:
-        n, length = chars.shape
-        alpha = np.full((length + 1, n), -np.inf)
-        alpha[0] = 0.0
-        for begin, to, rows, piece in self.arcs(chars):
-            alpha[to, rows] = np.logaddexp(alpha[to, rows], alpha[begin, rows] + self.pieces.weight[piece])
-            if keep is not None:
-                keep.append((begin, to, rows, piece))
-        return alpha
-
-    def log_probability(self, chars: np.ndarray) -> np.ndarray:
-        return self.forward(chars)[-1]
-
-    def expected(self, chars: np.ndarray, counts: np.ndarray, into: np.ndarray) -> None:
-        """Adds the expected uses of each piece in ``counts`` copies of the words."""
-        arcs: list = []
-        alpha = self.forward(chars, arcs)
-        beta = np.full(alpha.shape, -np.inf)
-        beta[-1] = 0.0
-        for begin, to, rows, piece in reversed(arcs):
-            through = self.pieces.weight[piece] + beta[to, rows]
-            use = np.exp(alpha[begin, rows] + through - alpha[-1, rows]) * counts[rows]
-            into += np.bincount(piece, use, minlength=len(into))
-            beta[begin, rows] = np.logaddexp(beta[begin, rows], through)
-
-
-def _by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, bytes as a matrix) of words of equal length, in blocks of bounded size."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    order = np.argsort(lengths, kind="stable")
-    for same in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
-        if not len(same):
-            continue
-        length = int(lengths[same[0]])
-        step = max(1, CELLS // max(1, length))
-        for i in range(0, len(same), step):
-            block = same[i : i + step]
-            yield block, np.frombuffer(b"".join(words[k] for k in block), np.uint8).reshape(len(block), length)
+        self.tables = [self._with_beginnings(t) for t in (pieces.starting, pieces.inner)]
+        self.longest = max(map(len, [*pieces.starting, *pieces.inner]))
+
+    @staticmethod
+    def _with_beginnings(table: dict[bytes, float]) -> dict[bytes, float | None]:
+        """The pieces, and None for what only begins a piece, so that a search ends where no piece goes on."""
+        out: dict[bytes, float | None] = {p[:k]: None for p in table for k in range(1, len(p))}
+        out.update(table)
+        return out
+
+    def log_probability(self, word: bytes) -> float:
+        """Natural logarithm; only the positions that a piece can reach from here are held."""
+        n, size = len(word), self.longest + 1
+        ahead: list[float] = [-math.inf] * size
+        ahead[0] = 0.0
+        table, rest = self.tables
+        exp, log1p = math.exp, math.log1p
+        for begin in range(n):
+            slot = begin % size
+            here, ahead[slot] = ahead[slot], -math.inf
+            for end in range(begin + 1, min(n, begin + self.longest) + 1):
+                weight = table.get(word[begin:end], 0.0)
+                if weight is None:
+                    continue
+                if weight == 0.0:  # no piece and no beginning of one; a weight is below 0
+                    break
+                into = end % size
+                old, new = ahead[into], here + weight + HALF
+                if old > new:
+                    ahead[into] = old + log1p(exp(new - old))
+                elif old == -math.inf:
+                    ahead[into] = new
+                else:
+                    ahead[into] = new + log1p(exp(old - new))
+            table = rest
+        return ahead[n % size]
 
 
 def _held_out(doc_id: Column) -> Column:
@@ -213,21 +159,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _expected(batches: Iterator[pa.RecordBatch], lattice: Lattice) -> Iterator[pa.RecordBatch]:
-    sums = np.zeros(len(lattice.pieces.weight))
-    for batch in batches:
-        for places, chars in _by_length(batch.column("word").to_pylist()):
-            lattice.expected(chars, np.ones(len(places)), sums)
-    used = np.flatnonzero(sums)
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], schema=_EXPECTED)
-
-
 def _lattice_scores(batches: Iterator[pa.RecordBatch], lattice: Lattice) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = np.zeros(batch.num_rows)
-        for places, chars in _by_length(batch.column("word").to_pylist()):
-            out[places] = lattice.log_probability(chars)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "lattice"])
+        out = [lattice.log_probability(w.as_py()) for w in batch.column("word")]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "lattice"])
 
 
 def _score_documents(batches: Iterator[pa.RecordBatch], head: dict[bytes, tuple], end: tuple) -> Iterator[pa.RecordBatch]:
@@ -257,7 +192,7 @@ def _score_documents(batches: Iterator[pa.RecordBatch], head: dict[bytes, tuple]
 
 
 def score_documents(
-    docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, head_words: int = HEAD_WORDS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, vocabulary: str, head_words: int = HEAD_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Log10 probability of every text under the lattice model and under add-one word counts.
 
@@ -265,8 +200,8 @@ def score_documents(
     (words and the end), n_known (tokens seen in training), train_tokens, base_score, score. A null text
     is its end alone; a null id counts as an empty text for the split and stays null; repeated rows give
     a row each; other columns are not read; an empty table gives no rows. With no training documents the
-    score is the lattice's alone. At most ``head_words`` words go to every task, however large the
-    vocabulary of the corpus grows; the others are joined.
+    score is the lattice's alone. At most ``head_words`` words of at most 64 bytes go to every task, however
+    large the vocabulary of the corpus grows; the others are joined. A word may be as long as its text.
     """
     doc_id = F.col(id_col).cast("long")
     rows = docs.select(doc_id.alias("doc_id"), F.col(text_col).cast("string").alias("text"), _held_out(doc_id).alias("held_out"))
@@ -283,15 +218,7 @@ def score_documents(
     words = totals["tokens"] or 0
     n, v = words + ends, (totals["distinct"] or 0) + (1 if ends else 0)
 
-    pieces = prior = load_pieces(vocabulary)
-    for _ in range(rounds if words else 0):
-        lattice = Lattice(pieces)
-        got = map_arrow(counts.filter(seen).select("word"), lambda it, m=lattice: _expected(it, m), _EXPECTED)
-        expected = np.zeros(len(pieces.weight))
-        for r in got.groupBy("piece").agg(F.sum("n").alias("n")).collect():  # at most one row per piece
-            expected[r["piece"]] = r["n"]
-        pieces = pieces.normalised(expected, prior.weight)
-    lattice = Lattice(pieces)
+    lattice = Lattice(load_pieces(vocabulary))
 
     # Absolute discounting: what it takes from the seen words weighs the lattice of pieces.
     once, twice = totals["once"] or 0, totals["twice"] or 0
@@ -311,17 +238,18 @@ def score_documents(
 
     # The frequency above which at most ``head_words`` words lie.
     top = 100_000
-    sizes = scored.groupBy(F.least("every", F.lit(top)).alias("every")).agg(F.count(F.lit(1)).alias("n")).collect()
+    short = F.octet_length("word") <= HEAD_BYTES
+    sizes = scored.filter(short).groupBy(F.least("every", F.lit(top)).alias("every")).agg(F.count(F.lit(1)).alias("n")).collect()
     least, sofar = top + 1, 0
     for r in sorted(sizes, key=lambda r: -r["every"]):
         sofar += r["n"]
         if sofar > head_words:
             break
         least = r["every"]
-    head = {bytes(r["word"]): (r["known"], r["base"], r["log_p"]) for r in scored.filter(F.col("every") >= least).drop("every").collect()}
+    head = {bytes(r["word"]): (r["known"], r["base"], r["log_p"]) for r in scored.filter(short & (F.col("every") >= least)).drop("every").collect()}
     end = (1 if ends else 0, math.log10((ends + 1) / (n + v + 1)), math.log10(p_end))
     parts = map_arrow(rows, lambda it: _score_documents(it, head, end), _PARTS)
-    rest = scored.filter(F.col("every") < least).drop("every")
+    rest = scored.filter(~short | (F.col("every") < least)).drop("every")
     total = lambda name: F.sum(F.coalesce(F.col("n") * F.col(name), F.lit(0)))
     return (
         parts.join(rest, "word", "left")
