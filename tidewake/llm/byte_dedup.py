@@ -3,13 +3,13 @@
 Suffix arrays are built over small neighbourhoods instead of the corpus: every string of the threshold
 length holds a winnowed seed, and equal strings hold the same. Seeds with one context everywhere need no
 suffix order: all of the context repeats. Where a seed's contexts differ, one context of each sort goes
-into the suffix array of its seed. In suffix order by the threshold length, the matches of a position
-are the run around it, and its previous and next smaller positions there are its earlier matches: a
-position has a longest previous factor over the threshold if the run holds a smaller one. A context that
-shares neither half of the threshold around its seed has no match there and stays out of the suffix order.
-Seeds with too many contexts for one task are settled by hashes of the strings around them instead: first
-of long stretches of neighbouring strings, then of ever shorter ones where stretches agree in part, down to
-single strings.
+into the suffix array of its seed: suffixes in order of their first bytes up to the threshold, equal ones by
+their places in the corpus. There the previous and the next smaller place of a suffix give its longest
+earlier match, and the same arrays read the other way its longest match at any other place; what reaches the
+threshold is repeated. Contexts are cut first to the strings of threshold length whose hashes meet in the
+seed, so that what shares a seed and little else stays out of the suffix order. Seeds with too many contexts
+for one task are settled by hashes of the strings around them instead: first of long stretches of
+neighbouring strings, then of ever shorter ones where stretches agree in part, down to single strings.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ SEED_BYTES = 64
 HOT_CONTEXTS = 1000
 SUFFIX_BYTES = 250_000
 HASHED_CONTEXTS = 1000
+HASHED_BYTES = 500_000
 STRETCHES = (64, 16, 4, 1)
 
 _PLACE = [("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int64())]
@@ -141,18 +143,66 @@ def _sharing_half(table: pa.Table, window: int, size: int) -> pa.Table:
     return table.filter(pa.array(keep))
 
 
+def _whole_groups(table: pa.Table, limit: int) -> Iterator[pa.Table]:
+    """Parts of a table of about ``limit`` bytes of contexts that cut no group."""
+    group = group_numbers(table)
+    sizes = pc.binary_length(table.column("bytes")).to_numpy()
+    starts = np.flatnonzero(np.diff(group, prepend=0))
+    total = np.cumsum(np.add.reduceat(sizes, starts)) // limit
+    cuts = starts[np.flatnonzero(np.diff(total, prepend=-1))]
+    for lo, hi in zip(cuts, np.append(cuts[1:], len(table))):
+        yield table.slice(lo, hi - lo)
+
+
+def _met_strings(table: pa.Table, window: int) -> pa.Table:
+    """Contexts cut to what their strings of ``window`` bytes that meet in their seed cover; others are left out.
+
+    Only hashes are compared here: whether strings are equal is left to the suffix order.
+    """
+    data, offsets = tb.text_bytes(table.column("bytes").combine_chunks())
+    sums = tb.prefix_sums(data.astype(np.uint64) + tb.ONE, tb.BASE)
+    sizes = np.diff(offsets)
+    count = np.maximum(sizes - window + 1, 0)
+    who = np.repeat(np.arange(len(sizes)), count)
+    place = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+    start = offsets[who] + place
+    hashes = tb.range_hash(sums, start, start + window, tb.BASE) ^ tb.mix(group_numbers(table).astype(np.uint64))[who]
+    order = np.argsort(hashes)
+    alike = np.diff(hashes[order]) == 0
+    met = np.zeros(len(who), bool)
+    met[order[1:][alike]] = met[order[:-1][alike]] = True
+    met = np.flatnonzero(met)
+    if not len(met):
+        return table.slice(0, 0)
+    edges = np.flatnonzero(np.diff(who[met], prepend=-1))
+    rows, low = who[met][edges], place[met][edges]
+    high = place[met][np.append(edges[1:], len(met)) - 1] + window
+    cut = [data[offsets[r] + s : offsets[r] + e].tobytes() for r, s, e in zip(rows, low, high)]
+    kept = table.take(pa.array(rows))
+    kept = kept.set_column(kept.schema.get_field_index("bytes"), "bytes", pa.array(cut, pa.binary()))
+    return kept.set_column(kept.schema.get_field_index("s"), "s", pa.array(kept.column("s").to_numpy() + low))
+
+
 def rank_by_prefix(symbols: np.ndarray, length: int) -> np.ndarray:
     """Rank of each suffix by its first ``length`` symbols; equal prefixes share a rank.
 
-    Ranks by a short prefix come three at a time into one number, which gives those by a prefix of three times
-    the length, as long as they fit.
+    Ranks by a prefix come two at a time into one number, which gives those by a prefix of twice the length.
+    Beside them the number holds the position while it has room, so that one plain sort gives ranks and order.
     """
     n = len(symbols)
-
-    def ranked(key: np.ndarray) -> np.ndarray:
-        order = np.argsort(key)
+    place_bits = max(1, (n - 1).bit_length())
+    places = np.arange(n, dtype=np.uint64)
+
+    def ranked(key: np.ndarray, limit: int) -> np.ndarray:
+        if limit << place_bits < 1 << 64:
+            both = np.sort((key.astype(np.uint64) << np.uint64(place_bits)) | places)
+            order = (both & np.uint64((1 << place_bits) - 1)).astype(np.int64)
+            value = both >> np.uint64(place_bits)
+        else:
+            order = np.argsort(key)
+            value = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
+        rank[order] = np.concatenate([[0], np.cumsum(value[1:] != value[:-1])])
         return rank
 
     def joined(values: np.ndarray, base: int, shifts: list[int]) -> np.ndarray:
@@ -164,41 +214,73 @@ def rank_by_prefix(symbols: np.ndarray, length: int) -> np.ndarray:
         return out
 
     # Only symbols that occur need a number of their own.
-    _, dense = np.unique(symbols, return_inverse=True)
-    base = int(dense.max(initial=0)) + 2
+    occurs = np.zeros(int(symbols.max(initial=0)) + 1, bool)
+    occurs[symbols] = True
+    dense = (np.cumsum(occurs) - 1)[symbols]
+    base = int(occurs.sum()) + 1
+    room = 63 - place_bits
     width = 1
-    while width < length and base ** (width + 1) < 1 << 63:
+    while width < length and base ** (width + 1) < 1 << room:
         width += 1
-    rank = ranked(joined(dense.astype(np.int64), base, [*range(1, width)]))
-    most = 2 if (n + 2) ** 3 < 1 << 63 else 1
+    rank = ranked(joined(dense, base, [*range(1, width)]), base**width)
     while width < length:
-        shifts = [min(k * width, length - width) for k in range(1, most + 1)]
-        rank = ranked(joined(rank, n + 2, shifts))
-        width += shifts[-1]
+        shift = min(width, length - width)
+        rank = ranked(joined(rank, n + 1, [shift]), (n + 1) ** 2)
+        width += shift
     return rank
 
 
-def earlier_and_any(order_key: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per suffix whether its class, a run in suffix order, holds a smaller position, and whether it holds another.
+def smaller_places(place: np.ndarray, joins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per entry of a suffix order the previous and the next entry with a smaller place, -1 for none.
 
-    ``order_key`` numbers the physical positions: contexts may overlap, and one position in two of them is
-    no match of itself.
+    ``joins`` says whether an entry shares the threshold with the one before it; entries beyond a break share
+    less, so they are not looked at. A pointer that meets a place that is not smaller goes on from where that
+    entry points to.
     """
-    order = np.argsort(classes)
-    run, place = classes[order], order_key[order]
-    start = np.concatenate([[True], run[1:] != run[:-1]])
-    number, begins = np.cumsum(start) - 1, np.flatnonzero(start)
-    least, most = np.minimum.reduceat(place, begins), np.maximum.reduceat(place, begins)
-    earlier, other = np.zeros(len(classes), bool), np.zeros(len(classes), bool)
-    earlier[order] = place > least[number]
-    other[order] = (most > least)[number]
-    return earlier, other
+
+    def towards(step: int) -> np.ndarray:
+        at = np.arange(len(place))
+        run = np.cumsum(~joins)
+        pointer = at + step
+        inside = (pointer >= 0) & (pointer < len(place))
+        pointer = np.where(inside & (run[np.where(inside, pointer, 0)] == run), pointer, -1)
+        while True:
+            # An entry with a pointer to no smaller place takes over that entry's pointer.
+            wrong = np.flatnonzero((pointer >= 0) & (place[pointer] >= place))
+            if not len(wrong):
+                return pointer
+            pointer[wrong] = pointer[pointer[wrong]]
+
+    return towards(-1), towards(1)
+
+
+def matched_factors(place: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per suffix whether a smaller place shares the threshold with it, and whether any other place does.
+
+    The longest previous factor reaches the threshold where there is a previous or next smaller place before
+    the shared length falls below it; the places read backwards give the longest later one. Places may stand
+    twice, since contexts of a document overlap, and such an entry is no match of itself.
+    """
+    order = np.lexsort((place, rank))
+    joins = np.zeros(len(order), bool)
+    joins[1:] = rank[order][1:] == rank[order][:-1]
+    before, after = smaller_places(place[order], joins)
+    earlier = np.zeros(len(order), bool)
+    earlier[order] = (before >= 0) | (after >= 0)
+    before, after = smaller_places(-place[order], joins)
+    later = np.zeros(len(order), bool)
+    later[order] = (before >= 0) | (after >= 0)
+    return earlier, earlier | later
 
 
 def _factors(batches: Iterator[pa.RecordBatch], window: int, size: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """Spans of the contexts that match another context of their seed."""
     for table in sorted_groups(batches):
         table = _sharing_half(table, window, size)
+        if not len(table):
+            continue
+        parts = [_met_strings(part, window) for part in _whole_groups(table, HASHED_BYTES)]
+        table = pa.concat_tables(parts)
         if not len(table):
             continue
         group = group_numbers(table)
@@ -227,7 +309,7 @@ def _factors(batches: Iterator[pa.RecordBatch], window: int, size: int, keep_fir
             changed[1:] = (np.diff(keys[lo:hi][order]) != 0) | (np.diff(doc[lo:hi][order]) != 0)
             document = np.empty(hi - lo, np.int64)
             document[order] = np.cumsum(changed)
-            earlier, other = earlier_and_any(document[who] * (place.max() + 1) + place, rank[full])
+            earlier, other = matched_factors(document[who] * (place.max() + 1) + place, rank[full])
             hit = np.flatnonzero(earlier if keep_first else other)
             if not len(hit):
                 continue
