@@ -32,7 +32,7 @@ def row_key(*cols: str) -> Column:
     return F.xxhash64(*cols)
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 _SHIPPED = "spark.tidewake.llm.shipped"
 
 

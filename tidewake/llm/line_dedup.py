@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ EDITS = 2
 MIN_BYTES = 20
 BUCKET = 400
 PAIRS = 4096
+LONG_LINE = 256
+CELLS = 2_000_000  # bytes of the longer lines of pairs that are compared side by side
 
 NEWLINE = np.zeros(256, bool)
 NEWLINE[0x0A] = True
@@ -143,9 +146,38 @@ def _line_texts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array(texts, pa.binary())], schema=_TEXTS)
 
 
+def _stripped(a: bytes, b: bytes) -> tuple[bytes, bytes]:
+    """Two long lines without their common beginning and end, which no cheapest edit touches."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    n = min(len(x), len(y))
+    unlike = np.flatnonzero(x[:n] != y[:n])
+    head = int(unlike[0]) if len(unlike) else n
+    n -= head
+    unlike = np.flatnonzero(x[len(x) - n :][::-1] != y[len(y) - n :][::-1])
+    tail = int(unlike[0]) if len(unlike) else n
+    return a[head : len(a) - tail], b[head : len(b) - tail]
+
+
 def within_edits(short: list[bytes], long: list[bytes], edits: int) -> np.ndarray:
     """Whether each pair (the first not longer, and by at most ``edits``) is within the edit distance.
 
+    Long lines are compared by what lies between their common ends; pairs go together as far as their
+    matrix stays bounded, longest first.
+    """
+    pairs = [_stripped(a, b) if len(b) > LONG_LINE else (a, b) for a, b in zip(short, long)]
+    sizes = np.array([len(b) for _, b in pairs], np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    out, at = np.zeros(len(pairs), bool), 0
+    while at < len(order):
+        together = order[at : at + max(1, CELLS // max(1, int(sizes[order[at]])))]
+        out[together] = _banded([pairs[k][0] for k in together], [pairs[k][1] for k in together], edits)
+        at += len(together)
+    return out
+
+
+def _banded(short: list[bytes], long: list[bytes], edits: int) -> np.ndarray:
+    """``within_edits`` of pairs that are compared side by side.
+
     Bit k of a column j is row j - edits + k of the edit matrix; rows above the first hold j - row, so that
     their deltas are constant. The score is that of the diagonal on which the last cell lies; it never
     falls, so pairs past the threshold leave early.
@@ -300,30 +332,49 @@ def repeated_lines(
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with the removed lines cut from their texts; texts that keep all lines are passed on as they are."""
     for batch in batches:
-        out = []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist()):
-            if gone:
-                drop, place, kept = set(gone), 0, []
-                for line in text.split("\n"):
+        for part in tb.slices(batch, "text"):
+            removed = part.column("removed")
+            rows = np.flatnonzero(removed.is_valid().to_numpy(zero_copy_only=False))
+            text = part.column("text")
+            cut = []
+            for row in rows.tolist():
+                drop, place, kept = set(removed[row].as_py()), 0, []
+                for line in text[row].as_py().split("\n"):
                     if line:
                         place += 1
                         if place - 1 in drop:
                             continue
                     kept.append(line)
-                text = "\n".join(kept)
-            out.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
+                cut.append("\n".join(kept))
+            if cut:
+                mask = np.zeros(part.num_rows, bool)
+                mask[rows] = True
+                text = pc.replace_with_mask(text, pa.array(mask), pa.array(cut, pa.string()))
+            yield pa.RecordBatch.from_arrays([part.column("others"), text, part.column("wordless")], names=["others", "text", "wordless"])
 
 
 def drop_repeated_lines(
     docs: DataFrame, edits: int = EDITS, least: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The documents without repeated lines, all columns kept; one of whose text only white space is left goes."""
+    """The documents without repeated lines, all columns kept; one of whose text only white space is left goes.
+
+    The text moves once, beside the other columns and not among them.
+    """
     doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     gone = repeated_lines(docs, edits, least, id_col, text_col).filter("n_removed > 0").select("key", "removed")
     gone = stage(gone.dropDuplicates(["key"]), "lines-gone")
-    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), row_key(doc_id, text).alias("key")).join(gone, "key", "left")
-    cut = map_arrow(rows.select("row", "text", "removed"), _without, rows.select("row", "text").schema)
-    cut = cut.filter(F.col("text").rlike(r"\S") | ~F.coalesce(F.col("row")[text_col].rlike(r"\S"), F.lit(False)))
-    return cut.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != text_col]
+    # A document without a word to begin with is left alone.
+    wordless = ~F.coalesce(text.rlike(r"\S"), F.lit(False))
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in others], F.lit(True).alias("_row")).alias("others"),
+        text.alias("text"),
+        wordless.alias("wordless"),
+        row_key(doc_id, text).alias("key"),
+    ).join(gone, "key", "left")
+    shape = rows.select("others", "text", "wordless").schema
+    cut = map_arrow(rows.select("others", "text", "wordless", "removed"), _without, shape)
+    cut = cut.filter(F.col("wordless") | F.col("text").rlike(r"\S"))
+    return cut.select(*[F.col("text").alias(c) if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])
