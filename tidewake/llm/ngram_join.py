@@ -2,14 +2,15 @@
 
 A document is the set of hashes of its five-word shingles; documents with one set are one class from the
 start. In each of many runs a set samples a few of its shingles, at a rate that lets two sets over the
-threshold expect about one common sample; the sampled shingle is a bucket. Buckets over a size are
-split again by shingles sampled at the next depth, small ones are compared pair by pair: first by
+threshold expect a common sample; the sampled shingle is a bucket. Sets of a bucket over a size choose
+further shingles, drawn anew for the path that led there; small buckets are compared pair by pair: first by
 minhash sketches, then, in the first bucket that two sets share, exactly. Copies and large groups are
 counted inside their buckets; pairs are never written out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +26,16 @@ from tidewake.session import stage
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RUNS = 16
-RATE = 1.25  # samples a set and run; a pair at the threshold shares one with probability 1 - exp(-0.8 * 1.25)
-DEPTH = 3
+# Common samples that a pair at the threshold expects, in a run and in each bucket of a path that is split:
+# it shares one with probability 1 - exp(-1) and 1 - exp(-2).
+COMMON = (1.0, 2.0, 2.0)
+DEPTH = len(COMMON)
 BUCKET = 400
 SKETCH = 64
-SKETCH_LEAST = 33  # of 64 equal minhashes; a pair at 0.8 has fewer with probability below 1e-6
+MISSED = 1e-6  # share of the pairs at the threshold that the sketches may lose
 
-_SAMPLE = pa.struct([("depth", pa.int8()), ("run", pa.int8()), ("token", pa.int64())])
+_SAMPLE = pa.struct([("run", pa.int8()), ("token", pa.int64())])
+_PATHS = pa.schema([("run", pa.int8()), ("bucket", pa.int64()), ("token", pa.int64()), ("sid", pa.int64())])
 _SETS = pa.schema(
     [("doc_id", pa.int64()), ("key", pa.int64()), ("sid", pa.int64()), ("n", pa.int32()), ("sketch", pa.binary()), ("samples", pa.list_(_SAMPLE))]
 )
@@ -43,6 +47,26 @@ def _salt(i: int) -> np.uint64:
     return tb.mix(np.array([i + 1], np.uint64) * tb.SALT_A)[0]
 
 
+def least_equal(similarity: float, missed: float = MISSED) -> int:
+    """Equal minhashes of ``SKETCH`` that a pair of that similarity has but for a share ``missed`` of such pairs."""
+    below = 0.0
+    for k in range(SKETCH + 1):
+        below += math.comb(SKETCH, k) * similarity**k * (1 - similarity) ** (SKETCH - k)
+        if below > missed:
+            return k
+    return SKETCH
+
+
+def _chosen(hashes: np.ndarray, common: float, similarity: float, n: np.ndarray) -> np.ndarray:
+    """Which of the hashes are samples; two sets have a sample in common as often as the smaller rate allows.
+
+    Of sets over the threshold the common part is that share of the larger one at least, so a set of n
+    shingles samples common / similarity of them.
+    """
+    limit = (common / similarity / n * 2.0**63).clip(max=2.0**63 - 1024).astype(np.uint64)
+    return np.flatnonzero((tb.mix(hashes) >> tb.ONE) < limit)
+
+
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets) of the sorted distinct shingles of each text; a shorter text is one shingle."""
     data, offsets = tb.text_bytes(column)
@@ -64,8 +88,8 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return gram, np.searchsorted(text, np.arange(len(counts) + 1))
 
 
-def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Per document with words: the identity of its set, a sketch, and the samples of every run and depth."""
+def _describe(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Per document with words: the identity of its set, a sketch, and the samples that each run starts from."""
     for batch in batches:
         for part in tb.slices(batch, "text"):
             gram, at = shingle_sets(part.column("text"), size)
@@ -83,23 +107,14 @@ def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             for k in range(SKETCH):
                 least = np.minimum.reduceat((gram ^ _salt(1000 + k)) * tb.SALT_B, starts)
                 sketch[:, k] = (tb.mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
-            limit = (RATE / n * 2.0**63).clip(max=2.0**63 - 1024).astype(np.uint64)[text]
             found = []
-            for depth in range(DEPTH):
-                for run in range(RUNS):
-                    hit = np.flatnonzero((tb.mix(gram ^ _salt(depth * RUNS + run)) >> tb.ONE) < limit)
-                    found.append((text[hit], np.full(len(hit), depth), np.full(len(hit), run), gram[hit]))
-            owner, depth, run, token = (np.concatenate(c) for c in zip(*found))
+            for run in range(RUNS):
+                hit = _chosen(gram ^ _salt(run), COMMON[0], similarity, n[text])
+                found.append((text[hit], np.full(len(hit), run), gram[hit]))
+            owner, run, token = (np.concatenate(c) for c in zip(*found))
             order = np.argsort(owner, kind="stable")
             bounds = np.searchsorted(owner[order], np.append(rows, len(n)))
-            samples = pa.StructArray.from_arrays(
-                [
-                    pa.array(depth[order].astype(np.int8)),
-                    pa.array(run[order].astype(np.int8)),
-                    pa.array(token[order].view(np.int64)),
-                ],
-                fields=list(_SAMPLE),
-            )
+            samples = pa.StructArray.from_arrays([pa.array(run[order].astype(np.int8)), pa.array(token[order].view(np.int64))], fields=list(_SAMPLE))
             take = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -114,8 +129,28 @@ def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             )
 
 
-def _buckets(sets: DataFrame) -> DataFrame:
-    """(bucket, part, parts, sid): final buckets of two sets or more; a large one that cannot be split further is cut in parts.
+def _deeper(batches: Iterator[pa.RecordBatch], size: int, similarity: float, depth: int) -> Iterator[pa.RecordBatch]:
+    """The samples of each set in each of its buckets that are split; the draw depends on the bucket, and so on the path."""
+    for batch in batches:
+        for part in tb.slices(batch, "text"):
+            gram, at = shingle_sets(part.column("text"), size)
+            sids, paths = part.column("sid").to_pylist(), part.column("paths").to_pylist()
+            rows: list[tuple[int, int, np.ndarray, int]] = []
+            for i, (sid, into) in enumerate(zip(sids, paths)):
+                mine = gram[at[i] : at[i + 1]]
+                n = np.full(len(mine), len(mine))
+                for path in into:
+                    salt = tb.mix(np.array([path["bucket"]], np.int64).view(np.uint64))[0]
+                    rows.append((path["run"], path["bucket"], mine[_chosen(mine ^ salt, COMMON[depth], similarity, n)], sid))
+            counts = [len(r[2]) for r in rows]
+            if sum(counts):
+                run, bucket, sid = (np.repeat(np.array([r[k] for r in rows], np.int64), counts) for k in (0, 1, 3))
+                token = np.concatenate([r[2] for r in rows]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(run.astype(np.int8)), pa.array(bucket), pa.array(token), pa.array(sid)], schema=_PATHS)
+
+
+def _buckets(sets: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(bucket, parts, sid): final buckets of two sets or more; a large one that cannot be split further is cut in parts.
 
     A bucket's number begins with its run, so that the least common bucket of two sets is of an early run.
     """
@@ -124,8 +159,8 @@ def _buckets(sets: DataFrame) -> DataFrame:
         mixed = F.xxhash64(token, "run") if above is None else F.xxhash64(token, above)
         return F.shiftleft(F.col("run").cast("long"), 58).bitwiseOR(F.shiftrightunsigned(mixed, 6))
 
-    samples = sets.select("sid", F.explode("samples").alias("s")).select("sid", "s.*")
-    level = samples.filter("depth = 0").select("run", number(F.col("token")).alias("bucket"), "sid").distinct()
+    level = sets.select("sid", F.explode("samples").alias("s")).select("sid", "s.*")
+    level = level.select("run", number(F.col("token")).alias("bucket"), "sid").distinct()
     out = None
     for depth in range(DEPTH):
         level = stage(level, f"paths-{depth}")
@@ -135,10 +170,18 @@ def _buckets(sets: DataFrame) -> DataFrame:
         done = met.filter(F.lit(last) | (F.col("size") <= BUCKET))
         done = done.select("bucket", "sid", F.ceil(F.col("size") / BUCKET).cast("int").alias("parts"))
         out = done if out is None else out.union(done)
-        if not last:
-            deeper = samples.filter(F.col("depth") == depth + 1).select("sid", "run", "token")
-            big = met.filter(F.col("size") > BUCKET).select("bucket", "run", "sid")
-            level = big.join(deeper, ["sid", "run"]).select("run", number(F.col("token"), F.col("bucket")).alias("bucket"), "sid").distinct()
+        if last:
+            break
+        # A set has as many paths as samples.
+        big = met.filter(F.col("size") > BUCKET).groupBy("sid").agg(F.collect_set(F.struct("run", "bucket")).alias("paths"))
+        big = stage(big, f"split-{depth}")
+        if not big.limit(1).count():
+            break
+        leads = big.join(sets.select("sid", F.col("lead.key").alias("key")), "sid")
+        texts = semi_join(rows.select("key", "text"), leads.select("key").distinct(), "key").dropDuplicates(["key"])
+        texts = texts.join(leads, "key").select("sid", "paths", "text")
+        drawn = map_arrow(texts, lambda it, d=depth + 1: _deeper(it, size, similarity, d), _PATHS)
+        level = drawn.select("run", number(F.col("token"), F.col("bucket")).alias("bucket"), "sid").distinct()
     return out
 
 
@@ -182,7 +225,7 @@ def _same_group(table: pa.Table) -> np.ndarray:
     return np.cumsum(change)
 
 
-def _likely(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+def _likely(batches: Iterator[pa.RecordBatch], least: int, similarity: float) -> Iterator[pa.RecordBatch]:
     """Members that have a partner with a similar sketch in a bucket."""
     for table in _groups(batches):
         group = _same_group(table)
@@ -197,7 +240,7 @@ def _likely(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
                 a = left[i : i + 20_000]
                 a = a[~(active[a] & active[a + shift])]
                 b = a + shift
-                near = np.minimum(n[a], n[b]) >= SIMILARITY * np.maximum(n[a], n[b]) - 1e-9
+                near = np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9
                 a, b = a[near], b[near]
                 hit = (sketch[a] == sketch[b]).sum(axis=1) >= least
                 active[a[hit]] = True
@@ -284,22 +327,24 @@ def similar_documents(
     names equal rows, ``leads`` holds for the rows that stay when one of a class does. Other columns are
     not read; an empty table gives no rows.
 
-    The recall of a pair is set by ``RUNS``: at the threshold a run misses it with probability exp(-1)
-    in small buckets, so 16 runs miss 1e-7 of such pairs, and below 2e-3 where buckets had to be split
-    to full depth. What is reported is exact.
+    The recall of a pair is set by ``RUNS`` and ``COMMON``, at any threshold: at it a run misses a pair with
+    probability exp(-1) in small buckets, so 16 runs miss 1e-7 of such pairs, and 4e-5 where every bucket
+    on the way had to be split to full depth. The sketches lose 1e-6. What is reported is exact.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity is over 0 and at most 1")
     rows = _rows(docs, id_col, text_col)
-    described = stage(map_arrow(rows, lambda it: _describe(it, size), _SETS), "shingle-sets")
+    described = stage(map_arrow(rows, lambda it: _describe(it, size, similarity), _SETS), "shingle-sets")
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("lead")
     sets = described.groupBy("sid").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("samples").alias("samples"), F.count(F.lit(1)).alias("copies"), lead
     )
     sets = stage(sets, "distinct-sets")
-    members = stage(_tiles(_buckets(sets)), "bucket-members")
+    members = stage(_tiles(_buckets(sets, rows, size, similarity)), "bucket-members")
     paired = members.join(sets.select("sid", "n", "sketch"), "sid")
     likely = map_arrow(
         paired.repartition("bucket", "part").sortWithinPartitions("bucket", "part").select("bucket", "part", "sid", "n", "sketch"),
-        lambda it: _likely(it, SKETCH_LEAST if similarity >= SIMILARITY else 0),
+        lambda it: _likely(it, least_equal(similarity), similarity),
         _MEMBERS,
     )
     likely = stage(likely, "likely-members")
@@ -343,10 +388,10 @@ def drop_similar(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     judged = similar_documents(docs, similarity, id_col=id_col, text_col=text_col)
     gone = judged.filter(~F.col("leads")).select("key").distinct()
-    rows = docs.select(F.struct("*").alias("row"), row_key(doc_id, text).alias("key"), text.alias("text"))
-    has_words = F.coalesce(F.col("text").rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]"), F.lit(False))
+    has_words = F.coalesce(text.rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]"), F.lit(False))
+    rows = docs.select(F.struct("*").alias("row"), row_key(doc_id, text).alias("key"), has_words.alias("has_words"))
     small = stage(gone, "similar-gone")
     kept = rows.join(small, "key", "left_anti")
     # Equal rows share a key, and one of them stays.
-    kept = kept.filter(has_words).dropDuplicates(["key"]).unionByName(kept.filter(~has_words))
+    kept = kept.filter("has_words").dropDuplicates(["key"]).unionByName(kept.filter("NOT has_words"))
     return kept.select("row.*")
