@@ -1,7 +1,8 @@
 """Secret scan by corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are found by pattern, hashed by value, and counted over the corpus by distinct owners and
-repositories. A value that many owners have is a copied example; one that few owners have looks live.
+repositories. A value that many owners have, or that lies in many repositories, is a copied example; one
+that few owners have in few repositories looks live.
 Live-looking values outside the patterned kinds are added to the spans; the patterned ones stay.
 """
 
@@ -105,6 +106,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan_secrets(
     docs: DataFrame,
     max_owners: int = 2,
+    max_repositories: int = 5,
     owner_col: str = "source",
     repository_col: str = "doc_id",
     id_col: str = "doc_id",
@@ -112,15 +114,18 @@ def scan_secrets(
 ) -> DataFrame:
     """Secrets of every text: counts per patterned kind, their spans' digest, all spans, and live-looking ones.
 
-    A value with at most ``max_owners`` distinct owners in the corpus is live-looking (``n_live``), any
-    other a copied example (``n_example``). A mixed-character value that is live-looking and meets no
+    A value with at most ``max_owners`` distinct owners and ``max_repositories`` distinct repositories in
+    the corpus is live-looking (``n_live``), any other a copied example (``n_example``). A mixed-character value that is live-looking and meets no
     patterned span becomes a span of kind ``live``. Offsets are code points, the end exclusive. A null
     or empty text has no spans; a null id or owner is kept as null; repeated rows give a row each, and
     count once per owner and repository; other columns are not read; an empty table gives no rows.
     """
     found = stage(candidates(docs, owner_col, repository_col, id_col, text_col), "secret-candidates")
-    judged = found.join(ownership(found), "hash", "left")
-    live = F.col("owners") <= max_owners
+    # Rows without a candidate only keep their document; they have nothing to look up.
+    candidate = F.col("hash").isNotNull()
+    judged = found.filter(candidate).join(ownership(found), "hash")
+    judged = judged.unionByName(found.filter(~candidate), allowMissingColumns=True)
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     base_end = F.when(F.col("kind") < 3, F.col("end"))
     base_start = F.when(F.col("kind") < 3, F.col("start"))
     order = Window.partitionBy("row").orderBy("start", "kind")
