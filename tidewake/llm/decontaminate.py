@@ -10,17 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.llm import textbytes as tb
 from tidewake.llm.frames import map_arrow
+from tidewake.session import stage
 
 WINDOW_WORDS = 10
 BLOCK_BYTES = 8 << 20  # benchmark text per pass over the documents, which bounds what a task is sent
+ITEM_WORDS = 4096  # windows of an item that stay together
 SHARD_SYMBOLS = 400_000
 SHARD_BYTES = 8 << 20
 SAMPLE_EVERY = 8
@@ -270,27 +273,83 @@ def _searched(batches: Iterator[pa.RecordBatch], phrases: Phrases | None, names:
         yield from done(shard)
 
 
+def _item_parts(batches: Iterator[pa.RecordBatch], size: int, together: int) -> Iterator[pa.RecordBatch]:
+    """Items of any length as runs of ``together`` windows; neighbouring runs share the words of a window but one."""
+    for batch in batches:
+        words = _words_of(batch.column("text"))
+        items = batch.column("item").to_pylist()
+        out: list[tuple[str | None, str]] = []
+        for i, item in enumerate(items):
+            first, last = int(words.bounds[i]), int(words.bounds[i + 1])
+            for at in range(first, max(first + 1, last - size + 1), together):
+                end = min(last, at + together + size - 1)
+                if at < end:
+                    out.append((item, words.data[words.start[at] : words.end[end - 1]].tobytes().decode()))
+        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.string()) for k in (0, 1)], names=["item", "text"])
+
+
+def _blocks_of(items: DataFrame) -> tuple[int, Column]:
+    """(number, block of an item's part) so that no block has more than ``BLOCK_BYTES`` of text, if no part has."""
+    size, parts = items.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
+    while True:
+        block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+        if blocks == 1 or blocks > 2 * parts:
+            return blocks, block
+        largest = items.groupBy(block.alias("b")).agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0]
+        if largest <= BLOCK_BYTES:
+            return blocks, block
+        blocks *= 2
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans and items that the blocks have found in one text, as one."""
+    for batch in batches:
+        spans, items = [], []
+        for found in batch.column("found").to_pylist():
+            pairs = np.array([x for f in found for x in f["spans"]], np.int64).reshape(-1, 2)
+            spans.append([x for r in merge(pairs[:, 0], pairs[:, 1]) for x in r])
+            items.append(sorted({x for f in found for x in f["items"]}))
+        yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(spans, _STATE[0][1]), pa.array(items, _STATE[1][1])], schema=_MERGED)
+
+
+_MERGED = pa.schema([("text_key", pa.int64()), *_STATE[:2]])
+
+
 def _with_matches(rows: DataFrame, benchmark: DataFrame, size: int, item_col: str, text_col: str) -> DataFrame:
     """``rows`` (with a column ``text``) and the merged word spans and items of all benchmark windows.
 
-    The benchmark goes to the tasks in blocks of bounded size, one pass of the documents each.
+    The benchmark goes to the tasks in blocks of bounded size, which the driver holds one at a time. One block
+    is one pass over the documents. More are a staged pass each that keeps what it has found, by text; these
+    are merged and joined to the documents.
     """
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    names = rows.columns
-    rows = rows.withColumns(
-        {
+    together = ITEM_WORDS
+    items = stage(map_arrow(items.distinct(), lambda it: _item_parts(it, size, together), items.schema).distinct(), "benchmark-parts")
+    blocks, block = _blocks_of(items)
+
+    def searched(docs: DataFrame, b: int | None) -> DataFrame:
+        texts = [] if b is None else [(r["item"], r["text"]) for r in items.filter(block == b).collect()]
+        phrases, names = phrases_of(texts, size) if texts else None, docs.columns
+        empty = {
             "spans": F.array().cast("array<bigint>"),
             "items": F.array().cast("array<string>"),
             "n_words": F.lit(0).cast("bigint"),
         }
-    )
+        docs = docs.withColumns(empty)
+        return map_arrow(docs, lambda it: _searched(it, phrases, names), docs.schema)
+
+    if blocks == 1:
+        return searched(rows, 0)
+    key = F.xxhash64("text").alias("text_key")
+    found = []
     for b in range(blocks):
-        phrases = phrases_of([(r["item"], r["text"]) for r in items.filter(block == b).collect()], size)
-        rows = map_arrow(rows, lambda it, p=phrases: _searched(it, p, names), rows.schema)
-    return rows
+        hits = searched(rows.select("text", key), b).filter(F.size("spans") > 0)
+        found.append(stage(hits.select("text_key", F.struct("spans", "items").alias("f")), "benchmark-hits"))
+    whole = reduce(DataFrame.union, found).groupBy("text_key").agg(F.collect_set("f").alias("found"))
+    whole = map_arrow(whole, _merged, _MERGED).withColumnsRenamed({"spans": "_spans", "items": "_items"})
+    joined = searched(rows.select("*", key), None).join(whole, "text_key", "left")
+    return joined.select(*rows.columns, F.coalesce("_spans", "spans").alias("spans"), F.coalesce("_items", "items").alias("items"), "n_words")
 
 
 def find_contamination(
@@ -341,12 +400,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         at = words.end[words.bounds[i] + e - 1]
                     kept.append(data[at : offsets[i + 1]].tobytes())
                     out[i] = b"".join(kept).decode()
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(out, pa.string())], names=["row", "text"])
+            yield pa.RecordBatch.from_arrays([part.column("others"), pa.array(out, pa.string())], names=["others", "text"])
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, text_col: str = "text") -> DataFrame:
     """The documents without the matched spans of words; all other text and columns stay as they are."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    others = F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(True).alias("_row"))
+    rows = docs.select(others.alias("others"), F.col(text_col).cast("string").alias("text"))
     found = _with_matches(rows, benchmark, size, "item_id", "text")
-    cut = map_arrow(found.select("row", "text", "spans"), _cut, found.select("row", "text").schema)
-    return cut.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    cut = map_arrow(found.select("others", "text", "spans"), _cut, found.select("others", "text").schema)
+    return cut.select(*[F.col("text").alias(c) if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])
