@@ -88,32 +88,62 @@ def test_lattice_base_and_split(docs):
     assert lattice.score_documents(docs.limit(0), vocabulary).count() == 0
 
 
-def test_lattice_sums_all_segmentations():
-    import numpy as np
+def lattice_total(pieces, word, begin=0):
+    """Probability of a word by trying all segmentations."""
+    table = pieces.inner if begin else pieces.starting
+    out = 0.0
+    for e in range(begin + 1, len(word) + 1):
+        if word[begin:e] in table:
+            out += math.exp(table[word[begin:e]]) / 2 * (1 if e == len(word) else lattice_total(pieces, word, e))
+    return out
+
 
+def test_lattice_sums_all_segmentations():
     pieces = lattice.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    assert max(map(len, [*pieces.starting, *pieces.inner])) > 12  # no piece is left out for its length
+    assert all(abs(sum(map(math.exp, t.values())) - 1) < 1e-9 for t in (pieces.starting, pieces.inner))
     model = lattice.Lattice(pieces)
-    n, m = len(pieces.starting), len(pieces.inner)
-    names = pieces.starting * 2 + pieces.inner * 2
-    cuts = [0, n, 2 * n, 2 * n + m, 2 * n + 2 * m]
-    whole, begin_, go_on, end_ = (dict(zip(names[a:b], pieces.weight[a:b])) for a, b in zip(cuts, cuts[1:]))
-
-    def total(word, begin=0):
-        if begin == len(word):
-            return 1.0
-        out = 0.0
-        for e in range(begin + 1, len(word) + 1):
-            table = {(1, 1): whole, (1, 0): begin_, (0, 0): go_on, (0, 1): end_}[begin == 0, e == len(word)]
-            if word[begin:e] in table:
-                out += math.exp(table[word[begin:e]]) * total(word, e)
-        return out
-
-    for word in (b"a", b"then", "größe".encode(), b"x1-y"):
-        got = model.log_probability(np.frombuffer(word, np.uint8).reshape(1, -1))[0]
-        assert abs(got - math.log(total(word))) < 1e-9
-    counts = np.zeros(len(pieces.weight))
-    model.expected(np.frombuffer(b"then", np.uint8).reshape(1, -1), np.array([3.0]), counts)
-    assert abs((counts * [len(p) for p in names]).sum() - 12) < 1e-9
+    for word in (b"a", b"then", "größe".encode(), b"x1-y", b"information"):
+        assert abs(model.log_probability(word) - math.log(lattice_total(pieces, word))) < 1e-9
+
+
+def test_lattice_of_a_very_long_word():
+    """A megabyte without white space: time and memory grow with its length only."""
+    import time
+
+    model = lattice.Lattice(lattice.load_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+    word = ("数据abcthe" * 84_000).encode()
+    start = time.perf_counter()
+    got = model.log_probability(word)
+    assert math.isfinite(got) and got < -1e5 and time.perf_counter() - start < 60
+
+
+def test_lattice_score_against_brute_force(docs):
+    """The whole score: discounted word arcs, the lattice for what discounting takes, and the ends."""
+    vocabulary = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = lattice.load_pieces(vocabulary)
+    frame = docs.filter("doc_id < 25 or doc_id in (100001, 100007, 100010)")
+    rows = [(i, t.encode().lower().split()) for i, t in pairs(frame)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = {}
+    for i, words in rows:
+        for w in words if not held(i) else ():
+            train[w] = train.get(w, 0) + 1
+    ends, tokens = sum(not held(i) for i, _ in rows), sum(train.values())
+    once, twice = (sum(n == k for n in train.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice)
+    p_end = (ends + 1) / (tokens + ends + 2)
+    model = lattice.Lattice(pieces)
+
+    def score(word):
+        arc = max(train.get(word, 0) - discount, 0) / tokens
+        left = discount * len(train) / tokens * math.exp(model.log_probability(word))
+        return math.log10((arc + left) * (1 - p_end))
+
+    got = {r["doc_id"]: r["score"] for r in lattice.score_documents(frame, vocabulary, head_words=50).collect()}
+    for i, words in rows:
+        want = sum(map(score, words)) + math.log10(p_end)
+        assert abs(got[i] - want) <= 1e-9 * abs(want)
 
 
 LOWER_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -177,6 +207,37 @@ def test_similar_documents(near, bucket, monkeypatch):
         assert kept.count() == len(groups) + wordless
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.5])
+def test_recall_at_full_depth(spark, similarity, monkeypatch):
+    """1,000 pairs at the threshold, every bucket split to full depth."""
+    import random
+
+    monkeypatch.setattr(ngram_join, "BUCKET", 1)
+    draw = random.Random(11)
+    rows, planted = [], []
+    for k in range(1000):
+        words = [f"w{draw.randrange(10**9)}" for _ in range(124)]
+        # a change of five words spoils nine shingles of 120; the changes are apart
+        other, spoiled = list(words), 0
+        for at in range(6, 118, 10):
+            if 120 - spoiled - 10 >= similarity * (120 + spoiled + 10):
+                other[at : at + 2] = [f"x{draw.randrange(10**9)}", f"x{draw.randrange(10**9)}"]
+                spoiled = 120 - len(shingles(" ".join(words)) & shingles(" ".join(other)))
+        common = len(shingles(" ".join(words)) & shingles(" ".join(other)))
+        assert similarity <= common / (240 - common) < similarity + 0.12
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        planted.append(2 * k)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.similar_documents(frame, similarity).collect()}
+    found = sum(got[i] == (i, 1) == got[i + 1] for i in planted)
+    assert found >= 990 and all(n == 0 or (c // 2 == i // 2) for i, (c, n) in got.items())
+
+
+def test_threshold_is_checked(docs):
+    with pytest.raises(ValueError):
+        ngram_join.similar_documents(docs, 0.0)
+
+
 def test_similar_documents_of_nothing(docs):
     assert ngram_join.similar_documents(docs.limit(0)).count() == 0
 
@@ -222,6 +283,14 @@ def test_banded_distance(edits):
     got = line_dedup.within_edits(short, long, edits)
     assert got.tolist() == [edit_distance(a, b) <= edits for a, b in zip(short, long)]
     assert 0 < got.sum() < len(got)
+    # the same between long common ends, and in lines that are long all over
+    ends = [b"ab" * draw.randint(100, 200) for _ in short]
+    got_long = line_dedup.within_edits([e + a + e for a, e in zip(short, ends)], [e + b + e for b, e in zip(long, ends)], edits)
+    assert got_long.tolist() == [edit_distance(e[-8:] + a + e[:8], e[-8:] + b + e[:8]) <= edits for a, b, e in zip(short, long, ends)]
+    line = bytes(draw.choice(b"abc") for _ in range(900_000))
+    unlike = bytes(draw.choice(b"abc") for _ in range(900_000))
+    near = line[:1000] + b"x" + line[1000:-500] + b"y" + line[-500:]
+    assert line_dedup.within_edits([line] * 20 + [line], [unlike] * 20 + [near], edits).tolist() == [False] * 20 + [edits >= 2]
 
 
 def first_lines(rows, edits, least):
@@ -281,6 +350,20 @@ def test_lines(lined, bucket, monkeypatch):
         assert set(again.values()) == {0}
 
 
+def test_lines_of_odd_rows(spark):
+    """Null ids, null texts, repeated rows and columns of clashing names; a text of one very long line."""
+    long = "x y z " * 20_000
+    rows = [(None, "a licence line that all share\nmine alone, and long enough", "k", True), (1, "a licence line that all share\n\nshort", "k", None)]
+    rows += [(1, rows[1][1], "k", None), (2, None, None, None), (None, None, None, None), (3, "", "k", True), (4, " \n", "k", True)]
+    rows += [(5, long, "k", True), (6, long + "!", "k", True), (7, "a licence line that all share", "k", True)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, others string, wordless boolean")
+    out = line_dedup.drop_repeated_lines(frame)
+    assert out.columns == frame.columns
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"] or "", r["others"] or "") for r in out.collect())
+    kept = [(-1, "", ""), (-1, "mine alone, and long enough", "k"), (1, rows[1][1], "k"), (1, rows[1][1], "k"), (2, "", ""), (3, "", "k"), (4, " \n", "k"), (5, long, "k")]
+    assert got == sorted(kept)
+
+
 def test_lines_of_nothing(docs):
     assert line_dedup.repeated_lines(docs.limit(0)).count() == 0
     assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
@@ -306,6 +389,33 @@ def repeated_bytes(rows, window, keep_first):
     return out
 
 
+def test_suffix_ranks_and_smaller_places():
+    import random
+
+    import numpy as np
+
+    draw = random.Random(3)
+    for _ in range(60):
+        n, width = draw.randint(1, 120), draw.randint(1, 30)
+        symbols = np.array([draw.randint(0, draw.choice([1, 3, 60])) for _ in range(n)])
+        rank = byte_dedup.rank_by_prefix(symbols, width)
+        tuples = [tuple(symbols[i : i + width] + 1) + (0,) * max(0, i + width - n) for i in range(n)]
+        order = {t: k for k, t in enumerate(sorted(set(tuples)))}
+        assert rank.tolist() == [order[t] for t in tuples]
+        place = np.array([draw.randint(0, 40) for _ in range(n)])
+        joins = np.array([False, *(draw.random() < 0.8 for _ in range(n - 1))])
+        run = np.cumsum(~joins)
+        before, after = byte_dedup.smaller_places(place, joins)
+        for i in range(n):
+            left = [j for j in range(i) if run[j] == run[i] and place[j] < place[i]]
+            right = [j for j in range(i + 1, n) if run[j] == run[i] and place[j] < place[i]]
+            assert (before[i], after[i]) == (left[-1] if left else -1, right[0] if right else -1)
+        earlier, other = byte_dedup.matched_factors(place, rank)
+        for i in range(n):
+            same = [place[j] for j in range(n) if rank[j] == rank[i]]
+            assert earlier[i] == (min(same) < place[i]) and other[i] == any(p != place[i] for p in same)
+
+
 @pytest.mark.parametrize("hot,seed", [(1000, 64), (1, 16)])
 def test_bytes(docs, hot, seed):
     rows = docs.filter("doc_id is null or doc_id < 80 or doc_id between 100000 and 100011")

@@ -6,6 +6,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewake.llm import decontaminate, packing, quality_rules, secrets, token_counts
@@ -60,6 +61,21 @@ def test_token_counts(docs):
     assert token_counts.count_tokens(docs.limit(0), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_word_ids_piecewise():
+    """Ids by cached pieces are the library's, whatever stands between and inside them."""
+    import random
+
+    from tidewake.llm.vocab import WordIds
+
+    words = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    draw = random.Random(9)
+    parts = ["Word", "don't", "'s", "x1y22", " ", "  ", "\n", "\t", "é", "ß", "İ", "Σ", "ΟΔΟΣ", "你好", "...", "<|endoftext|>", "<", "|", "\x1c", "\xa0", "\x00", "a.b,c", "🙂", "ﬁ", "e\u0301"]
+    for _ in range(500):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 40)))
+        want = words.library.encode(text, add_special_tokens=False).ids
+        assert words.encode(text) == b"".join(i.to_bytes(4, "little") for i in want), text
+
+
 @pytest.mark.parametrize("chunk,overlap", [(20, 5), (33, 16), (200, 40)])
 def test_splicing(chunk, overlap):
     import random
@@ -173,6 +189,21 @@ def test_decontamination_in_blocks(spark, docs, monkeypatch):
     same(parts, whole)
 
 
+def test_one_giant_item_in_blocks(spark, docs, monkeypatch):
+    """An item of many blocks, given many times, is cut in overlapping parts; no block is over the bound."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 6000)
+    monkeypatch.setattr(decontaminate, "ITEM_WORDS", 50)
+    text = " ".join(r["text"] or "" for r in docs.filter("doc_id < 60").collect())
+    bench = spark.createDataFrame([(1, text)] * 5 + [(2, "word " * 12)], "item_id long, text string")
+    items = bench.selectExpr("CAST(item_id AS STRING) AS item", "text").distinct()
+    parts = decontaminate.map_arrow(items, lambda it: decontaminate._item_parts(it, 10, 50), items.schema)
+    blocks, block = decontaminate._blocks_of(parts)
+    assert blocks > 5 and parts.groupBy(block.alias("b")).agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] <= 6000
+    few = docs.filter("doc_id < 80 or doc_id >= 100000")
+    got = decontaminate.find_contamination(few, bench.filter("item_id = 2 or item_id = 1").limit(6)).drop("spans")
+    same([tuple(r) for r in got.collect()], contamination(texts(few), [tuple(r) for r in bench.dropDuplicates().collect()]))
+
+
 def test_removed_spans(spark, docs):
     bench = read(spark, FOLDER, "benchmark")
     out = decontaminate.remove_contamination(docs, bench)
@@ -207,6 +238,22 @@ def test_secrets(docs):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_a_value_turns_from_live_to_example(spark):
+    """Few owners and few repositories look live; a third owner, or a sixth repository of one owner, does not."""
+    value = "Zq9aB3xK7mN2pL5rT8wY4vC6"
+    schema = "doc_id long, text string, source string, hash string, kind string"
+    rows = lambda places: spark.createDataFrame([(i, f"see {value} here", s, "h", "k") for i, s in places], schema)
+    shown = lambda df: {(r["spans"], r["n_live"], r["n_example"]) for r in secrets.scan_secrets(df).collect()}
+    live, example = {("live:4:28", 1, 0)}, {("", 0, 0)}
+    assert shown(rows([(1, "a"), (2, "b")])) == live
+    assert shown(rows([(1, "a"), (2, "b"), (3, "c")])) == example
+    assert shown(rows([(i, "a") for i in range(5)])) == live
+    assert shown(rows([(i, "a") for i in range(6)])) == example
+    # patterned spans stay whatever the verdict is
+    frame = rows([(i, "a") for i in range(6)]).withColumn("text", F.lit("password = abcdefghijklmnop"))
+    assert shown(frame) == {("assign:0:27", 0, 1)}
+
+
 def quality(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t)
     seen, dup = set(), 0

@@ -24,6 +24,7 @@ from tidewake.llm import (
     token_counts,
 )
 from tidewake.llm.frames import read
+from tidewake.llm.oracles import ORACLES
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,5 +95,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_spelling": op13_spelling,
 }
 
-# DuckDB SQL for queries that SQL can express.
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
