@@ -323,7 +323,9 @@ def test_grouping_sets(spark):
 
 
 def test_service_ages(spark, t):
-    got = {r.PassengerServiceID: r.first_violation for r in rules.check_service_ages(t).collect()}
-    # request 6 asks childcare for a chaperoned youth of 15 or more
-    assert got[6] == rules.WRONG_SERVICE_AGE
-    assert got[2] is None and got[1] is None
+    """Childcare is for ages 2 to 12: seat 1 holds an adult, seat 7 an infant, seat 12 a child of ten or so."""
+    asked = [(1, 1, 1), (2, 7, 1), (3, 12, 1), (4, 1, 3), (5, 999, 1), (6, 1, 99)]
+    requests = table(spark, "PassengerSpecialService", [(*a, "Requested", Decimal(0)) for a in asked])
+    got = {r.PassengerServiceID: r for r in rules.check_service_ages(dict(t) | {"PassengerSpecialService": requests}).collect()}
+    assert {i for i, r in got.items() if r.first_violation == rules.WRONG_SERVICE_AGE} == {1, 2}
+    assert 2 <= got[3].AgeAtDeparture <= 12 and got[5].AgeAtDeparture is None
