@@ -29,7 +29,7 @@ EDITS = 2
 MIN_BYTES = 20
 BUCKET = 400
 PAIRS = 4096
-LONG_LINE = 256
+LONG_LINE = 4096
 CELLS = 2_000_000  # bytes of the longer lines of pairs that are compared side by side
 
 NEWLINE = np.zeros(256, bool)
@@ -146,31 +146,51 @@ def _line_texts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array(texts, pa.binary())], schema=_TEXTS)
 
 
-def _stripped(a: bytes, b: bytes) -> tuple[bytes, bytes]:
-    """Two long lines without their common beginning and end, which no cheapest edit touches."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+def _same_from(x: np.ndarray, y: np.ndarray) -> int:
+    """How many bytes two arrays begin with in common."""
+    at, step = 0, 256
     n = min(len(x), len(y))
-    unlike = np.flatnonzero(x[:n] != y[:n])
-    head = int(unlike[0]) if len(unlike) else n
-    n -= head
-    unlike = np.flatnonzero(x[len(x) - n :][::-1] != y[len(y) - n :][::-1])
-    tail = int(unlike[0]) if len(unlike) else n
-    return a[head : len(a) - tail], b[head : len(b) - tail]
+    while at < n:
+        unlike = x[at : min(n, at + step)] != y[at : min(n, at + step)]
+        if unlike.any():
+            return at + int(unlike.argmax())
+        at, step = at + step, 2 * step
+    return n
+
+
+def _near(short: bytes, long: bytes, edits: int) -> bool:
+    """Whether two long lines are within the edit distance: how far each diagonal comes with so many edits."""
+    x, y = np.frombuffer(short, np.uint8), np.frombuffer(long, np.uint8)
+    n, m = len(x), len(y)
+    reach: dict[int, int] = {}
+    for e in range(edits + 1):
+        further = {}
+        for d in range(-e, e + 1):
+            # From the last edit on: a byte more in the long line, a byte replaced, a byte more in the short one.
+            steps = [reach[k] + more for k, more in ((d - 1, 0), (d, 1), (d + 1, 1)) if k in reach] if e else [0]
+            row = min([max(steps, default=-1), n, m - d])
+            if row >= max(0, -d):
+                further[d] = row + _same_from(x[row:], y[row + d :])
+        reach = further
+        if reach.get(m - n) == n:
+            return True
+    return False
 
 
 def within_edits(short: list[bytes], long: list[bytes], edits: int) -> np.ndarray:
     """Whether each pair (the first not longer, and by at most ``edits``) is within the edit distance.
 
-    Long lines are compared by what lies between their common ends; pairs go together as far as their
-    matrix stays bounded, longest first.
+    Pairs are compared side by side as far as their matrix stays bounded, longest first; very long lines
+    one by one.
     """
-    pairs = [_stripped(a, b) if len(b) > LONG_LINE else (a, b) for a, b in zip(short, long)]
-    sizes = np.array([len(b) for _, b in pairs], np.int64)
+    sizes = np.array([*map(len, long)], np.int64)
     order = np.argsort(-sizes, kind="stable")
-    out, at = np.zeros(len(pairs), bool), 0
+    out, at = np.zeros(len(order), bool), int((sizes > LONG_LINE).sum())
+    for k in order[:at].tolist():
+        out[k] = _near(short[k], long[k], edits)
     while at < len(order):
         together = order[at : at + max(1, CELLS // max(1, int(sizes[order[at]])))]
-        out[together] = _banded([pairs[k][0] for k in together], [pairs[k][1] for k in together], edits)
+        out[together] = _banded([short[k] for k in together], [long[k] for k in together], edits)
         at += len(together)
     return out
 
