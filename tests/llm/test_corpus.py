@@ -348,6 +348,37 @@ def test_lines(lined, bucket, monkeypatch):
         assert set(again.values()) == {0}
 
 
+@pytest.mark.parametrize("bucket,edits", [(5, 2), (2, 1)])
+def test_template_lines(spark, bucket, edits, monkeypatch):
+    """Lines of one template, some near each other: all segments are crowded, and what is left is cut again and signed."""
+    import random
+
+    monkeypatch.setattr(line_dedup, "BUCKET", bucket)
+    draw = random.Random(21)
+    lines = [f"Posted by user {draw.randrange(300):04d} on 2024-0{draw.randint(1, 9)}-{draw.randint(10, 28)} in the forum" for _ in range(70)]
+    lines += [f"Page {draw.randrange(10**6)} of the printed volume of größere Werke" for _ in range(40)]
+    for line in list(lines[:30]):
+        at = draw.randrange(len(line))
+        lines.append(line[:at] + draw.choice(["", "x", "yz"]) + line[at + draw.randint(0, 1) :])
+    rows = [(i, "\n".join(lines[i::12])) for i in range(12)]
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), edits).collect()}
+    want = first_lines(rows, edits, 20)
+    assert got == want and 0 < sum(g for _, g in want.values()) < len(lines)
+
+
+def test_template_lines_in_near_linear_time(spark):
+    """Far apart lines of one template, one a document; a quadratic comparison of these takes many minutes."""
+    import random
+    import time
+
+    draw = random.Random(22)
+    rows = [(i, f"Posted by user {draw.randrange(10**8):08d} at {draw.randrange(10**8):08d} in the forum") for i in range(20_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    start = time.perf_counter()
+    gone = line_dedup.repeated_lines(frame).agg({"n_removed": "sum"}).first()[0]
+    assert gone < 50 and time.perf_counter() - start < 150
+
+
 def test_lines_of_odd_rows(spark):
     """Null ids, null texts, repeated rows and columns of clashing names; a text of one very long line."""
     long = "x y z " * 20_000

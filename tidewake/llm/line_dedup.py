@@ -5,11 +5,18 @@ a place that the lengths and the edits on either side allow. So every line is fi
 and looks up, for each length it may meet, the few substrings that could be such a segment. Lines that
 meet are compared by a bit-parallel edit distance over the band of allowed diagonals. Copies are reduced
 to one line first.
+
+Lines of one template share a segment with very many others. Those are cut in more cells, of which the edits
+touch two at most; lines that agree in all but two cells meet again, with no more left than these two. Where
+too many still meet, what is left is cut again, until a few bytes are left. Lines that agree in these but for
+places left out or replaced, within the threshold, are linked to one of them, without comparing pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations, count, product
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +29,17 @@ from tidewake.llm.components import connected, local_roots, semi_join
 from tidewake.llm.frames import map_arrow, row_key
 from tidewake.llm.ngram_join import _groups as sorted_groups
 from tidewake.llm.ngram_join import _same_group as group_numbers
-from tidewake.llm.ngram_join import _tiles as tiles
 from tidewake.session import stage
 
 EDITS = 2
 MIN_BYTES = 20
 BUCKET = 400
+CELLS_OF_LINE = 8
+MOST_WAYS = 1 << 12  # of leaving out cells
+SHORT_REST = 8
+DENSE_SLICE = 100_000
+MARKS = 0xF8  # this byte and those above it stand in no text
+BLANK = b"\xc0"  # nor does this one
 PAIRS = 4096
 LONG_LINE = 4096
 CELLS = 2_000_000  # bytes of the longer lines of pairs that are compared side by side
@@ -36,10 +48,12 @@ NEWLINE = np.zeros(256, bool)
 NEWLINE[0x0A] = True
 
 _OCCURRENCES = pa.schema([("line", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
-_KEYS = pa.schema([("bucket", pa.int64()), ("sid", pa.int64()), ("filed", pa.bool_())])
-_MET = pa.schema([("bucket", pa.int64()), ("sid", pa.int64()), ("parts", pa.int32())])
+_KEYS = pa.schema([("bucket", pa.int64()), ("sid", pa.int64()), ("code", pa.int32()), ("filed", pa.bool_())])
+_MET = pa.schema([("bucket", pa.int64()), ("sid", pa.int64()), ("code", pa.int32()), ("hot", pa.bool_())])
 _TEXTS = pa.schema([("sid", pa.int64()), ("line", pa.binary())])
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_RESTS = pa.schema([("bucket", pa.int64()), ("sid", pa.int64()), ("hot", pa.bool_()), ("line", pa.binary()), ("size", pa.int32())])
+_SIGNED = pa.schema([("signature", pa.int64()), ("sid", pa.int64()), ("left_out", pa.int32()), ("replaced", pa.int32())])
 
 
 def _lines(part: pa.RecordBatch) -> tuple[tb.Words, np.ndarray, np.ndarray]:
@@ -70,7 +84,7 @@ def _segment(length: np.ndarray, i: int, parts: int) -> tuple[np.ndarray, np.nda
 
 
 def _segment_keys(batches: Iterator[pa.RecordBatch], least: int, edits: int) -> Iterator[pa.RecordBatch]:
-    """Where each distinct line of a slice is filed, and where it looks."""
+    """Where each distinct line of a slice is filed and so looks as well, and where it only looks."""
     parts = edits + 1
     for batch in batches:
         for part in tb.slices(batch, "text"):
@@ -97,6 +111,8 @@ def _segment_keys(batches: Iterator[pa.RecordBatch], least: int, edits: int) ->
                     low = np.maximum(begin - i, begin + shorter - (edits - i))
                     high = np.minimum(begin + i, begin + shorter + (edits - i))
                     for shift in range(-edits, 2 * edits + 1):
+                        if not shorter and not shift:
+                            continue
                         place = begin + shift
                         rows = np.flatnonzero(
                             (place >= low) & (place <= high) & (place >= 0) & (place + width <= size) & (length >= least)
@@ -104,35 +120,61 @@ def _segment_keys(batches: Iterator[pa.RecordBatch], least: int, edits: int) ->
                         if len(rows):
                             add(rows, start[rows] + place[rows], width[rows], length[rows], i, False)
             for key, rows, filed in found:
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rows), pa.array(np.full(len(key), filed))], schema=_KEYS)
+                yield _key_batch(key, rows, 0, filed)
 
 
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of the keys at which one line is filed and another looks."""
-    with_part = (
-        pa.RecordBatch.from_arrays(
-            [b.column("bucket"), pa.array(np.zeros(b.num_rows, np.int64)), b.column("sid"), b.column("filed")],
-            names=["bucket", "part", "sid", "filed"],
-        )
-        for b in batches
-    )
-    for table in sorted_groups(with_part):
-        bucket, sid = table.column("bucket").to_numpy(), table.column("sid").to_numpy()
-        filed = table.column("filed").to_numpy()
-        order = np.lexsort((sid, bucket))
-        bucket, sid, filed = bucket[order], sid[order], filed[order]
-        new = np.ones(len(bucket), bool)
-        new[1:] = (np.diff(bucket) != 0) | (np.diff(sid) != 0)
-        starts = np.flatnonzero(new)
-        any_filed = np.logical_or.reduceat(filed, starts)
-        any_looks = np.logical_or.reduceat(~filed, starts)
-        bucket, sid = bucket[starts], sid[starts]
-        group = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1 if bucket[0] > np.iinfo(np.int64).min else bucket[0] + 1))
-        sizes = np.diff(np.append(group, len(bucket)))
-        useful = (sizes > 1) & np.logical_or.reduceat(any_filed, group) & np.logical_or.reduceat(any_looks, group)
-        rows = np.flatnonzero(np.repeat(useful, sizes))
-        parts = np.repeat(-(-sizes // BUCKET), sizes)[rows].astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[rows]), pa.array(sid[rows]), pa.array(parts)], schema=_MET)
+def _key_batch(key: np.ndarray, sid: np.ndarray, code: int, filed: bool) -> pa.RecordBatch:
+    columns = [key, sid, np.full(len(key), code, np.int32), np.full(len(key), filed)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_KEYS)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Lines of the keys at which one line is filed and another looks; ``hot`` where there are over ``limit`` of them.
+
+    Rows come sorted by key. Of a key only as many rows are held as show that it is hot; more are passed on.
+    """
+    most = 64 * limit  # a line comes to a key in a few ways at most
+
+    def out(rows: list[np.ndarray], hot) -> pa.RecordBatch:
+        bucket, sid, code, _ = rows
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (bucket, sid, code, np.broadcast_to(hot, len(bucket)))], schema=_MET)
+
+    def settled(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if not len(rows[0]):
+            return
+        order = np.lexsort((rows[2], rows[1], rows[0]))
+        bucket, sid, code, filed = (c[order] for c in rows)
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0]))
+        new_line = np.concatenate([[True], (np.diff(bucket) != 0) | (np.diff(sid) != 0)])
+        new_row = new_line | np.concatenate([[True], np.diff(code) != 0])
+        lines = np.add.reduceat(new_line.astype(np.int64), starts)
+        useful = (lines > 1) & np.logical_or.reduceat(filed, starts)
+        sizes = np.diff(np.append(starts, len(bucket)))
+        chosen = np.flatnonzero(np.repeat(useful, sizes) & new_row)
+        if len(chosen):
+            yield out([c[chosen] for c in (bucket, sid, code, filed)], np.repeat(lines > limit, sizes)[chosen])
+
+    held: list[np.ndarray] = [np.zeros(0, f.type.to_pandas_dtype()) for f in _KEYS]
+    hot = None
+    for batch in batches:
+        rows = [np.concatenate([h, batch.column(c).to_numpy(zero_copy_only=False)]) for h, c in zip(held, _KEYS.names)]
+        held = [c[:0] for c in rows]
+        if hot is not None and len(rows[0]):
+            end = int(np.searchsorted(rows[0], hot, "right"))
+            if end:
+                yield out([c[:end] for c in rows], True)
+            rows = [c[end:] for c in rows]
+            hot = None if len(rows[0]) else hot
+        if not len(rows[0]):
+            continue
+        last = int(np.searchsorted(rows[0], rows[0][-1], "left"))
+        yield from settled([c[:last] for c in rows])
+        if len(rows[0]) - last > most:
+            hot = rows[0][-1]
+            yield out([c[last:] for c in rows], True)
+        else:
+            held = [c[last:] for c in rows]
+    yield from settled(held)
 
 
 def _line_texts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -292,6 +334,133 @@ def _linked(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=_LINKS)
 
 
+def _variants(edits: int) -> list[tuple[int, ...]]:
+    """By how many bytes each edited cell of the looking line is longer, for all ways within the threshold; first: all alike."""
+    ways = [w for w in product(range(-edits, edits + 1), repeat=edits) if 0 <= sum(w) and sum(map(abs, w)) <= edits]
+    return sorted(ways, key=lambda w: (any(w), w))
+
+
+def _cell_keys(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
+    """Keys of lines without some cells: each line is filed by its own cells and looks by those of lines it may meet."""
+    ways = _variants(edits)
+    for batch in batches:
+        for part in tb.slices(batch, "line", DENSE_SLICE):
+            data, offsets = tb.text_bytes(part.column("line"))
+            sums = tb.prefix_sums(data.astype(np.uint64) + tb.ONE, tb.BASE)
+            item, start = part.column("sid").to_numpy(), offsets[:-1]
+            context = tb.mix(part.column("context").to_numpy().view(np.uint64))
+            sizes = np.diff(offsets)
+            for v, way in enumerate(ways):
+                size = sizes - sum(way)
+                edge = [size * k // CELLS_OF_LINE for k in range(CELLS_OF_LINE + 1)]
+                for c, gone in enumerate(combinations(range(CELLS_OF_LINE), edits)):
+                    fits, moved, since = size > 0, 0, 0
+                    stretches = []
+                    for cell, longer in zip(gone, way):
+                        stretches.append((edge[since] + moved, edge[cell] + moved))
+                        fits = fits & (edge[cell + 1] - edge[cell] + longer >= 0)
+                        moved, since = moved + longer, cell + 1
+                    stretches.append((edge[since] + moved, edge[-1] + moved))
+                    rows = np.flatnonzero(fits)
+                    if not len(rows):
+                        continue
+                    key = context[rows] ^ tb.mix(size[rows].astype(np.uint64) * np.uint64(1 << 20) + np.uint64(c))
+                    for s, e in stretches:
+                        key = tb.mix(key + tb.range_hash(sums, (start + s)[rows], (start + e)[rows], tb.BASE))
+                    yield _key_batch(key.view(np.int64), item[rows], v * MOST_WAYS + c, not any(way))
+
+
+def _rests(batches: Iterator[pa.RecordBatch], edits: int, mark: bytes) -> Iterator[pa.RecordBatch]:
+    """What the lines of a key do not share: the cells left out, with marks between them that no edit removes."""
+    ways, gones = _variants(edits), list(combinations(range(CELLS_OF_LINE), edits))
+    for batch in batches:
+        rests, counts = [], []
+        for line, code in zip(batch.column("line").to_pylist(), batch.column("code").to_pylist()):
+            way = ways[code // MOST_WAYS]
+            size, moved, parts = len(line) - sum(way), 0, []
+            for cell, longer in zip(gones[code % MOST_WAYS], way):
+                end = size * (cell + 1) // CELLS_OF_LINE + moved + longer
+                parts.append(line[size * cell // CELLS_OF_LINE + moved : end])
+                moved += longer
+            rests.append(mark.join(parts))
+            counts.append(sum(b < MARKS for p in parts for b in p))
+        columns = [batch.column(c) for c in ("bucket", "sid", "hot")] + [pa.array(rests, pa.binary()), pa.array(counts, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, schema=_RESTS)
+
+
+def _signatures(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
+    """A short rest with up to ``edits`` bytes left out or replaced by a blank that stands for any byte."""
+    for batch in batches:
+        rows: list[tuple[bytes, int, int, int]] = []
+        for bucket, sid, rest in zip(*(batch.column(c).to_pylist() for c in ("bucket", "sid", "line"))):
+            seen = {}
+            places = [i for i, b in enumerate(rest) if b < MARKS]
+            for changes in range(edits + 1):
+                for chosen in combinations(places, changes):
+                    for kinds in product((b"", BLANK), repeat=changes):
+                        out, at = [], 0
+                        for place, kind in zip(chosen, kinds):
+                            out += [rest[at:place], kind]
+                            at = place + 1
+                        left_out = kinds.count(b"")
+                        signed = b"".join([*out, rest[at:]]), changes - left_out
+                        seen[signed] = min(left_out, seen.get(signed, left_out))
+            head = bucket.to_bytes(8, "little", signed=True)
+            rows += [(head + text, sid, left_out, replaced) for (text, replaced), left_out in seen.items()]
+        if rows:
+            data, offsets = tb.text_bytes(pa.array([r[0] for r in rows], pa.binary()))
+            sums = tb.prefix_sums(data.astype(np.uint64) + tb.ONE, tb.BASE)
+            replaced = np.array([r[3] for r in rows], np.uint64)
+            number = tb.mix(tb.range_hash(sums, offsets[:-1], offsets[1:], tb.BASE) + np.diff(offsets).astype(np.uint64) * np.uint64(64) + replaced)
+            columns = [pa.array(number.view(np.int64)), *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2, 3))]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _SIGNED)], schema=_SIGNED)
+
+
+def _signed_links(rests: DataFrame, edits: int) -> DataFrame:
+    """Links of short rests that share a signature within the threshold, each to the one that leaves out the least.
+
+    Two of a signature are apart by what either leaves out and what both replace. Whoever is near another by
+    a signature is near the one that leaves out the least, so these links join all that are near.
+    """
+    signed = stage(map_arrow(rests.select("bucket", "sid", "line"), lambda it: _signatures(it, edits), _SIGNED), "line-signatures")
+    centre = signed.groupBy("signature").agg(F.min(F.struct("left_out", "sid")).alias("centre"), F.count(F.lit(1)).alias("n"))
+    near = F.col("left_out") + F.col("centre.left_out") + F.col("replaced") <= edits
+    met = signed.join(centre.filter("n > 1"), "signature").filter(near & (F.col("sid") != F.col("centre.sid")))
+    return met.select(F.col("sid").alias("a"), F.col("centre.sid").alias("b")).distinct()
+
+
+def _bucket_links(rows: DataFrame, edits: int) -> DataFrame:
+    """Links of the lines (bucket, sid, line) of each bucket, compared pair by pair."""
+    rows = rows.select("bucket", F.lit(0).cast("long").alias("part"), "sid", F.lit(0).alias("own"), "line")
+    return map_arrow(rows.repartition("bucket").sortWithinPartitions("bucket"), lambda it: _linked(it, edits), _LINKS)
+
+
+def _met(keys: DataFrame) -> DataFrame:
+    limit = BUCKET
+    return map_arrow(keys.repartition("bucket").sortWithinPartitions("bucket"), lambda it: _meetings(it, limit), _MET)
+
+
+def dense_links(lines: DataFrame, edits: int) -> list[DataFrame]:
+    """Links of lines (sid, line) that share segments with too many others, whatever their number."""
+    items = lines.select("sid", F.col("sid").alias("whole"), F.lit(0).cast("long").alias("context"), "line")
+    links: list[DataFrame] = []
+    for level in count():
+        items = stage(items, "dense-lines")
+        if not items.limit(1).count():
+            return links
+        met = stage(_met(map_arrow(items.select("sid", "context", "line"), lambda it: _cell_keys(it, edits), _KEYS)), "dense-meetings")
+        # A mark is longer than the threshold, and its byte stands in no text.
+        mark = bytes([255 - level % (256 - MARKS)]) * (edits + 1)
+        met = met.join(items.select("sid", "whole", "line"), "sid").select("bucket", F.col("whole").alias("sid"), "code", "hot", "line")
+        rests = stage(map_arrow(met, lambda it, mark=mark: _rests(it, edits, mark), _RESTS).distinct(), "dense-rests")
+        links.append(stage(_bucket_links(rests.filter("NOT hot"), edits), "dense-links"))
+        # Rests near each other differ by the threshold in size, so those about the border take both ways.
+        links.append(stage(_signed_links(rests.filter(F.col("hot") & (F.col("size") <= SHORT_REST + edits)), edits), "signed-links"))
+        items = rests.filter(F.col("hot") & (F.col("size") > SHORT_REST)).select(
+            F.xxhash64("bucket", "sid", "line").alias("sid"), F.col("sid").alias("whole"), F.col("bucket").alias("context"), "line"
+        )
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     return docs.select(doc_id.alias("doc_id"), text.alias("text"), row_key(doc_id, text).alias("key"))
@@ -300,13 +469,16 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def line_classes(rows: DataFrame, edits: int, least: int) -> DataFrame:
     """(node, root) of the lines, by hash, that have another line within the edit distance, over chains of such lines."""
     keys = map_arrow(rows.select("text"), lambda it: _segment_keys(it, least, edits), _KEYS)
-    met = map_arrow(keys.repartition("bucket").sortWithinPartitions("bucket"), _meetings, _MET)
-    met = stage(tiles(met), "line-meetings")
+    met = stage(_met(keys).select("bucket", "sid", "hot"), "line-meetings")
     wanted = stage(met.select("sid").distinct(), "met-lines")
     texts = semi_join(map_arrow(rows.select("text"), lambda it: _line_texts(it, least), _TEXTS), wanted, "sid").dropDuplicates(["sid"])
-    pairs = met.join(texts, "sid").repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    links = map_arrow(pairs.select("bucket", "part", "sid", "own", "line"), lambda it: _linked(it, edits), _LINKS)
-    return connected(stage(links, "line-links"))
+    crowded = stage(met.filter("hot").select("sid").distinct(), "crowded-lines")
+    if not crowded.limit(1).count():
+        return connected(stage(_bucket_links(met.join(texts, "sid"), edits), "line-links"))
+    texts = stage(texts, "met-texts")
+    links = [stage(_bucket_links(met.filter("NOT hot").join(texts, "sid"), edits), "line-links")]
+    links += dense_links(texts.join(crowded, "sid", "left_semi"), edits)
+    return connected(reduce(DataFrame.union, links))
 
 
 def repeated_lines(
