@@ -52,14 +52,22 @@ def audit_unique(t: Tables, constraints: Iterable[Unique]) -> DataFrame:
 
 
 def audit_references(t: Tables, references: Iterable[Reference]) -> DataFrame:
-    """Values without a parent row, with the number of rows that carry them; NULL is no reference."""
-    parts = []
-    for r in references:
-        values = t[r.table].filter(f"{r.column} IS NOT NULL").groupBy(r.column).count()
-        parents = t[r.parent].selectExpr(f"{r.parent_column} AS {r.column}")
-        orphans = values.join(parents, r.column, "left_anti")
-        parts.append(_found(orphans, r.name, r.table, f"CAST({r.column} AS STRING)"))
-    return union_all(parts)
+    """Values without a parent row, with the number of rows that carry them; NULL is no reference.
+
+    A child table is read once for all its references and a parent once for all that name it: their rows
+    are (parent, value) pairs, so one join settles all references together.
+    """
+    references = list(references)
+    children, parents = [], []
+    for table in dict.fromkeys(r.table for r in references):
+        mine = [f"named_struct('constraint', {_quoted(r.name)}, 'parent', {_quoted(r.parent)}, 'value', CAST({r.column} AS BIGINT))" for r in references if r.table == table]
+        spread = t[table].selectExpr(f"inline(array({', '.join(mine)}))").filter("value IS NOT NULL")
+        counted = spread.groupBy("constraint", "parent", "value").count()
+        children.append(counted.selectExpr("`constraint`", f"{_quoted(table)} AS `table`", "parent", "value", "count"))
+    for parent, column in dict.fromkeys((r.parent, r.parent_column) for r in references):
+        parents.append(t[parent].selectExpr(f"{_quoted(parent)} AS parent", f"CAST({column} AS BIGINT) AS value"))
+    orphans = union_all(children).join(union_all(parents), ["parent", "value"], "left_anti")
+    return orphans.selectExpr("`constraint`", "`table`", "CAST(value AS STRING) AS `key`", "concat(`count`, ' rows') AS detail")
 
 
 def _flagged(df: DataFrame, table: str, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
