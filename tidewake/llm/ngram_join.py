@@ -27,8 +27,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RUNS = 16
 # Common samples that a pair at the threshold expects, in a run and in each bucket of a path that is split:
-# it shares one with probability 1 - exp(-1) and 1 - exp(-2).
-COMMON = (1.0, 2.0, 2.0)
+# it shares one with probability 1 - exp(-1) and 1 - exp(-1.25).
+COMMON = (1.0, 1.25, 1.25)
 DEPTH = len(COMMON)
 BUCKET = 400
 SKETCH = 64
@@ -328,7 +328,7 @@ def similar_documents(
     not read; an empty table gives no rows.
 
     The recall of a pair is set by ``RUNS`` and ``COMMON``, at any threshold: at it a run misses a pair with
-    probability exp(-1) in small buckets, so 16 runs miss 1e-7 of such pairs, and 4e-5 where every bucket
+    probability exp(-1) in small buckets, so 16 runs miss 1e-7 of such pairs, and 2e-3 where every bucket
     on the way had to be split to full depth. The sketches lose 1e-6. What is reported is exact.
     """
     if not 0 < similarity <= 1:
