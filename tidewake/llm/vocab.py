@@ -27,6 +27,8 @@ BYTE_PIECES = re.compile(
     f"{_CONTRACTIONS}| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_BLANKS}{_LETTERS}{_NUMBERS}]+"
     f"|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
 )
+# Pre-tokens of the word-end vocabulary in lower-case ASCII without white space.
+_PRE_TOKENS = re.compile(f"{_CONTRACTIONS}|[a-z]+|[0-9]|[^a-z0-9]+")
 # Python splits at these, the tokenizer does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 CACHE_PIECES = 250_000  # of each generation
@@ -97,9 +99,15 @@ class BytePieces(_Pieces):
 class WordIds(_Pieces):
     """Ids of a word-end vocabulary that lower-cases and drops white space.
 
-    No pre-token holds white space, so what stands between white space is encoded once and remembered.
+    No pre-token holds white space, so what stands between white space is encoded once and remembered. Plain
+    ASCII is cut in pre-tokens here, and only new ones go to the library's model; the rest goes to the library.
     """
 
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.tokenize = self.library.model.tokenize
+        self.words: dict[str, bytes] = {}
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit numbers."""
         if "<|" in text or any(c in text for c in _SEPARATORS):
@@ -108,16 +116,22 @@ class WordIds(_Pieces):
         return b"".join(self.look_up((text.lower() if text.isascii() else text).split()))
 
     def _learn(self, new: list[str]) -> None:
-        """One call for all plain pieces: the spaces keep them apart, and offsets tell whose an id is."""
-        plain = [p for p in new if p.isascii() and p.isprintable()]
-        if len(plain) > 1:
-            got = self.library.encode(" ".join(plain), add_special_tokens=False)
-            raw = np.array(got.ids, "<u4").tobytes()
-            starts = np.cumsum([0, *(len(p) + 1 for p in plain)])
-            at = (4 * np.searchsorted(np.array([o[0] for o in got.offsets], np.int64), starts)).tolist()
-            self.known.update(zip(plain, (raw[s:e] for s, e in zip(at, at[1:]))))
-            new = [p for p in new if not (p.isascii() and p.isprintable())]
-        super()._learn(new)
+        other = []
+        for piece in new:
+            if piece.isascii() and piece.isprintable():
+                self.known[piece] = b"".join(map(self._word, _PRE_TOKENS.findall(piece.lower())))
+            else:
+                other.append(piece)
+        if other:
+            super()._learn(other)
+
+    def _word(self, word: str) -> bytes:
+        got = self.words.get(word)
+        if got is None:
+            if len(self.words) >= CACHE_PIECES:
+                self.words.clear()
+            got = self.words[word] = np.array([t.id for t in self.tokenize(word)], "<u4").tobytes()
+        return got
 
     def _keep(self, got):
         return np.array(got.ids, "<u4").tobytes()
