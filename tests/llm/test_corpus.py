@@ -418,31 +418,37 @@ def repeated_bytes(rows, window, keep_first):
     return out
 
 
-def test_suffix_ranks_and_smaller_places():
+def test_factors_of_contexts():
+    """Strings that contexts of a seed share, with ends, zero bytes and groups of their own, against all pairs."""
     import random
 
     import numpy as np
 
     draw = random.Random(3)
-    for _ in range(60):
-        n, width = draw.randint(1, 120), draw.randint(1, 30)
-        symbols = np.array([draw.randint(0, draw.choice([1, 3, 60])) for _ in range(n)])
-        rank = byte_dedup.rank_by_prefix(symbols, width)
-        tuples = [tuple(symbols[i : i + width] + 1) + (0,) * max(0, i + width - n) for i in range(n)]
-        order = {t: k for k, t in enumerate(sorted(set(tuples)))}
-        assert rank.tolist() == [order[t] for t in tuples]
-        place = np.array([draw.randint(0, 40) for _ in range(n)])
-        joins = np.array([False, *(draw.random() < 0.8 for _ in range(n - 1))])
-        run = np.cumsum(~joins)
-        before, after = byte_dedup.smaller_places(place, joins)
-        for i in range(n):
-            left = [j for j in range(i) if run[j] == run[i] and place[j] < place[i]]
-            right = [j for j in range(i + 1, n) if run[j] == run[i] and place[j] < place[i]]
-            assert (before[i], after[i]) == (left[-1] if left else -1, right[0] if right else -1)
-        earlier, other = byte_dedup.matched_factors(place, rank)
-        for i in range(n):
-            same = [place[j] for j in range(n) if rank[j] == rank[i]]
-            assert earlier[i] == (min(same) < place[i]) and other[i] == any(p != place[i] for p in same)
+    window, size = 12, 4
+    reach = window - size
+    for _ in range(150):
+        n = draw.randint(1, 14)
+        group = np.array(sorted(draw.randint(1, 3) for _ in range(n)))
+        left = [bytes(draw.choice([0, 97, 97, 98]) for _ in range(draw.randint(0, reach))) for _ in range(n)]
+        right = [bytes(draw.choice([0, 97, 97, 98]) for _ in range(draw.randint(0, reach))) for _ in range(n)]
+        contexts = [a + b"seed" + b for a, b in zip(left, right)]
+        data = np.frombuffer(b"".join(contexts), np.uint8)
+        offsets = np.cumsum([0, *map(len, contexts)])
+        place = np.array(draw.sample(range(n), n))
+        for keep_first in (True, False):
+            want = {}
+            for i in range(n):
+                for far in range(max(0, reach - len(right[i])), len(left[i]) + 1):
+                    mine = contexts[i][len(left[i]) - far : len(left[i]) - far + window]
+                    for j in range(n):
+                        if j != i and group[j] == group[i] and len(left[j]) >= far and len(right[j]) >= reach - far:
+                            if contexts[j][len(left[j]) - far :][:window] == mine and (place[j] < place[i] or not keep_first):
+                                low, high = want.get(i, (far, far))
+                                want[i] = (min(low, far), max(high, far))
+            seed_at = np.array([len(x) for x in left])
+            got = byte_dedup.matched_distances(data, offsets, seed_at, group, place, window, size, keep_first)
+            assert {i: (a, b) for i, a, b in zip(*(x.tolist() for x in got))} == want
 
 
 @pytest.mark.parametrize("hot,seed", [(1000, 64), (1, 16)])

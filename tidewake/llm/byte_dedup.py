@@ -1,15 +1,17 @@
 """Repeated byte strings by longest-previous-factor arrays.
 
 Suffix arrays are built over small neighbourhoods instead of the corpus: every string of the threshold
-length holds a winnowed seed, and equal strings hold the same. Seeds with one context everywhere need no
-suffix order: all of the context repeats. Where a seed's contexts differ, one context of each sort goes
-into the suffix array of its seed: suffixes in order of their first bytes up to the threshold, equal ones by
-their places in the corpus. There the previous and the next smaller place of a suffix give its longest
-earlier match, and the same arrays read the other way its longest match at any other place; what reaches the
-threshold is repeated. Contexts are cut first to the strings of threshold length whose hashes meet in the
-seed, so that what shares a seed and little else stays out of the suffix order. Seeds with too many contexts
-for one task are settled by hashes of the strings around them instead: first of long stretches of
-neighbouring strings, then of ever shorter ones where stretches agree in part, down to single strings.
+length holds a winnowed seed, and equal strings hold the same, so they are compared where they have it.
+Seeds with one context everywhere need no suffix order: all of the context repeats. Where a seed's contexts
+differ, one context of each sort goes into the suffix array of its seed. Its contexts stand in order of what
+follows the seed and, read backwards, of what precedes it, each with the lengths that neighbours share. That
+ranks the suffixes that begin at any distance before the seed by their first bytes up to the threshold; equal
+ones stand by their places in the corpus. So the previous smaller place of a suffix, if one shares the
+threshold with it, is its left neighbour: its longest previous factor reaches the threshold exactly then, and
+its right neighbour is a later match. Contexts that share neither half of the threshold around their seed stay
+out of the order. Seeds with too many contexts for one task are settled by hashes of the strings around them
+instead: first of long stretches of neighbouring strings, then of ever shorter ones where stretches agree in
+part, down to single strings.
 """
 
 from __future__ import annotations
@@ -34,9 +36,8 @@ from tidewake.session import stage
 WINDOW_BYTES = 400
 SEED_BYTES = 64
 HOT_CONTEXTS = 1000
-SUFFIX_BYTES = 250_000
 HASHED_CONTEXTS = 1000
-HASHED_BYTES = 500_000
+PART_BYTES = 500_000
 STRETCHES = (64, 16, 4, 1)
 
 _PLACE = [("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int64())]
@@ -154,172 +155,80 @@ def _whole_groups(table: pa.Table, limit: int) -> Iterator[pa.Table]:
         yield table.slice(lo, hi - lo)
 
 
-def _met_strings(table: pa.Table, window: int) -> pa.Table:
-    """Contexts cut to what their strings of ``window`` bytes that meet in their seed cover; others are left out.
+def _shared_runs(sides: np.ndarray, length: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Per context and width the number of the run of contexts that share so many bytes of this side.
 
-    Only hashes are compared here: whether strings are equal is left to the suffix order.
+    The contexts of a group are put in order of their side; neighbours that share a width are in one run of
+    it. A side that ends stands before those that go on, so it parts no run.
     """
-    data, offsets = tb.text_bytes(table.column("bytes").combine_chunks())
-    sums = tb.prefix_sums(data.astype(np.uint64) + tb.ONE, tb.BASE)
-    sizes = np.diff(offsets)
-    count = np.maximum(sizes - window + 1, 0)
-    who = np.repeat(np.arange(len(sizes)), count)
-    place = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
-    start = offsets[who] + place
-    hashes = tb.range_hash(sums, start, start + window, tb.BASE) ^ tb.mix(group_numbers(table).astype(np.uint64))[who]
-    order = np.argsort(hashes)
-    alike = np.diff(hashes[order]) == 0
-    met = np.zeros(len(who), bool)
-    met[order[1:][alike]] = met[order[:-1][alike]] = True
-    met = np.flatnonzero(met)
-    if not len(met):
-        return table.slice(0, 0)
-    edges = np.flatnonzero(np.diff(who[met], prepend=-1))
-    rows, low = who[met][edges], place[met][edges]
-    high = place[met][np.append(edges[1:], len(met)) - 1] + window
-    cut = [data[offsets[r] + s : offsets[r] + e].tobytes() for r, s, e in zip(rows, low, high)]
-    kept = table.take(pa.array(rows))
-    kept = kept.set_column(kept.schema.get_field_index("bytes"), "bytes", pa.array(cut, pa.binary()))
-    return kept.set_column(kept.schema.get_field_index("s"), "s", pa.array(kept.column("s").to_numpy() + low))
-
-
-def rank_by_prefix(symbols: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each suffix by its first ``length`` symbols; equal prefixes share a rank.
-
-    Ranks by a prefix come two at a time into one number, which gives those by a prefix of twice the length.
-    Beside them the number holds the position while it has room, so that one plain sort gives ranks and order.
+    n, most = sides.shape
+    rows = np.concatenate([group.astype(">u4").view(np.uint8).reshape(n, 4), sides, length.astype(">u4").view(np.uint8).reshape(n, 4)], axis=1)
+    order = np.argsort(np.ascontiguousarray(rows).view(f"S{most + 8}").ravel())
+    alike = sides[order[1:]] == sides[order[:-1]]
+    shared = np.where(alike.all(axis=1), most, alike.argmin(axis=1))
+    shared = np.minimum(shared, np.minimum(length[order[1:]], length[order[:-1]]))
+    shared[group[order[1:]] != group[order[:-1]]] = -1
+    apart = np.ones((n, most + 1), np.int32)
+    apart[1:] = shared[:, None] < np.arange(most + 1)
+    runs = np.empty((n, most + 1), np.int32)
+    runs[order] = np.cumsum(apart, axis=0, dtype=np.int32)
+    return runs
+
+
+def matched_distances(data: np.ndarray, offsets: np.ndarray, seed_at: np.ndarray, group: np.ndarray, place: np.ndarray, window: int, size: int, keep_first: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, least, greatest distance before the seed at which a string of it begins that another has too).
+
+    ``place`` numbers the contexts in the order of the corpus; with ``keep_first`` only an earlier one counts.
     """
-    n = len(symbols)
-    place_bits = max(1, (n - 1).bit_length())
-    places = np.arange(n, dtype=np.uint64)
-
-    def ranked(key: np.ndarray, limit: int) -> np.ndarray:
-        if limit << place_bits < 1 << 64:
-            both = np.sort((key.astype(np.uint64) << np.uint64(place_bits)) | places)
-            order = (both & np.uint64((1 << place_bits) - 1)).astype(np.int64)
-            value = both >> np.uint64(place_bits)
-        else:
-            order = np.argsort(key)
-            value = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(value[1:] != value[:-1])])
-        return rank
-
-    def joined(values: np.ndarray, base: int, shifts: list[int]) -> np.ndarray:
-        """Values at each position and at the shifted ones as one number; 0 stands behind the end."""
-        out = values + 1
-        for shift in shifts:
-            out = out * base
-            out[: max(0, n - shift)] += values[shift:] + 1
-        return out
-
-    # Only symbols that occur need a number of their own.
-    occurs = np.zeros(int(symbols.max(initial=0)) + 1, bool)
-    occurs[symbols] = True
-    dense = (np.cumsum(occurs) - 1)[symbols]
-    base = int(occurs.sum()) + 1
-    room = 63 - place_bits
-    width = 1
-    while width < length and base ** (width + 1) < 1 << room:
-        width += 1
-    rank = ranked(joined(dense, base, [*range(1, width)]), base**width)
-    while width < length:
-        shift = min(width, length - width)
-        rank = ranked(joined(rank, n + 1, [shift]), (n + 1) ** 2)
-        width += shift
-    return rank
-
-
-def smaller_places(place: np.ndarray, joins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per entry of a suffix order the previous and the next entry with a smaller place, -1 for none.
-
-    ``joins`` says whether an entry shares the threshold with the one before it; entries beyond a break share
-    less, so they are not looked at. A pointer that meets a place that is not smaller goes on from where that
-    entry points to.
-    """
-
-    def towards(step: int) -> np.ndarray:
-        at = np.arange(len(place))
-        run = np.cumsum(~joins)
-        pointer = at + step
-        inside = (pointer >= 0) & (pointer < len(place))
-        pointer = np.where(inside & (run[np.where(inside, pointer, 0)] == run), pointer, -1)
-        while True:
-            # An entry with a pointer to no smaller place takes over that entry's pointer.
-            wrong = np.flatnonzero((pointer >= 0) & (place[pointer] >= place))
-            if not len(wrong):
-                return pointer
-            pointer[wrong] = pointer[pointer[wrong]]
-
-    return towards(-1), towards(1)
-
-
-def matched_factors(place: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per suffix whether a smaller place shares the threshold with it, and whether any other place does.
-
-    The longest previous factor reaches the threshold where there is a previous or next smaller place before
-    the shared length falls below it; the places read backwards give the longest later one. Places may stand
-    twice, since contexts of a document overlap, and such an entry is no match of itself.
-    """
-    order = np.lexsort((place, rank))
-    joins = np.zeros(len(order), bool)
-    joins[1:] = rank[order][1:] == rank[order][:-1]
-    before, after = smaller_places(place[order], joins)
-    earlier = np.zeros(len(order), bool)
-    earlier[order] = (before >= 0) | (after >= 0)
-    before, after = smaller_places(-place[order], joins)
-    later = np.zeros(len(order), bool)
-    later[order] = (before >= 0) | (after >= 0)
-    return earlier, earlier | later
+    n, reach = len(seed_at), window - size
+    left = np.minimum(seed_at, reach)
+    right = np.minimum(np.diff(offsets) - seed_at - size, reach)
+    step = np.arange(reach)
+
+    def side(start: np.ndarray, length: np.ndarray, sign: int) -> np.ndarray:
+        at = np.clip(start[:, None] + sign * step, 0, len(data) - 1)
+        return np.where(step < length[:, None], data[at], 0).astype(np.uint8)
+
+    first = offsets[:-1] + seed_at
+    before = _shared_runs(side(first - 1, left, -1), left, group)
+    after = _shared_runs(side(first + size, right, 1), right, group)[:, ::-1]
+    distance = np.arange(reach + 1)
+    inside = (distance <= left[:, None]) & (reach - distance <= right[:, None])
+    # The suffix order: by the run on either side, which is the rank of the string, then by place.
+    base = n + 1
+    key = ((distance * base + before) * base + after) * base + place[:, None]
+    suffixes = np.sort(key[inside])
+    rank = suffixes // base
+    previous = np.zeros(len(suffixes), bool)
+    previous[1:] = rank[1:] == rank[:-1]
+    hit = previous.copy()
+    if not keep_first:
+        hit[:-1] |= previous[1:]
+    of_place = np.empty(n, np.int64)
+    of_place[place] = np.arange(n)
+    who, far = of_place[suffixes[hit] % base], suffixes[hit] // base**3
+    least, greatest = np.full(n, reach + 1), np.full(n, -1)
+    np.minimum.at(least, who, far)
+    np.maximum.at(greatest, who, far)
+    found = np.flatnonzero(greatest >= 0)
+    return found, least[found], greatest[found]
 
 
 def _factors(batches: Iterator[pa.RecordBatch], window: int, size: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """Spans of the contexts that match another context of their seed."""
     for table in sorted_groups(batches):
         table = _sharing_half(table, window, size)
-        if not len(table):
-            continue
-        parts = [_met_strings(part, window) for part in _whole_groups(table, HASHED_BYTES)]
-        table = pa.concat_tables(parts)
-        if not len(table):
-            continue
-        group = group_numbers(table)
-        contexts = table.column("bytes").to_pylist()
-        sizes = np.array([*map(len, contexts)])
-        doc = np.array([x if x is not None else np.iinfo(np.int64).max for x in table.column("doc_id").to_pylist()])
-        keys, begins = table.column("key").to_numpy(), table.column("s").to_numpy()
-        starts = np.flatnonzero(np.diff(group, prepend=0))
-        total = np.cumsum(np.add.reduceat(sizes, starts)) // SUFFIX_BYTES
-        cuts = starts[np.flatnonzero(np.diff(total, prepend=-1))]
-        for lo, hi in zip(cuts, np.append(cuts[1:], len(contexts))):
-            lengths = sizes[lo:hi]
-            symbols = np.frombuffer(b"".join(contexts[lo:hi]), np.uint8).astype(np.int64) + 1
-            # A separator after each context keeps its suffixes from reaching the next.
-            symbols = np.insert(symbols, np.cumsum(lengths), 0)
-            owner = np.repeat(np.arange(hi - lo), lengths + 1)
-            within = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths + 1) - lengths - 1, lengths + 1)
-            rank = rank_by_prefix(symbols, window)
-            full = np.flatnonzero(within + window <= lengths[owner])
-            if not len(full):
-                continue
-            who, place = owner[full], begins[lo:hi][owner[full]] + within[full]
-            # Positions in the order of documents.
-            order = np.lexsort((keys[lo:hi], doc[lo:hi]))
-            changed = np.zeros(hi - lo, bool)
-            changed[1:] = (np.diff(keys[lo:hi][order]) != 0) | (np.diff(doc[lo:hi][order]) != 0)
-            document = np.empty(hi - lo, np.int64)
-            document[order] = np.cumsum(changed)
-            earlier, other = matched_factors(document[who] * (place.max() + 1) + place, rank[full])
-            hit = np.flatnonzero(earlier if keep_first else other)
-            if not len(hit):
-                continue
-            who, place = who[hit], place[hit]
-            # Neighbouring windows of a context are one span.
-            cut = np.ones(len(hit), bool)
-            cut[1:] = (np.diff(who) != 0) | (np.diff(place) > window)
-            first = np.flatnonzero(cut)
-            last = np.append(first[1:], len(hit)) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(keys[lo:hi][who[first]]), pa.array(place[first]), pa.array(place[last] + window)], schema=_SPANS)
+        for part in _whole_groups(table, PART_BYTES) if len(table) else ():
+            data, offsets = tb.text_bytes(part.column("bytes").combine_chunks())
+            doc = np.array([x if x is not None else np.iinfo(np.int64).max for x in part.column("doc_id").to_pylist()])
+            key, at, begins = (part.column(c).to_numpy() for c in ("key", "at", "s"))
+            place = np.empty(len(part), np.int64)
+            place[np.lexsort((at, key, doc))] = np.arange(len(part))
+            who, least, greatest = matched_distances(data, offsets, at - begins, group_numbers(part), place, window, size, keep_first)
+            if len(who):
+                # Strings of one context all hold its seed, so together they are one span.
+                columns = (key[who], at[who] - greatest, at[who] - least + window)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_SPANS)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
