@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -130,7 +131,7 @@ class WordIds(_Pieces):
         if got is None:
             if len(self.words) >= CACHE_PIECES:
                 self.words.clear()
-            got = self.words[word] = np.array([t.id for t in self.tokenize(word)], "<u4").tobytes()
+            got = self.words[word] = array("I", [t.id for t in self.tokenize(word)]).tobytes()
         return got
 
     def _keep(self, got):
