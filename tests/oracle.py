@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import duckdb  # noqa: E402
 
-SOURCES = "region nation customer supplier part orders lineitem events".split()
+SOURCES = "region nation customer supplier part orders lineitem events documents benchmark".split()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
