@@ -8,6 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 from tidewake.functions import age_on, hours_until, on_date, voyage_length_days
+from tidewake.bindings.star import PARTS_DEALT, StarTables
 from tidewake.operators import lookups
 from tidewake.operators.ranking import global_rank
 from tidewake.operators.rollup import labelled_rollup
@@ -117,3 +118,17 @@ def test_rollup_keeps_a_null_key(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "k string, n int")
     got = {tuple(r) for r in labelled_rollup(df, "k", "Key", "Total", [F.sum("n").alias("n")]).collect()}
     assert got == {("a", 1), (None, 2), ("Total", 3)}
+
+
+def test_fare_rules_are_dealt_out_and_their_size_is_seen(spark, tmp_path, capsys):
+    """32 rules a part: a narrow file of parts is neither multiplied in one task nor broadcast."""
+    parts = 200_000
+    spark.range(parts).selectExpr("id AS p_partkey").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rules = StarTables(spark, str(tmp_path))["FareRule"]
+    tasks = [r["count"] for r in rules.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 32 * parts and max(tasks) <= 2 * 32 * PARTS_DEALT
+    assert rules.filter("VoyageID = 7").agg(F.count_distinct("FareRuleID")).first()[0] == 32
+    probes = spark.range(10**7).selectExpr("id AS VoyageID", "1 AS CabinCategoryID", "4 AS AgeCategoryID", "date'1998-06-15' AS day")
+    lookups.effective_rule(probes, rules, ["VoyageID", "CabinCategoryID", "AgeCategoryID"], "day", ["BaseFare"]).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
