@@ -329,3 +329,18 @@ def test_service_ages(spark, t):
     got = {r.PassengerServiceID: r for r in rules.check_service_ages(dict(t) | {"PassengerSpecialService": requests}).collect()}
     assert {i for i, r in got.items() if r.first_violation == rules.WRONG_SERVICE_AGE} == {1, 2}
     assert 2 <= got[3].AgeAtDeparture <= 12 and got[5].AgeAtDeparture is None
+
+
+def test_grouping_sets_keep_one_set_in_a_task(spark, capsys):
+    """Wide to narrow, one set from another: no row is multiplied by the number of sets."""
+    df = spark.range(40).selectExpr("id % 2 AS a", "id % 3 AS b", "id % 5 AS who", "CAST(id AS DECIMAL(12,2)) AS v")
+    got = grouping_sets(df, [("a", "b"), ("b",), ("a",), ()], {"s": F.col("v")}, "who", "people")
+    rows = {(r.a, r.b, r.Level): (int(r.s), r.people) for r in got.collect()}
+    want = {}
+    for i in range(40):
+        for a, b, level in ((i % 2, i % 3, 0), (None, i % 3, 2), (i % 2, None, 1), (None, None, 3)):
+            s, who = want.get((a, b, level), (0, set()))
+            want[a, b, level] = (s + i, who | {i % 5})
+    assert rows == {k: (s, len(who)) for k, (s, who) in want.items()}
+    got.explain()
+    assert "Expand" not in capsys.readouterr().out
