@@ -7,6 +7,7 @@ import pytest
 
 from seed import frame, raw_rows
 from tidewake import catalogue as K
+from tidewake.bindings.star import StarTables
 from tidewake.operators import audits
 from tidewake.schema import TABLES
 from tidewake.sources import tables as sources
@@ -104,3 +105,13 @@ def test_write_split(spark, t, tmp_path):
     sources.write_split(check_birth_dates(t, "2025-05-20"), path)
     back = spark.read.parquet(path).groupBy("status").count().collect()
     assert {r.status: r["count"] for r in back} == {"valid": 34, "rejected": 1}
+
+
+def test_fare_keys_are_counted_where_they_are_dealt(spark, tmp_path, capsys):
+    """The rules of a part lie in one partition, so counting their keys moves nothing and no task holds a whole file."""
+    spark.range(1000).selectExpr("id AS p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    key = [c for c in K.UNIQUES if c.table == "FareRule"]
+    counted = audits.audit_unique(StarTables(spark, str(tmp_path)), key)
+    counted.explain()
+    assert "ENSURE_REQUIREMENTS" not in capsys.readouterr().out
+    assert counted.count() == 0
