@@ -8,6 +8,7 @@ import pytest
 
 from seed import frame, raw_rows
 from tidewake import catalogue as K
+from tidewake.bindings import star
 from tidewake.bindings.star import StarTables
 from tidewake.catalogue import Unique
 from tidewake.operators import audits
@@ -148,3 +149,16 @@ def test_keys_are_counted_in_partitions_of_bounded_size(spark, monkeypatch, caps
     assert "ENSURE_REQUIREMENTS" not in _plan(got, capsys)
     hot = f"{334 + 1} rows"
     assert sorted(tuple(r) for r in got.collect()) == [("PK", "A", "7", hot), ("PK", "A", "NULL", "2 rows"), ("UQ", "A", "7", hot)]
+
+
+def test_lines_are_grouped_in_partitions_of_bounded_size(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(star, "LINES_DEALT", 100)
+    lines = spark.range(1000).selectExpr(
+        "id div 4 AS l_orderkey", "id AS l_partkey", "0L AS l_suppkey", "int(id % 3) AS l_linenumber", "double(id) AS l_quantity",
+        "double(id) AS l_extendedprice", "0D AS l_discount", "0D AS l_tax", "IF(id % 2 = 0, 'A', 'R') AS l_returnflag", "'O' AS l_linestatus", "timestamp_ntz'2000-01-01' AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    seats = star._line_groups(StarTables(spark, str(tmp_path)))
+    assert seats.rdd.getNumPartitions() == 11
+    assert "ENSURE_REQUIREMENTS" not in _plan(seats, capsys)
+    assert seats.filter("l_orderkey = 3").orderBy("l_linenumber").collect() == [(3, 0, 12, 15.0, 15.0, 1, 1), (3, 1, 13, 13.0, 13.0, 0, 1), (3, 2, 14, 14.0, 14.0, 1, 0)]
