@@ -214,6 +214,17 @@ def test_removed_spans(spark, docs):
         assert len(lowered(r["text"])) == b["n_words"] - b["n_hit"]
 
 
+def test_spans_are_removed_in_the_pass_that_finds_them(docs, spark, monkeypatch, capsys):
+    bench = read(spark, FOLDER, "benchmark")
+    out = decontaminate.remove_contamination(docs, bench)
+    capsys.readouterr()
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 6000)
+    in_blocks = decontaminate.remove_contamination(docs, bench)
+    assert sorted(map(repr, in_blocks.collect())) == sorted(map(repr, out.collect()))
+
+
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 

@@ -8,7 +8,7 @@ over a wavelet matrix, their places by walking to sampled suffix positions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -316,9 +316,14 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _MERGED = pa.schema([("text_key", pa.int64()), *_STATE[:2]])
 
 
-def _with_matches(rows: DataFrame, benchmark: DataFrame, size: int, item_col: str, text_col: str) -> DataFrame:
+def _with_matches(
+    rows: DataFrame, benchmark: DataFrame, size: int, item_col: str, text_col: str, then: Callable | None = None, schema=None
+) -> DataFrame:
     """``rows`` (with a column ``text``) and the merged word spans and items of all benchmark windows.
 
+    ``then`` maps the batches of ``rows`` and spans to ``schema``. After a single block it runs in the pass that searches: a
+    second Python pass of one stage would take another worker for every core.
+
     The benchmark goes to the tasks in blocks of bounded size, which the driver holds one at a time. One block
     is one pass over the documents. More are a staged pass each that keeps what it has found, by text; these
     are merged and joined to the documents.
@@ -328,7 +333,7 @@ def _with_matches(rows: DataFrame, benchmark: DataFrame, size: int, item_col: st
     items = stage(map_arrow(items.distinct(), lambda it: _item_parts(it, size, together), items.schema).distinct(), "benchmark-parts")
     blocks, block = _blocks_of(items)
 
-    def searched(docs: DataFrame, b: int | None) -> DataFrame:
+    def searched(docs: DataFrame, b: int | None, then: Callable | None = None) -> DataFrame:
         texts = [] if b is None else [(r["item"], r["text"]) for r in items.filter(block == b).collect()]
         phrases, names = phrases_of(texts, size) if texts else None, docs.columns
         empty = {
@@ -337,10 +342,12 @@ def _with_matches(rows: DataFrame, benchmark: DataFrame, size: int, item_col: st
             "n_words": F.lit(0).cast("bigint"),
         }
         docs = docs.withColumns(empty)
+        if then is not None:
+            return map_arrow(docs, lambda it: then(_searched(it, phrases, names)), schema)
         return map_arrow(docs, lambda it: _searched(it, phrases, names), docs.schema)
 
     if blocks == 1:
-        return searched(rows, 0)
+        return searched(rows, 0, then)
     key = F.xxhash64("text").alias("text_key")
     found = []
     for b in range(blocks):
@@ -349,7 +356,8 @@ def _with_matches(rows: DataFrame, benchmark: DataFrame, size: int, item_col: st
     whole = reduce(DataFrame.union, found).groupBy("text_key").agg(F.collect_set("f").alias("found"))
     whole = map_arrow(whole, _merged, _MERGED).withColumnsRenamed({"spans": "_spans", "items": "_items"})
     joined = searched(rows.select("*", key), None).join(whole, "text_key", "left")
-    return joined.select(*rows.columns, F.coalesce("_spans", "spans").alias("spans"), F.coalesce("_items", "items").alias("items"), "n_words")
+    merged = joined.select(*rows.columns, F.coalesce("_spans", "spans").alias("spans"), F.coalesce("_items", "items").alias("items"), "n_words")
+    return merged if then is None else map_arrow(merged.select(*rows.columns, "spans"), then, schema)
 
 
 def find_contamination(
@@ -407,6 +415,5 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WIND
     """The documents without the matched spans of words; all other text and columns stay as they are."""
     others = F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(True).alias("_row"))
     rows = docs.select(others.alias("others"), F.col(text_col).cast("string").alias("text"))
-    found = _with_matches(rows, benchmark, size, "item_id", "text")
-    cut = map_arrow(found.select("others", "text", "spans"), _cut, found.select("others", "text").schema)
+    cut = _with_matches(rows, benchmark, size, "item_id", "text", _cut, rows.schema)
     return cut.select(*[F.col("text").alias(c) if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])
