@@ -207,6 +207,37 @@ def test_similar_documents(near, bucket, monkeypatch):
         assert kept.count() == len(groups) + wordless
 
 
+@pytest.mark.parametrize("bucket", [400, 8])
+def test_shingles_go_to_first_meetings_only(near, bucket, monkeypatch):
+    """A pair is verified in one bucket, so its sets are sent to few of those in which they look alike."""
+    monkeypatch.setattr(ngram_join, "BUCKET", bucket)
+    staged, whole = {}, ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, label: staged.setdefault(label, whole(df, label)))
+    ngram_join.similar_documents(near)
+    likely, meeting = (staged[k].select("bucket", "part", "sid") for k in ("likely-members", "meeting-members"))
+    assert meeting.exceptAll(likely).count() == 0
+    assert 0 < meeting.count() < likely.count() / 2
+    assert meeting.groupBy("bucket", "part").count().filter("count < 2").count() == 0
+
+
+def test_pairs_met_first():
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(5)
+    lists = [sorted(draw.sample(range(40), draw.randint(0, 6)) + [20]) for _ in range(30)]
+    own = np.array([draw.randint(2, 3) for _ in lists], np.int32)
+    for low, high in ((2, 2), (2, 3)):
+        got = ngram_join._met_first(20, low * ngram_join.PART + high, own, pa.array([[0], *lists], pa.list_(pa.int64()))[1:])
+        want = [
+            [i != j and min(set(a) & set(b)) == 20 and (low == high or own[i] != own[j]) for j, b in enumerate(lists)]
+            for i, a in enumerate(lists)
+        ]
+        assert got.tolist() == want
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.5])
 def test_recall_at_full_depth(spark, similarity, monkeypatch):
     """1,000 pairs at the threshold, every bucket split to full depth."""
