@@ -1,5 +1,7 @@
 """One accepted and at least one rejected case per rule."""
 
+import os
+import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -7,6 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 from seed import frame, raw_rows
+from tidewake import session
 from tidewake.operators import rules
 from tidewake.operators.common import split_valid
 from tidewake.plans.procedures import process_cancellations
@@ -285,7 +288,6 @@ def test_row_checks_agree_with_the_full_job(t):
 
 def test_staged_folders_can_be_dropped(spark):
     from pyspark.errors import PySparkException
-    from tidewake import session
 
     kept = list(session._STAGED)
     session._STAGED.clear()
@@ -298,6 +300,56 @@ def test_staged_folders_can_be_dropped(spark):
     session._STAGED.extend(kept)
 
 
+def shuffle_files(spark):
+    """Shuffle files in the session's folders."""
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    return {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+
+def test_lean_staging_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    df = session.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "probe", lean=True)
+    left = shuffle_files(spark) - before
+    for _ in range(50):
+        if not left:
+            break
+        time.sleep(0.1)
+        left = shuffle_files(spark) - before
+    assert df.count() == 7 and not left
+    session.unstage(df)
+
+
+def test_steps_of_the_full_job_are_deleted(t, monkeypatch):
+    """Of all that the job stages only the rows in context and the state per cabin outlast it."""
+    monkeypatch.setattr(session, "_STAGED", [])
+    spark = t["Booking"].sparkSession
+    seats = [seat(50, 1, 1, 100, 4), seat(51, 1, 1, 101, 5)]
+    labels = lambda: sorted(p.rsplit("/", 1)[1][:-33] for p in session._STAGED)
+    assert len(check(t, seats, ["1980-01-01", "1960-01-01"])) == 2
+    assert labels() == ["booked-passengers", "cabin-state"]
+    session.drop_staged(spark)
+    rules.check_passenger_rows(t).count()
+    assert labels() == []
+
+
+def test_slices_hold_all_rows(t, monkeypatch):
+    """Joined slice by slice the job returns what it returns at once, rows without a cabin included."""
+    spark = t["Booking"].sparkSession
+    lost = spark.range(900, 903).selectExpr(
+        "id AS BookingPassengerID", "1 AS BookingID", "nullif(id, 902) * 0 + nullif(id, 901) AS BookingCabinID", "1 AS PassengerID", "4 AS AgeCategoryID",
+        "CAST(NULL AS BIGINT) AS FareRuleID", "'NotApplicable' AS InfantBedOption", "false AS IsChaperonedYouth",
+        "CAST(0 AS DECIMAL(10,2)) AS DailySupervisionFee", "CAST(0 AS DECIMAL(12,2)) AS FinalFare",
+    )
+    base = {**t, "BookingPassenger": t["BookingPassenger"].unionByName(lost)}
+    rows = lambda: sorted(map(repr, rules.check_booking_passengers(base).collect()))
+    want = rows()
+    monkeypatch.setattr(rules, "ROWS_IN_SLICE", 10)
+    written = []
+    monkeypatch.setattr(rules, "stage", lambda df, label, **more: written.append((label, len(more["slices"]))) or session.stage(df, label, **more))
+    assert rows() == want and len(want) == 38
+    assert dict(written)["booked-passengers"] == 4 and dict(written)["passengers"] == 0
+
+
 def test_hot_cabin(t):
     """Thousands of claims on one cabin and one spot: the first ones win, nothing is dropped."""
     spark = t["Booking"].sparkSession
